@@ -64,15 +64,32 @@ def local_day(epoch: str | Column, unit: str = "MILLISECOND", tz: str = "UTC") -
     return F.to_date(wall_clock(epoch, unit, tz))
 
 
+def _day_and_seconds(col: Column) -> tuple[Column, Column]:
+    # date and field extraction on TIMESTAMP_NTZ are zone-free; timestamp_diff is
+    # not (it casts NTZ to the session-zone TIMESTAMP), so it is not used here
+    days = F.unix_date(F.to_date(col)).cast("bigint")
+    secs = (F.hour(col) * 3600 + F.minute(col) * 60).cast("bigint")
+    return days, secs
+
+
 def epoch_millis(ntz: str | Column) -> Column:
-    """Epoch milliseconds of a UTC wall-clock TIMESTAMP_NTZ column."""
+    """Epoch milliseconds (truncated) of a UTC wall-clock TIMESTAMP_NTZ column."""
     col = F.col(ntz) if isinstance(ntz, str) else ntz
-    return F.timestamp_diff("MILLISECOND", epoch_ntz(), col)
+    days, secs = _day_and_seconds(col)
+    frac_ms = F.floor(F.date_part(F.lit("SECOND"), col) * F.lit(1000)).cast("bigint")
+    return days * F.lit(MS_PER_DAY) + secs * F.lit(1000) + frac_ms
 
 
 def epoch_seconds(ntz: str | Column) -> Column:
+    """Epoch seconds (truncated) of a UTC wall-clock TIMESTAMP_NTZ column."""
     col = F.col(ntz) if isinstance(ntz, str) else ntz
-    return F.timestamp_diff("SECOND", epoch_ntz(), col)
+    days, secs = _day_and_seconds(col)
+    return days * F.lit(86_400) + secs + F.second(col).cast("bigint")
+
+
+def seconds_between(start: str | Column, end: str | Column) -> Column:
+    """Whole seconds from ``start`` to ``end`` (two wall-clock TIMESTAMP_NTZ columns)."""
+    return epoch_seconds(end) - epoch_seconds(start)
 
 
 def day_bounds_ms(day, tz: str = "UTC") -> tuple[int, int]:

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import report_days
+from ..functions.presets import fixture_packages
 from ..sources import fixtures as fx
-from . import exposure
+from . import exposure, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +38,32 @@ def page_exposure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exposure.page_exposure_report(stays, fx.EVENTS_DAY)
 
 
+# ---------------------------------------------------------------- sales (V2)
+def daily_order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fx.sales_orders(spark, sf_dir, [fx.EVENTS_DAY])
+    return sales.daily_order_fact(orders, fx.EVENTS_DAY, preset=fixture_packages())
+
+
+def daily_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _event_days()
+    return sales.daily_sales_cube(fx.sales_orders(spark, sf_dir, days), days, preset=fixture_packages())
+
+
+def daily_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fx.sales_orders(spark, sf_dir, _event_days())
+    return sales.daily_sales_report(orders, fx.EVENTS_DAY, preset=fixture_packages())
+
+
+def monthly_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = sales.daily_order_fact(fx.fact_orders(spark, sf_dir), None, preset=fixture_packages())
+    return sales.monthly_sales_cube(fact)
+
+
 QUERIES: dict[str, Query] = {
+    "daily_order_fact": daily_order_fact,
+    "daily_sales_cube": daily_sales_cube,
+    "daily_sales_report": daily_sales_report,
+    "monthly_sales_cube": monthly_sales_cube,
     "page_stay_flatten": page_stay_flatten,
     "page_exposure_cube": page_exposure_cube,
     "page_exposure_report": page_exposure_report,

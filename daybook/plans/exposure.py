@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import BASELINES, iso, report_days, wall_clock
+from ..functions.dates import BASELINES, iso, report_days, seconds_between, wall_clock
 from ..functions.labels import label_map
 from ..functions.metrics import ratio, round2
 from ..functions.presets import MAX_STAY_SECONDS, SITE_CHANNELS
@@ -54,7 +54,7 @@ def exposure_cube(page_stay: DataFrame, days: Iterable, max_stay: int = MAX_STAY
     ``count(custom_uuid)`` skips NULL users; averages are NULL when a group has
     no user instead of a division error.
     """
-    duration = F.timestamp_diff("SECOND", F.col("enter"), F.col("exit"))
+    duration = seconds_between("enter", "exit")
     stays = (page_stay.where(F.col("dt").isin([iso(d) for d in days]))
              .where((F.col("exit") >= F.col("enter")) & (duration <= F.lit(max_stay)))
              .select("dt", "site", "title", "custom_uuid", duration.alias("_secs")))

@@ -183,8 +183,94 @@ def page_exposure_report() -> str:
                           EXPOSURE_METRICS))
 
 
+# ------------------------------------------------------------------- sales (V2)
+def r0_bigint(x: str) -> str:
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,24)), 0) AS BIGINT)"
+
+
+SALES_ORDERS = f"""{EV},
+so AS (
+  SELECT 'PK' || CAST(event_id % 24 AS VARCHAR) AS package_id,
+         {PROVIDER_CODE.format(x='k')} AS order_provide,
+         {r0_bigint('value * 100')} AS order_price,
+         CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 3 ELSE 9 END AS order_type,
+         CASE WHEN k % 10 <> 0 THEN 4 ELSE 1 END AS order_status,
+         CASE WHEN k % 9 <> 0 THEN 1 ELSE 0 END AS order_state,
+         {ems('ts')} AS order_delevetime
+  FROM ev)"""
+
+FACT_ORDERS = f"""so AS (
+  SELECT 'PK' || CAST(o_orderkey % 24 AS VARCHAR) AS package_id,
+         {PROVIDER_CODE.format(x='o_custkey')} AS order_provide,
+         {r0_bigint('o_totalprice * 100')} AS order_price,
+         CAST(o_orderkey % 3 + 1 AS INTEGER) AS order_type,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 4 ELSE 1 END AS order_status,
+         1 AS order_state,
+         {ems('o_orderdate')} AS order_delevetime
+  FROM orders)"""
+
+
+def sales_cube_cte(d0: dt.date) -> str:
+    days = ", ".join(qd(d) for d in days_of(d0))
+    return f"""sales AS (
+  SELECT CAST(epoch_ms(order_delevetime) AS DATE) AS day,
+         {CHANNEL_OF_PROVIDER.format(x='order_provide')} AS channelName,
+         {package_label('package_id', 'order_type')} AS packageName,
+         order_price
+  FROM so
+  WHERE order_status = 4 AND order_state = 1 AND order_type IN (2, 3)
+    AND CAST(epoch_ms(order_delevetime) AS DATE) IN ({days})),
+sales_cube AS (
+  SELECT day, channelName, packageName, CAST(GROUPING(day, channelName, packageName) AS BIGINT) AS id_1,
+         COUNT(*) AS sellCount, {r2('SUM(order_price) / 100')} AS moneyCount
+  FROM sales GROUP BY day, CUBE(channelName, packageName))"""
+
+
+def fact_cte(day_filter: str) -> str:
+    return f"""fact AS (
+  SELECT strftime(epoch_ms(order_delevetime), '%Y%m%d') AS date,
+         {CHANNEL_OF_PROVIDER.format(x='order_provide')} AS channelName,
+         CASE WHEN order_type = 1 THEN 1 ELSE 2 END AS vipType,
+         {package_label('package_id', 'order_type')} AS packageName,
+         COUNT(*) AS sellCount, {r2('SUM(order_price) / 100')} AS moneyCount
+  FROM so
+  WHERE order_status = 4 AND order_state = 1 AND order_type IN (1, 2, 3) {day_filter}
+  GROUP BY ALL)"""
+
+
+def daily_order_fact() -> str:
+    return (f"WITH {SALES_ORDERS}, "
+            + fact_cte(f"AND CAST(epoch_ms(order_delevetime) AS DATE) = {qd(EVENTS_DAY)}")
+            + " SELECT * FROM fact")
+
+
+def daily_sales_cube() -> str:
+    return f"WITH {SALES_ORDERS}, {sales_cube_cte(EVENTS_DAY)} SELECT * FROM sales_cube"
+
+
+def daily_sales_report() -> str:
+    return (f"WITH {SALES_ORDERS}, {sales_cube_cte(EVENTS_DAY)}"
+            + compare_sql("sales_cube", "day", EVENTS_DAY, qd,
+                          {"channelName": "channelName", "packageName": "packageName"},
+                          {"sellCount": ("sellCount", "sellCount"), "moneyCount": ("moneyCount", "moneyCount")}))
+
+
+def monthly_sales_cube() -> str:
+    return f"""WITH {FACT_ORDERS}, {fact_cte('')},
+months AS (SELECT substr(date, 1, 6) AS month, * FROM fact WHERE date IS NOT NULL)
+SELECT month, channelName, vipType, packageName,
+       CAST(GROUPING(month, channelName, vipType, packageName) AS BIGINT) AS id_1,
+       CAST(SUM(sellCount) AS BIGINT) AS sellCount,
+       CAST(round(SUM(CAST(moneyCount AS DECIMAL(38,2))), 2) AS DOUBLE) AS moneyCount
+FROM months GROUP BY month, CUBE(channelName, vipType, packageName)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "daily_order_fact": daily_order_fact(),
+        "daily_sales_cube": daily_sales_cube(),
+        "daily_sales_report": daily_sales_report(),
+        "monthly_sales_cube": monthly_sales_cube(),
         "page_stay_flatten": page_stay_flatten(),
         "page_exposure_cube": page_exposure_cube(),
         "page_exposure_report": page_exposure_report(),
