@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dates import report_days
 from ..functions.presets import fixture_packages
 from ..sources import fixtures as fx
-from . import exposure, sales
+from . import exposure, members, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,7 +59,58 @@ def monthly_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.monthly_sales_cube(fact)
 
 
+# ----------------------------------------------------------- membership (V1)
+def _pull(spark: SparkSession, sf_dir: str, with_right_days: bool = True) -> DataFrame:
+    return members.member_pull(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir),
+                               fx.accounts(spark, sf_dir), fx.MEMBERS_DAY,
+                               with_right_days=with_right_days)
+
+
+def member_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pull(spark, sf_dir)
+
+
+def channel_package_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return members.label_members(_pull(spark, sf_dir), fixture_packages())
+
+
+def first_seen_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled = members.label_members(_pull(spark, sf_dir), fixture_packages())
+    return members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL)
+
+
+def first_seen_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled = members.label_members(_pull(spark, sf_dir), fixture_packages())
+    return members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_ACCOUNT)
+
+
+def new_members_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled = members.label_members(_pull(spark, sf_dir, with_right_days=False), fixture_packages())
+    return members.new_members_cube(members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL))
+
+
+def _members_report(spark: SparkSession, sf_dir: str, keys) -> DataFrame:
+    return members.new_members_report(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir),
+                                      fx.accounts(spark, sf_dir), fx.MEMBERS_DAY, keys=keys,
+                                      preset=fixture_packages())
+
+
+def new_members_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members_report(spark, sf_dir, members.BY_CHANNEL)
+
+
+def new_members_report_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members_report(spark, sf_dir, members.BY_ACCOUNT)
+
+
 QUERIES: dict[str, Query] = {
+    "member_pull": member_pull,
+    "channel_package_labels": channel_package_labels,
+    "first_seen_by_channel": first_seen_by_channel,
+    "first_seen_by_account": first_seen_by_account,
+    "new_members_cube": new_members_cube,
+    "new_members_report": new_members_report,
+    "new_members_report_v2": new_members_report_v2,
     "daily_order_fact": daily_order_fact,
     "daily_sales_cube": daily_sales_cube,
     "daily_sales_report": daily_sales_report,

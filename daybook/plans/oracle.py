@@ -265,8 +265,97 @@ SELECT month, channelName, vipType, packageName,
 FROM months GROUP BY month, CUBE(channelName, vipType, packageName)"""
 
 
+# -------------------------------------------------------------- membership (V1)
+def member_views(d0: dt.date) -> str:
+    """V1 tables and the reference-shaped pull (day compared as a DATE, like MySQL did)."""
+    base = (ACCOUNT_BASE_DAY - dt.date(1970, 1, 1)).days
+    return f"""acc AS (
+  SELECT c_custkey AS account_id, c_name AS account_name,
+         (CAST({base} AS BIGINT) + c_custkey % 60) * {MS_PER_DAY} AS account_addtime
+  FROM customer),
+ord AS (
+  SELECT o_orderkey AS order_id, o_custkey AS account_id, CAST(o_orderkey % 3 + 1 AS INTEGER) AS order_type,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 4 ELSE 1 END AS order_status,
+         'PK' || CAST(o_orderkey % 24 AS VARCHAR) AS package_id,
+         {ems('o_orderdate')} AS order_addtime
+  FROM orders),
+rgt AS (
+  SELECT l_orderkey AS order_id, {PROVIDER_CODE.format(x='l_partkey')} AS package_provide,
+         {ems('l_shipdate')} AS right_starttime,
+         {ems('l_shipdate')} + CAST(l_quantity AS BIGINT) * {MS_PER_DAY} AS right_limitdate
+  FROM lineitem),
+pull AS (
+  SELECT DISTINCT a.account_name, o.order_type, o.package_id, r.package_provide,
+         CAST(epoch_ms(r.right_starttime) AS DATE) AS right_starttime,
+         CAST(epoch_ms(r.right_limitdate) AS DATE) AS right_limittime,
+         CAST(epoch_ms(o.order_addtime) AS DATE) AS order_addtime
+  FROM rgt r
+  JOIN ord o ON r.order_id = o.order_id AND CAST(epoch_ms(o.order_addtime) AS DATE) <= {qd(d0)}
+            AND o.order_type IN (1, 2) AND o.order_status = 4
+  JOIN acc a ON o.account_id = a.account_id AND CAST(epoch_ms(a.account_addtime) AS DATE) <= {qd(d0)}),
+labeled AS (
+  SELECT account_name, order_type, {CHANNEL_OF_PROVIDER.format(x='package_provide')} AS channelName,
+         {package_label('package_id')} AS package,
+         CASE WHEN order_type = 1 THEN '{GIFT}' ELSE {package_label('package_id')} END AS packageName,
+         right_starttime, right_limittime, order_addtime
+  FROM pull)"""
+
+
+def first_seen_cte(d0: dt.date, keys: str) -> str:
+    """The reference's per-day window form, once per report day, unioned."""
+    parts = []
+    for d in days_of(d0):
+        parts.append(f"""SELECT account_name, order_type, channelName, package, packageName,
+         right_starttime, right_limittime, {qd(d)} AS registtime
+  FROM (SELECT *, min(order_addtime) OVER (PARTITION BY {keys}) AS first_day
+        FROM labeled WHERE order_addtime <= {qd(d)}) w
+  WHERE first_day = {qd(d)}""")
+    return "fs AS (\n  " + "\n  UNION ALL\n  ".join(parts) + ")"
+
+
+MEMBER_CUBE = """members_cube AS (
+  SELECT registtime, channelName, packageName,
+         CAST(GROUPING(registtime, channelName, packageName) AS BIGINT) AS id_1,
+         COUNT(DISTINCT account_name) AS totalUserCount
+  FROM fs GROUP BY registtime, CUBE(channelName, packageName))"""
+
+BY_CHANNEL = "account_name, order_type, channelName"
+BY_ACCOUNT = "account_name"
+
+
+def member_pull() -> str:
+    return f"WITH {member_views(MEMBERS_DAY)} SELECT * FROM pull"
+
+
+def channel_package_labels() -> str:
+    return f"WITH {member_views(MEMBERS_DAY)} SELECT * FROM labeled"
+
+
+def first_seen(keys: str) -> str:
+    return f"WITH {member_views(MEMBERS_DAY)}, {first_seen_cte(MEMBERS_DAY, keys)} SELECT * FROM fs"
+
+
+def new_members_cube() -> str:
+    return (f"WITH {member_views(MEMBERS_DAY)}, {first_seen_cte(MEMBERS_DAY, BY_CHANNEL)}, {MEMBER_CUBE} "
+            "SELECT * FROM members_cube")
+
+
+def new_members_report(keys: str) -> str:
+    return (f"WITH {member_views(MEMBERS_DAY)}, {first_seen_cte(MEMBERS_DAY, keys)}, {MEMBER_CUBE}"
+            + compare_sql("members_cube", "registtime", MEMBERS_DAY, qd,
+                          {"channelName": "channelName", "packageName": "packageName"},
+                          {"totalUserCount": ("totalUserCount", "userCount")}))
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "member_pull": member_pull(),
+        "channel_package_labels": channel_package_labels(),
+        "first_seen_by_channel": first_seen(BY_CHANNEL),
+        "first_seen_by_account": first_seen(BY_ACCOUNT),
+        "new_members_cube": new_members_cube(),
+        "new_members_report": new_members_report(BY_CHANNEL),
+        "new_members_report_v2": new_members_report(BY_ACCOUNT),
         "daily_order_fact": daily_order_fact(),
         "daily_sales_cube": daily_sales_cube(),
         "daily_sales_report": daily_sales_report(),
