@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dates import report_days
 from ..functions.presets import fixture_packages
 from ..sources import fixtures as fx
-from . import exposure, members, sales
+from . import exposure, heatmap, members, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,7 +103,42 @@ def new_members_report_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _members_report(spark, sf_dir, members.BY_ACCOUNT)
 
 
+# ------------------------------------------------------------ heat map (V4)
+def _clicks(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
+    return heatmap.click_rows(fx.launcher_logs(spark, sf_dir, days))
+
+
+def click_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clicks(spark, sf_dir)
+
+
+def click_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _event_days()
+    return heatmap.click_grouping_sets(_clicks(spark, sf_dir, days), days, min_count=fx.FIXTURE_MIN_GROUP)
+
+
+def top_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heatmap.top_titles(_clicks(spark, sf_dir, [fx.EVENTS_DAY]), fx.EVENTS_DAY,
+                              min_count=fx.FIXTURE_MIN_TITLE)
+
+
+def top_titles_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heatmap.top_titles_set(_clicks(spark, sf_dir, [fx.EVENTS_DAY]), fx.EVENTS_DAY,
+                                  min_count=fx.FIXTURE_MIN_TITLE)
+
+
+def click_heatmap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heatmap.click_heatmap_report(_clicks(spark, sf_dir, _event_days()), fx.EVENTS_DAY,
+                                        min_count=fx.FIXTURE_MIN_GROUP,
+                                        title_min_count=fx.FIXTURE_MIN_TITLE)
+
+
 QUERIES: dict[str, Query] = {
+    "click_flatten": click_flatten,
+    "click_grouping_sets": click_grouping_sets,
+    "top_titles": top_titles,
+    "top_titles_set": top_titles_set,
+    "click_heatmap_report": click_heatmap_report,
     "member_pull": member_pull,
     "channel_package_labels": channel_package_labels,
     "first_seen_by_channel": first_seen_by_channel,

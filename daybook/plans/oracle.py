@@ -347,8 +347,90 @@ def new_members_report(keys: str) -> str:
                           {"totalUserCount": ("totalUserCount", "userCount")}))
 
 
+# ---------------------------------------------------------------- heat map (V4)
+CLICKS = f"""{EV},
+clicks AS (
+  SELECT CASE WHEN k % 17 = 0 THEN NULL ELSE 'u' || CAST(user_id AS VARCHAR) END AS custom_uuid,
+         CASE k % 4 WHEN 0 THEN 'youku' WHEN 1 THEN 'iqiyi' WHEN 2 THEN 'bestv' ELSE 'others' END AS site,
+         event_type AS category,
+         CASE WHEN k % 10 = 9 THEN 'nav'
+              ELSE CAST(CAST(floor(k / 50) AS BIGINT) AS VARCHAR) || ',' || CAST(k % 2 AS VARCHAR) END AS position,
+         CASE WHEN k % 19 = 0 THEN NULL ELSE 't' || CAST(k % 8 AS VARCHAR) END AS title,
+         event_type AS type,
+         strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt
+  FROM ev
+  WHERE k % 13 <> 0)"""
+
+
+def gsets_cte(d0: dt.date, min_count: int) -> str:
+    days = ", ".join(qs(d) for d in days_of(d0))
+    return f"""gsets AS (
+  SELECT dt, site, category, position,
+         CAST(GROUPING(dt, site, category, position) AS BIGINT) AS id_1,
+         COUNT(custom_uuid) AS playNum, COUNT(DISTINCT custom_uuid) AS users
+  FROM clicks
+  WHERE dt IN ({days}) AND position LIKE '%,%'
+  GROUP BY GROUPING SETS ((dt, site, category, position), (dt, site, category))
+  HAVING COUNT(custom_uuid) >= {min_count})"""
+
+
+def ranked_titles_cte(d0: dt.date, min_count: int, non_null: bool) -> str:
+    title_filter = "AND title IS NOT NULL" if non_null else ""
+    return f"""counted AS (
+  SELECT site, category, position, title, COUNT(custom_uuid) AS playNum
+  FROM clicks WHERE dt = {qs(d0)} AND position LIKE '%,%' {title_filter}
+  GROUP BY site, category, position, title
+  HAVING COUNT(custom_uuid) >= {min_count}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY site, category, position
+                               ORDER BY playNum DESC, title ASC NULLS LAST) AS rn
+  FROM counted)"""
+
+
+TOP_TITLES_CTE = f"""top3 AS (
+  SELECT site, category, position, string_agg(title, '|' ORDER BY rn) AS title_set
+  FROM ranked WHERE rn <= {TOP_TITLES} GROUP BY site, category, position)"""
+
+
+def click_flatten() -> str:
+    return f"WITH {CLICKS} SELECT * FROM clicks"
+
+
+def click_grouping_sets() -> str:
+    return f"WITH {CLICKS}, {gsets_cte(EVENTS_DAY, FIXTURE_MIN_GROUP)} SELECT * FROM gsets"
+
+
+def top_titles() -> str:
+    return (f"WITH {CLICKS}, {ranked_titles_cte(EVENTS_DAY, FIXTURE_MIN_TITLE, True)}, {TOP_TITLES_CTE} "
+            "SELECT * FROM top3")
+
+
+def top_titles_set() -> str:
+    return f"""WITH {CLICKS}, {ranked_titles_cte(EVENTS_DAY, FIXTURE_MIN_TITLE, False)}
+SELECT site, category, position,
+       COALESCE(array_to_string(list_sort(list_distinct(list(title) FILTER (WHERE title IS NOT NULL))), '|'), '')
+         AS title_set
+FROM ranked WHERE rn <= {TOP_TITLES} GROUP BY site, category, position"""
+
+
+def click_heatmap_report() -> str:
+    join = ("LEFT JOIN top3 tt ON t0.site IS NOT DISTINCT FROM tt.site "
+            "AND t0.category IS NOT DISTINCT FROM tt.category AND t0.position IS NOT DISTINCT FROM tt.position")
+    return (f"WITH {CLICKS}, {gsets_cte(EVENTS_DAY, FIXTURE_MIN_GROUP)}, "
+            f"{ranked_titles_cte(EVENTS_DAY, FIXTURE_MIN_TITLE, True)}, {TOP_TITLES_CTE}"
+            + compare_sql("gsets", "dt", EVENTS_DAY, qs,
+                          {"site": "channelName", "category": "entryName", "position": "position"},
+                          {"playNum": ("totalPlayCount", "playCount"), "users": ("totalUserCount", "userCount")},
+                          extra_select="tt.title_set AS titleSet", extra_join=join))
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "click_flatten": click_flatten(),
+        "click_grouping_sets": click_grouping_sets(),
+        "top_titles": top_titles(),
+        "top_titles_set": top_titles_set(),
+        "click_heatmap_report": click_heatmap_report(),
         "member_pull": member_pull(),
         "channel_package_labels": channel_package_labels(),
         "first_seen_by_channel": first_seen(BY_CHANNEL),
