@@ -20,7 +20,12 @@ def flatten_events(df: DataFrame, array_path: str, fields: Sequence[str] | Mappi
     Only the referenced fields are read from columnar sources (nested pruning).
     """
     mapping = dict(fields) if isinstance(fields, Mapping) else {f: f for f in fields}
-    exploded = df.select(*keep, F.explode(F.col(array_path)).alias("_e"))
+    # With a not-null element filter, explode_outer + that filter yields exactly
+    # explode's rows (a NULL/empty array gives one NULL element, which the filter
+    # drops). It avoids the inferred ``size(array) > 0`` filter that Catalyst
+    # pushes below the projection, re-evaluating a computed array per row.
+    gen = F.explode_outer if not_null else F.explode
+    exploded = df.select(*keep, gen(F.col(array_path)).alias("_e"))
     for f in not_null:
         exploded = exploded.where(F.col(f"_e.{f}").isNotNull())
     fill = fill or {}

@@ -92,13 +92,13 @@ def monthly_sales_cube(fact: DataFrame) -> DataFrame:
     """``GROUP BY month, CUBE(channelName, vipType, packageName)`` over the day fact.
 
     Rows without a date are dropped before the cube (the month is never rolled
-    up, so half of the cube's grouping sets are never built). Money is summed
-    as DECIMAL so the total does not depend on the summation order.
+    up, so half of the cube's grouping sets are never built). The stored
+    2-decimal amounts are summed as integer cents: exact whatever the summation
+    order, and a plain long sum (a wide DECIMAL sum would aggregate BigDecimals).
     """
     rows = fact.where(F.col("date").isNotNull()).select(
         F.substring("date", 1, 6).alias("month"), "channelName", "vipType", "packageName",
-        "sellCount", "moneyCount")
+        "sellCount", F.round(F.col("moneyCount") * 100).cast("bigint").alias("_cents"))
     metrics = [F.sum("sellCount").alias("sellCount"),
-               F.round(F.sum(F.col("moneyCount").cast("decimal(38,2)")), 2).cast("double")
-               .alias("moneyCount")]
+               cents_to_amount(F.sum("_cents")).alias("moneyCount")]
     return rollup(rows, ["channelName", "vipType", "packageName"], metrics, always=["month"])

@@ -15,8 +15,13 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "daybook",
-                  extra: dict | None = None) -> SparkSession:
-    """A local[N] session with AQE on, UI off and UTC as the display zone."""
+                  extra: dict | None = None, call_site_context: bool = True) -> SparkSession:
+    """A local[N] session with AQE on, UI off and UTC as the display zone.
+
+    ``call_site_context=False`` stops PySpark from recording the Python call
+    site of every Column function (a few JVM round trips per call); errors then
+    lack the DataFrame query context. The bench uses it.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    if not call_site_context:
+        builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

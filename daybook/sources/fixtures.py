@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_millis, epoch_seconds, on_days_ntz
@@ -42,127 +42,120 @@ ACCOUNT_BASE_DAY = dt.date(1995, 5, 19)
 MS_PER_DAY = 86_400_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
-def _choose(index: Column, values: Sequence[str]) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, v) if expr is None else expr.when(index == i, v)
-    return expr
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table; the DataFrame (file listing + footer schema) is reused
+    within a session, since the test tables are read-only."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+def _events(spark: SparkSession, sf_dir: str, days: Iterable | None) -> DataFrame:
+    """``events`` (optionally only the report days) with ``k`` and epoch columns.
+
+    These are computed once per row; Catalyst keeps a non-cheap expression that
+    is used several times in its own projection instead of inlining every use.
+    """
+    e = table(spark, sf_dir, "events")
+    if days is not None:
+        e = e.where(on_days_ntz("ts", days))
+    return e.select("*", F.expr("try_cast(get_json_object(props, '$.k') AS INT)").alias("k"),
+                    epoch_millis("ts").alias("ts_ms"), epoch_seconds("ts").alias("ts_s"))
 
 
-def _package_id(n: Column) -> Column:
-    return F.concat(F.lit("PK"), (n % 24).cast("string"))
+def _choose(index: str, values: Sequence[str]) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {index} {whens} END"
 
 
 # --------------------------------------------------------------------- V1
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (ACCOUNT_BASE_DAY - dt.date(1970, 1, 1)).days
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("account_id"),
-        F.col("c_name").alias("account_name"),
-        ((F.lit(base) + F.col("c_custkey") % 60) * F.lit(MS_PER_DAY)).cast("bigint").alias("account_addtime"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS account_id",
+        "c_name AS account_name",
+        f"CAST(({base} + c_custkey % 60) * {MS_PER_DAY} AS BIGINT) AS account_addtime",
     )
 
 
 def member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("account_id"),
-        (F.col("o_orderkey") % 3 + 1).cast("int").alias("order_type"),
-        F.when(F.col("o_orderstatus").isin("F", "O"), 4).otherwise(1).alias("order_status"),
-        _package_id(F.col("o_orderkey")).alias("package_id"),
-        epoch_millis("o_orderdate").alias("order_addtime"),
+    o = table(spark, sf_dir, "orders").select("*", epoch_millis("o_orderdate").alias("date_ms"))
+    return o.selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS account_id",
+        "CAST(o_orderkey % 3 + 1 AS INT) AS order_type",
+        "CASE WHEN o_orderstatus IN ('F', 'O') THEN 4 ELSE 1 END AS order_status",
+        "concat('PK', o_orderkey % 24) AS package_id",
+        "date_ms AS order_addtime",
     )
 
 
 def rights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    start = epoch_millis("l_shipdate")
-    return li.select(
-        F.col("l_orderkey").alias("order_id"),
-        _choose(F.col("l_partkey") % 5, PROVIDERS).alias("package_provide"),
-        start.alias("right_starttime"),
-        (start + F.col("l_quantity").cast("bigint") * F.lit(MS_PER_DAY)).alias("right_limitdate"),
+    li = table(spark, sf_dir, "lineitem").select("*", epoch_millis("l_shipdate").alias("ship_ms"))
+    return li.selectExpr(
+        "l_orderkey AS order_id",
+        f"{_choose('l_partkey % 5', PROVIDERS)} AS package_provide",
+        "ship_ms AS right_starttime",
+        f"ship_ms + CAST(l_quantity AS BIGINT) * {MS_PER_DAY} AS right_limitdate",
     )
 
 
 # --------------------------------------------------------------------- V2
 def sales_orders(spark: SparkSession, sf_dir: str, days: Iterable | None = None) -> DataFrame:
     """Orders as the sales reports read them, from ``events``."""
-    e = table(spark, sf_dir, "events")
-    if days is not None:
-        e = e.where(on_days_ntz("ts", days))
-    k = _k()
-    return e.select(
-        _package_id(F.col("event_id")).alias("package_id"),
-        _choose(k % 5, PROVIDERS).alias("order_provide"),
-        F.round(F.col("value") * 100).cast("bigint").alias("order_price"),
-        F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "purchase", 2)
-         .when(F.col("event_type") == "view", 3).otherwise(9).alias("order_type"),
-        F.when(k % 10 != 0, 4).otherwise(1).alias("order_status"),
-        F.when(k % 9 != 0, 1).otherwise(0).alias("order_state"),
-        epoch_millis("ts").alias("order_delevetime"),
+    return _events(spark, sf_dir, days).selectExpr(
+        "concat('PK', event_id % 24) AS package_id",
+        f"{_choose('k % 5', PROVIDERS)} AS order_provide",
+        "CAST(round(value * 100) AS BIGINT) AS order_price",
+        "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 3 ELSE 9 END AS order_type",
+        "CASE WHEN k % 10 <> 0 THEN 4 ELSE 1 END AS order_status",
+        "CASE WHEN k % 9 <> 0 THEN 1 ELSE 0 END AS order_state",
+        "ts_ms AS order_delevetime",
     )
 
 
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-month orders for the monthly cube, from ``orders``."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        _package_id(F.col("o_orderkey")).alias("package_id"),
-        _choose(F.col("o_custkey") % 5, PROVIDERS).alias("order_provide"),
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("order_price"),
-        (F.col("o_orderkey") % 3 + 1).cast("int").alias("order_type"),
-        F.when(F.col("o_orderstatus").isin("F", "O"), 4).otherwise(1).alias("order_status"),
-        F.lit(1).alias("order_state"),
-        epoch_millis("o_orderdate").alias("order_delevetime"),
+    o = table(spark, sf_dir, "orders").select("*", epoch_millis("o_orderdate").alias("date_ms"))
+    return o.selectExpr(
+        "concat('PK', o_orderkey % 24) AS package_id",
+        f"{_choose('o_custkey % 5', PROVIDERS)} AS order_provide",
+        "CAST(round(o_totalprice * 100) AS BIGINT) AS order_price",
+        "CAST(o_orderkey % 3 + 1 AS INT) AS order_type",
+        "CASE WHEN o_orderstatus IN ('F', 'O') THEN 4 ELSE 1 END AS order_status",
+        "1 AS order_state",
+        "date_ms AS order_delevetime",
     )
 
 
 # ------------------------------------------------------------------ V3/V4
 def launcher_logs(spark: SparkSession, sf_dir: str, days: Iterable | None = None) -> DataFrame:
     """Launcher log records (``schemas.LOG_RECORD`` shape), one per event."""
-    e = table(spark, sf_dir, "events")
-    if days is not None:
-        e = e.where(on_days_ntz("ts", days))
-    k = _k()
-    enter = epoch_seconds("ts")
-    time = F.when(k % 13 == 0, F.lit(None)).otherwise(enter)
-    page_stay = F.struct(
-        time.alias("time"),
-        enter.alias("enter"),
-        (enter + F.floor(F.col("value") * 10).cast("bigint")
-         - F.when(k % 7 == 0, 600).otherwise(0)).alias("exit"),
-        F.when(k % 10 == 9, F.lit(None)).otherwise(F.col("event_type")).alias("title"),
-    )
-    click = F.struct(
-        time.alias("time"),
-        F.col("event_type").alias("category"),
-        F.when(k % 10 == 9, F.lit("nav"))
-         .otherwise(F.concat(F.floor(k / 50).cast("string"), F.lit(","), (k % 2).cast("string")))
-         .alias("position"),
-        F.when(k % 19 == 0, F.lit(None)).otherwise(F.concat(F.lit("t"), (k % 8).cast("string"))).alias("title"),
-        F.col("event_type").alias("type"),
-    )
-    return e.select(
-        F.when(k % 17 == 0, F.lit(None)).otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string")))
-         .alias("custom_uuid"),
-        F.concat(F.lit("a"), F.col("user_id").cast("string")).alias("account"),
-        epoch_millis("ts").alias("rectime"),
-        (F.lit(100) + k % 3).cast("string").alias("vercode"),
-        F.concat(F.lit("v1."), (k % 3).cast("string")).alias("vername"),
-        F.concat(F.lit("box"), (F.col("user_id") % 4).cast("string")).alias("device_name"),
-        _choose(k % 4, SITES).alias("site"),
-        F.lit("launcher").alias("packageName"),
-        F.struct(F.array(page_stay).alias("launcher_page_stay"),
-                 F.array(click).alias("home_item_click")).alias("data"),
+    time = "CASE WHEN k % 13 = 0 THEN NULL ELSE ts_s END"
+    page_stay = f"""named_struct(
+        'time', {time},
+        'enter', ts_s,
+        'exit', ts_s + CAST(floor(value * 10) AS BIGINT) - CASE WHEN k % 7 = 0 THEN 600 ELSE 0 END,
+        'title', CASE WHEN k % 10 = 9 THEN NULL ELSE event_type END)"""
+    click = f"""named_struct(
+        'time', {time},
+        'category', event_type,
+        'position', CASE WHEN k % 10 = 9 THEN 'nav' ELSE concat(floor(k / 50), ',', k % 2) END,
+        'title', CASE WHEN k % 19 = 0 THEN NULL ELSE concat('t', k % 8) END,
+        'type', event_type)"""
+    return _events(spark, sf_dir, days).selectExpr(
+        "CASE WHEN k % 17 = 0 THEN NULL ELSE concat('u', user_id) END AS custom_uuid",
+        "concat('a', user_id) AS account",
+        "ts_ms AS rectime",
+        "CAST(100 + k % 3 AS STRING) AS vercode",
+        "concat('v1.', k % 3) AS vername",
+        "concat('box', user_id % 4) AS device_name",
+        f"{_choose('k % 4', SITES)} AS site",
+        "'launcher' AS packageName",
+        f"named_struct('launcher_page_stay', array({page_stay}), 'home_item_click', array({click})) AS data",
     )
