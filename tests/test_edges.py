@@ -3,7 +3,6 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conftest import rows
 from daybook.functions.dates import day_bounds_ms, epoch_millis, local_day, report_days, wall_clock

@@ -56,3 +56,12 @@ def test_heatmap_joins_only_the_title_sets(plans):
     joins = [ln for ln in executed if "Join" in ln and ("SortMerge" in ln or "BroadcastHash" in ln
                                                        or "ShuffledHash" in ln)]
     assert 1 <= len(joins) <= 2   # one join (listed in the initial and the optimized plan)
+
+
+def test_one_scan_per_report_input(plans):
+    # all report days come from one scan of the input
+    for key in ("page_exposure_report", "daily_sales_report", "page_exposure_cube", "daily_sales_cube",
+                "click_grouping_sets"):
+        executed = plans[key].split("\n")
+        scans = [ln for ln in executed if "FileScan parquet" in ln or "Scan parquet" in ln]
+        assert len(scans) == 1, (key, scans)
