@@ -46,3 +46,29 @@ def first_seen(df: DataFrame, keys: Sequence[str], time_col: str, days: Iterable
     for i, k in enumerate(keys):
         cond = cond & rows[k].eqNullSafe(firsts[f"_k{i}"])
     return rows.join(firsts, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def first_seen_groups(df: DataFrame, keys: Sequence[str], time_col: str, days: Iterable,
+                      carry: Sequence[str], *, out_col: str = "registtime") -> DataFrame:
+    """Distinct ``keys + carry`` combinations first seen on one of ``days``.
+
+    Same rows as ``first_seen(...).select(keys, carry, out_col).distinct()``, in
+    ONE aggregation: per key the first day and the set of ``carry`` values seen
+    on the report days, then the values of the first day are kept. No join back,
+    no DISTINCT over the input. The set per key holds at most
+    ``len(days) x distinct(carry)`` entries, so ``carry`` must be label columns
+    (a bounded vocabulary such as channel and package labels), never ids.
+    Partial aggregation combines map-side, so a hot key stays cheap.
+    """
+    days = sorted(set(days))
+    history = df.where(F.col(time_col) <= F.lit(days[-1]))
+    on_days = F.col(time_col).isin(days)
+    seen = F.struct(F.col(time_col).alias("_day"), *[F.col(c) for c in carry])
+    per_key = (history.groupBy(*keys)
+               .agg(F.min(time_col).alias(out_col),
+                    F.collect_set(F.when(on_days, seen)).alias("_seen"))
+               .where(F.col(out_col).isin(days)))
+    first_day = F.filter("_seen", lambda s: s["_day"] == F.col(out_col))
+    exploded = per_key.select(*keys, out_col, F.explode(first_day).alias("_s"))
+    extra = [c for c in carry if c not in keys]
+    return exploded.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in extra], out_col)

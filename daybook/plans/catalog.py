@@ -86,7 +86,7 @@ def first_seen_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def new_members_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     labeled = members.label_members(_pull(spark, sf_dir, with_right_days=False), fixture_packages())
-    return members.new_members_cube(members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL))
+    return members.new_members_cube(members.new_member_groups(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL))
 
 
 def _members_report(spark: SparkSession, sf_dir: str, keys) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import BASELINES, as_day, local_day, report_days, until_day_ms
 from ..functions.labels import label_map, override
 from ..functions.presets import GIFT, ORDER_TYPE_GIFT, PACKAGES, PAID_STATUS, PROVIDER_CHANNELS, LabelPreset
-from ..operators.cohort import first_seen
+from ..operators.cohort import first_seen, first_seen_groups
 from ..operators.compare import compare_periods
 from ..operators.rollup import rollup
 
@@ -68,6 +68,15 @@ def new_members(labeled: DataFrame, report_day, *, keys: Sequence[str] = BY_CHAN
     return rows.drop("order_addtime")
 
 
+def new_member_groups(labeled: DataFrame, report_day, *, keys: Sequence[str] = BY_CHANNEL,
+                      baselines: Mapping[str, int] = BASELINES) -> DataFrame:
+    """Distinct (account, channel, package, registtime) of new members: the input
+    of the cube, from one aggregation per key (no join back to the rows)."""
+    days = list(report_days(report_day, baselines).values())
+    return first_seen_groups(labeled, keys, "order_addtime", days,
+                             carry=["account_name", "channelName", "packageName"])
+
+
 def new_members_cube(first: DataFrame) -> DataFrame:
     """``GROUP BY registtime, CUBE(channelName, packageName)`` of distinct accounts (A2)."""
     return rollup(first, ["channelName", "packageName"],
@@ -79,7 +88,7 @@ def new_members_report(rights: DataFrame, orders: DataFrame, accounts: DataFrame
                        tz: str = "UTC", baselines: Mapping[str, int] = BASELINES) -> DataFrame:
     """R1 (``keys=BY_CHANNEL``) / R2 (``keys=BY_ACCOUNT``)."""
     pull = member_pull(rights, orders, accounts, report_day, tz=tz, with_right_days=False)
-    first = new_members(label_members(pull, preset), report_day, keys=keys, baselines=baselines)
+    first = new_member_groups(label_members(pull, preset), report_day, keys=keys, baselines=baselines)
     return compare_periods(new_members_cube(first), day_col="registtime", report_day=as_day(report_day),
                            keys={"channelName": "channelName", "packageName": "packageName"},
                            metrics={"totalUserCount": ("totalUserCount", "userCount")},

@@ -81,3 +81,19 @@ def test_top_k_matches_brute_force(spark, data, k, min_count):
         if ranked:
             expected.append((g, "|".join(t for t, _ in ranked[:k])))
     assert got == sorted(expected, key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(key, st.sampled_from(["x", "y", None]), st.sampled_from(ALL_DAYS), st.sampled_from(["p", "q", None])),
+                min_size=1, max_size=30))
+def test_first_seen_groups_equal_distinct_first_seen_rows(spark, data):
+    from daybook.operators.cohort import first_seen_groups
+
+    df = spark.createDataFrame(data, "acct string, kind string, day date, v string")
+    for keys in (["acct", "kind"], ["acct"]):
+        carry = ["acct", "kind", "v"]
+        got = first_seen_groups(df, keys, "day", DAYS, carry=carry)
+        want = first_seen(df, keys, "day", DAYS).select(*keys, *[c for c in carry if c not in keys],
+                                                        "registtime").distinct()
+        assert got.columns == want.columns
+        assert rows(got) == rows(want)
