@@ -30,15 +30,20 @@ def member_pull(rights: DataFrame, orders: DataFrame, accounts: DataFrame, repor
     times are returned as local DATEs. ``with_right_days=False`` drops the
     entitlement start/end days before the DISTINCT (the cohort reports do not
     read them, and Catalyst cannot prune grouping columns of a DISTINCT).
+
+    Join order: orders ⋈ accounts first, then the (largest) entitlement table,
+    so only the order-sized intermediate is re-shuffled, never a rights-sized
+    one. Both joins are equi-joins; AQE broadcasts a side only when its measured
+    size is under the threshold and splits skewed partitions otherwise.
     """
     d0 = as_day(report_day)
     o = orders.where(F.col("order_type").isin(list(MEMBER_ORDER_TYPES))
                      & (F.col("order_status") == PAID_STATUS)
                      & until_day_ms("order_addtime", d0, tz))
     a = accounts.where(until_day_ms("account_addtime", d0, tz)).select("account_id", "account_name")
-    joined = (rights.join(o.select("order_id", "account_id", "order_type", "package_id", "order_addtime"),
-                          "order_id")
-              .join(a, "account_id"))
+    member_orders = (o.select("order_id", "account_id", "order_type", "package_id", "order_addtime")
+                     .join(a, "account_id"))
+    joined = member_orders.join(rights, "order_id")
     cols = [F.col("account_name"), F.col("order_type"), F.col("package_id"), F.col("package_provide")]
     if with_right_days:
         cols += [local_day("right_starttime", tz=tz).alias("right_starttime"),
