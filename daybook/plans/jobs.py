@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import BASELINES, as_day, report_days
 from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
+from ..sources import jdbc
 from ..sources import logs as log_source
 from ..sources import tables
 from . import exposure, heatmap, sales
@@ -59,3 +60,25 @@ def monthly_sales_job(spark: SparkSession, orders: DataFrame, fact_path: str, re
     fact = sales.daily_order_fact(orders, as_day(report_day), preset=preset, tz=tz)
     tables.store_daily_fact(fact, fact_path)
     return sales.monthly_sales_cube(tables.read_daily_fact(spark, fact_path))
+
+
+def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, fmt: str = "parquet",
+                   partition_col: str | None = "date", jdbc_url: str | None = None,
+                   jdbc_table: str | None = None, jdbc_properties: Mapping[str, str] | None = None) -> None:
+    """Store a report rerun-safely and optionally export it over JDBC.
+
+    A daily report replaces its ``partition_col`` partition of the file table
+    (``None``: the whole table is replaced, as for the monthly cube). The JDBC
+    table is then rewritten from the whole file table (truncate + overwrite), so
+    a rerun never duplicates a day there either. Report tables hold aggregates
+    (groups x days), so the full export stays small.
+    """
+    if partition_col:
+        tables.write_partitions(report, table_path, [partition_col], fmt=fmt, mode="replace")
+    else:
+        report.write.format(fmt).mode("overwrite").save(table_path)
+    if jdbc_url:
+        if not jdbc_table:
+            raise ValueError("jdbc_table is required with jdbc_url")
+        stored = tables.read_report(spark, table_path, report.columns, fmt=fmt)
+        jdbc.jdbc_sink(stored, jdbc_url, jdbc_table, mode="overwrite", properties=jdbc_properties)

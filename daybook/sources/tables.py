@@ -74,3 +74,10 @@ def store_daily_fact(fact: DataFrame, path: str, *, fmt: str = "parquet", mode:
 
 def read_daily_fact(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:
     return read_table(spark, path, DAILY_FACT_TABLE, fmt=fmt)
+
+
+def read_report(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *,
+                fmt: str = "parquet") -> DataFrame:
+    """The stored report table (``date`` read back as the int ``yyyyMMdd`` key)."""
+    df = spark.read.format(fmt).load(path)
+    return df.select(*columns) if columns else df

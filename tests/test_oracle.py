@@ -24,3 +24,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns[:4] == ["date", "channelName", "typeName", "id_1"]
     assert len(df.columns) == 19
+
+
+@pytest.mark.parametrize("key", ["page_exposure_report", "daily_sales_report", "new_members_report",
+                                 "click_heatmap_report", "daily_order_fact"])
+def test_results_ignore_the_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        ok, msg = compare(queries()[key](spark, SF), duck, oracle_sql()[key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
