@@ -30,8 +30,17 @@ def top_k_labels(df: DataFrame, keys: Sequence[str], label: str, *, count_of: st
 
     ``count(count_of)`` counts non-NULL values; labels below ``min_count`` are skipped.
     """
-    ranked = _ranked(df.where(F.col(label).isNotNull()), keys, label, count_of, k, min_count,
-                     count_name)
+    counted = (df.where(F.col(label).isNotNull()).groupBy(*keys, label)
+               .agg(F.count(count_of).alias(count_name))
+               .where(F.col(count_name) >= F.lit(min_count)))
+    return rank_labels(counted, keys, label, count_name, k=k, sep=sep, out_col=out_col)
+
+
+def rank_labels(counted: DataFrame, keys: Sequence[str], label: str, count_col: str, *, k: int = 3,
+                sep: str = "|", out_col: str = "title_set") -> DataFrame:
+    """Top-k of already counted ``(keys, label, count_col)`` rows, best first."""
+    w = Window.partitionBy(*keys).orderBy(F.col(count_col).desc(), F.col(label).asc_nulls_last())
+    ranked = counted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col(label)))),
                           lambda x: x[label])
     return ranked.groupBy(*keys).agg(F.concat_ws(sep, ordered).alias(out_col))

@@ -14,7 +14,7 @@ from ..functions.presets import MIN_GROUP_COUNT, SITE_CHANNELS, TOP_TITLES
 from ..operators.compare import compare_periods
 from ..operators.flatten import flatten_events
 from ..operators.rollup import rollup
-from ..operators.topk import top_k_label_set, top_k_labels
+from ..operators.topk import rank_labels, top_k_label_set, top_k_labels
 
 CLICK_FIELDS = ("category", "position", "title", "type")
 GROUP_KEYS = ["site", "category", "position"]
@@ -86,6 +86,11 @@ def click_heatmap_report(clicks: DataFrame, report_day, *, min_count: int = MIN_
                            metrics=HEATMAP_METRICS, baselines=baselines, day_value=iso)
     titles = top_titles(clicks, d0, k=k, sep=sep,
                         min_count=min_count if title_min_count is None else title_min_count)
+    return _with_titles(base, titles)
+
+
+def _with_titles(base: DataFrame, titles: DataFrame) -> DataFrame:
+    """Left join of the report rows with the title sets on null-safe cell keys."""
     titles = titles.select(F.col("site").alias("_site"), F.col("category").alias("_category"),
                            F.col("position").alias("_position"), F.col("title_set").alias("titleSet"))
     cond = (base["channelName"].eqNullSafe(titles["_site"])
@@ -94,3 +99,37 @@ def click_heatmap_report(clicks: DataFrame, report_day, *, min_count: int = MIN_
     joined = base.join(titles, cond, "left")
     metric_cols = [c for c in base.columns if c not in ("date", "channelName", "entryName", "position", "id_1")]
     return joined.select("date", "channelName", "entryName", "position", "titleSet", "id_1", *metric_cols)
+
+
+CELL_SETS = HEATMAP_SETS + [["site", "category", "position", "title"]]
+
+
+def heatmap_cells(clicks: DataFrame, days: Iterable) -> DataFrame:
+    """Every count the heat map needs from ONE aggregation (one scan of the logs).
+
+    ``GROUP BY dt, GROUPING SETS((site,category,position), (site,category),
+    (site,category,position,title))``; ``_gid`` is the grouping id over
+    (dt, site, category, position, title): 1 = cell, 3 = entry subtotal,
+    0 = title within a cell. Small (groups, not clicks): cut it with
+    ``checkpoint()`` and derive the report with ``click_heatmap_from_cells``.
+    """
+    rows = _positions(clicks.where(F.col("dt").isin([iso(d) for d in days])))
+    metrics = [F.count("custom_uuid").alias("playNum"), F.count_distinct("custom_uuid").alias("users")]
+    return rollup(rows, GROUP_KEYS + ["title"], metrics, sets=CELL_SETS, always=["dt"], id_col="_gid")
+
+
+def click_heatmap_from_cells(cells: DataFrame, report_day, *, min_count: int = MIN_GROUP_COUNT,
+                             title_min_count: int | None = None, k: int = TOP_TITLES, sep: str = "|",
+                             baselines: Mapping[str, int] = BASELINES) -> DataFrame:
+    """R8 from ``heatmap_cells``: the same rows as ``click_heatmap_report``."""
+    d0 = as_day(report_day)
+    gsets = (cells.where(F.col("_gid") != 0)
+             .select("dt", *GROUP_KEYS, F.shiftright("_gid", 1).alias("id_1"), "playNum", "users")
+             .where(F.col("playNum") >= F.lit(min_count)))
+    base = compare_periods(gsets, day_col="dt", report_day=d0,
+                           keys={"site": "channelName", "category": "entryName", "position": "position"},
+                           metrics=HEATMAP_METRICS, baselines=baselines, day_value=iso)
+    counted = (cells.where((F.col("_gid") == 0) & (F.col("dt") == iso(d0)) & F.col("title").isNotNull())
+               .where(F.col("playNum") >= F.lit(min_count if title_min_count is None else title_min_count)))
+    titles = rank_labels(counted, GROUP_KEYS, "title", "playNum", k=k, sep=sep)
+    return _with_titles(base, titles)

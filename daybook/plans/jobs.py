@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import BASELINES, as_day, report_days
 from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
+from ..session import checkpoint_dir
 from ..sources import jdbc
 from ..sources import logs as log_source
 from ..sources import tables
@@ -49,8 +50,12 @@ def heatmap_job(spark: SparkSession, log_root: str, report_day, *, min_count: in
     days = report_days(report_day, baselines)
     logs = log_source.read_logs(spark, log_root, days.values())
     clicks = heatmap.click_rows(logs, day_col="log_day", missing_category=missing_category)
-    return heatmap.click_heatmap_report(clicks, report_day, min_count=min_count,
-                                        title_min_count=title_min_count, baselines=baselines)
+    # parse the logs once: all counts come from one aggregation, whose small
+    # result is cut to the shared checkpoint folder and read by both branches
+    checkpoint_dir(spark)
+    cells = heatmap.heatmap_cells(clicks, days.values()).checkpoint(eager=True)
+    return heatmap.click_heatmap_from_cells(cells, report_day, min_count=min_count,
+                                            title_min_count=title_min_count, baselines=baselines)
 
 
 def monthly_sales_job(spark: SparkSession, orders: DataFrame, fact_path: str, report_day, *,
