@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import BASELINES, as_day, report_days
-from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
+from ..functions.presets import MIN_GROUP_COUNT, MISSING_CATEGORY, PACKAGES_DAILY_FACT, LabelPreset
 from ..session import checkpoint_dir
 from ..sources import jdbc
 from ..sources import logs as log_source
@@ -43,10 +43,12 @@ def page_exposure_job(spark: SparkSession, log_root: str, table_path: str, repor
 
 
 def heatmap_job(spark: SparkSession, log_root: str, report_day, *, min_count: int = MIN_GROUP_COUNT,
-                title_min_count: int | None = None, missing_category: str | None = None,
+                title_min_count: int | None = None, missing_category: str | None = MISSING_CATEGORY,
                 baselines: Mapping[str, int] = BASELINES) -> DataFrame:
     """R8 from the log folders of the report and baseline days (one scan, every
-    folder checked first; a row's day is its folder's day)."""
+    folder checked first; a row's day is its folder's day). A click without a
+    category (the field may be absent from the logs) is labelled
+    ``missing_category``; ``None`` keeps it NULL."""
     days = report_days(report_day, baselines)
     logs = log_source.read_logs(spark, log_root, days.values())
     clicks = heatmap.click_rows(logs, day_col="log_day", missing_category=missing_category)

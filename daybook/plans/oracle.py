@@ -62,11 +62,6 @@ def date_key(d: dt.date) -> str:
     return f"CAST({d.strftime('%Y%m%d')} AS INTEGER)"
 
 
-def ms_end_of(d: dt.date) -> int:
-    """epoch ms of the midnight after ``d`` (UTC)."""
-    return ((d - dt.date(1970, 1, 1)).days + 1) * MS_PER_DAY
-
-
 def nsafe(a: str, b: str, cols) -> str:
     return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
 
