@@ -84,8 +84,8 @@ def test_top_k_matches_brute_force(spark, data, k, min_count):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(key, st.sampled_from(["x", "y", None]), st.sampled_from(ALL_DAYS), st.sampled_from(["p", "q", None])),
-                min_size=1, max_size=30))
+@given(st.lists(st.tuples(key, st.sampled_from(["x", "y", None]), st.sampled_from(ALL_DAYS),
+                          st.sampled_from(["p", "q", None])), min_size=1, max_size=30))
 def test_first_seen_groups_equal_distinct_first_seen_rows(spark, data):
     from daybook.operators.cohort import first_seen_groups
 
