@@ -89,9 +89,9 @@ def test_page_stay_store_is_rerun_safe_and_keeps_late_rows(spark, log_root, tmp_
     assert tables.read_page_stay(spark, table).count() == base
     # a late record of day-1 arriving in a later day's folder lands in dt=day-1
     late_root = str(tmp_path / "late")
-    late = {"custom_uuid": "late", "site": "ALI", "rectime": day_bounds_ms(d1)[0] + 5,
-            "data": {"launcher_page_stay": [{"time": 1, "enter": 1, "exit": 2}]}}
-    write_raw(late_root, dt.date(2024, 2, 1), "late.gz", [late])
+    record = {"custom_uuid": "late", "site": "ALI", "rectime": day_bounds_ms(d1)[0] + 5,
+              "data": {"launcher_page_stay": [{"time": 1, "enter": 1, "exit": 2}]}}
+    write_raw(late_root, dt.date(2024, 2, 1), "late.gz", [record])
     jobs.ingest_page_stay(spark, late_root, table, dt.date(2024, 2, 1))
     jobs.ingest_page_stay(spark, log_root, table, d1)            # rerun of day-1: late row survives
     late = tables.read_page_stay(spark, table, [d1]).where(F.col("custom_uuid") == "late")
