@@ -65,3 +65,13 @@ def test_one_scan_per_report_input(plans):
         executed = plans[key].split("\n")
         scans = [ln for ln in executed if "FileScan parquet" in ln or "Scan parquet" in ln]
         assert len(scans) == 1, (key, scans)
+
+
+def test_per_key_aggregations_combine_map_side(plans):
+    # a hot key costs one partial row per task before the shuffle, not one row per input row
+    assert "partial_collect_set" in plans["new_members_report"]
+    assert "partial_min" in plans["first_seen_by_channel"]
+    assert "partial_count" in plans["top_titles"]
+    for key in ("page_exposure_report", "click_grouping_sets", "new_members_cube"):
+        # two-phase distinct: the first exchange is keyed by (group, distinct value)
+        assert re.search(r"Exchange hashpartitioning\([^)]*(custom_uuid|account_name)", plans[key]), key
