@@ -1 +1 @@
-"""daybook package."""
+"""Column-level helpers: label presets and maps, zone-explicit dates, report metrics."""

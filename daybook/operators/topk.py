@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], label: str, count_of: str, k: int,
-            min_count: int, count_name: str) -> DataFrame:
-    counted = (df.groupBy(*keys, label).agg(F.count(count_of).alias(count_name))
-               .where(F.col(count_name) >= F.lit(min_count)))
-    w = Window.partitionBy(*keys).orderBy(F.col(count_name).desc(), F.col(label).asc_nulls_last())
+def _count(df: DataFrame, keys: Sequence[str], label: str, count_of: str, min_count: int,
+           count_name: str) -> DataFrame:
+    return (df.groupBy(*keys, label).agg(F.count(count_of).alias(count_name))
+            .where(F.col(count_name) >= F.lit(min_count)))
+
+
+def _top_rows(counted: DataFrame, keys: Sequence[str], label: str, count_col: str, k: int) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(F.col(count_col).desc(), F.col(label).asc_nulls_last())
     return counted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
 
 
@@ -30,17 +33,14 @@ def top_k_labels(df: DataFrame, keys: Sequence[str], label: str, *, count_of: st
 
     ``count(count_of)`` counts non-NULL values; labels below ``min_count`` are skipped.
     """
-    counted = (df.where(F.col(label).isNotNull()).groupBy(*keys, label)
-               .agg(F.count(count_of).alias(count_name))
-               .where(F.col(count_name) >= F.lit(min_count)))
+    counted = _count(df.where(F.col(label).isNotNull()), keys, label, count_of, min_count, count_name)
     return rank_labels(counted, keys, label, count_name, k=k, sep=sep, out_col=out_col)
 
 
 def rank_labels(counted: DataFrame, keys: Sequence[str], label: str, count_col: str, *, k: int = 3,
                 sep: str = "|", out_col: str = "title_set") -> DataFrame:
     """Top-k of already counted ``(keys, label, count_col)`` rows, best first."""
-    w = Window.partitionBy(*keys).orderBy(F.col(count_col).desc(), F.col(label).asc_nulls_last())
-    ranked = counted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
+    ranked = _top_rows(counted, keys, label, count_col, k)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col(label)))),
                           lambda x: x[label])
     return ranked.groupBy(*keys).agg(F.concat_ws(sep, ordered).alias(out_col))
@@ -51,6 +51,6 @@ def top_k_label_set(df: DataFrame, keys: Sequence[str], label: str, *, count_of:
                     count_name: str = "playNum") -> DataFrame:
     """Set form: a NULL label may take one of the k ranks, then is left out;
     the surviving labels are sorted alphabetically."""
-    ranked = _ranked(df, keys, label, count_of, k, min_count, count_name)
+    ranked = _top_rows(_count(df, keys, label, count_of, min_count, count_name), keys, label, count_name, k)
     return ranked.groupBy(*keys).agg(
         F.concat_ws(sep, F.array_sort(F.collect_set(F.col(label)))).alias(out_col))

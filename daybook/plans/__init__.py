@@ -1 +1 @@
-"""daybook package."""
+"""The reports, their end-to-end jobs, the registered queries and their DuckDB oracle."""

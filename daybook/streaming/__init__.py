@@ -1 +1 @@
-"""daybook package."""
+"""Structured Streaming jobs (incremental page-stay ingest)."""
