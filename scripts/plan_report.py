@@ -14,9 +14,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from __spark_entry__ import queries  # noqa: E402
 from daybook.session import local_session  # noqa: E402
 
-NODE = re.compile(r"^([\s:+\-|]*)([*]?\s*\(?\d*\)?\s*)?([A-Za-z][A-Za-z0-9]*)")
-
-
 def tree(plan: str) -> list[str]:
     out = []
     for line in plan.splitlines():
@@ -28,15 +25,40 @@ def tree(plan: str) -> list[str]:
     return out
 
 
+def shuffles_without_broadcast(spark, queries_, sf):
+    """Shuffle count per query when no side may be broadcast (joins as at 100 TB)."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    out = {}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for name, q in queries_.items():
+            df = q(spark, sf)
+            df.write.format("noop").mode("overwrite").save()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            out[name] = (plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition"),
+                         ", ".join(sorted(set(re.findall(r"(\w+Join)\b", plan)))) or "-")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    return out
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(call_site_context=False)
+    at_scale = shuffles_without_broadcast(spark, queries(), sf)
     lines = ["# PLANS", "",
              f"Executed physical plans (AQE final plans) of every registered query at `{sf}`, `local[*]`,",
              "8 shuffle partitions. Generated by `scripts/plan_report.py`; exchanges are shuffles (or broadcasts",
-             "where AQE measured a small side).", "",
-             "| query | scans | shuffle exchanges | broadcast exchanges | joins | Expand | windows |",
-             "| --- | --- | --- | --- | --- | --- | --- |"]
+             "where AQE measured a small side). The last two columns repeat the count with broadcasting disabled,",
+             "i.e. the join strategy when no side is small, as at 100 TB.", "",
+             "| query | scans | shuffle exchanges | broadcast exchanges | joins | Expand | windows | shuffles, no broadcast | joins, no broadcast |",
+             "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     details = []
     for name, q in queries().items():
         df = q(spark, sf)
@@ -45,7 +67,6 @@ def main():
         nodes = tree(plan)
         names = [n.strip(" :+-|") for n in nodes]
         scans = sum(1 for n in names if n in ("FileScan", "Scan"))
-        shuffles = sum(1 for n in names if n in ("Exchange", "ShuffleQueryStage") ) - names.count("ShuffleQueryStage")
         shuffles = plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") + plan.count(
             "Exchange rangepartitioning")
         broadcasts = plan.count("BroadcastExchange")
@@ -53,7 +74,7 @@ def main():
         expand = names.count("Expand")
         windows = sorted({n for n in names if n.startswith("Window")})
         lines.append(f"| {name} | {scans} | {shuffles} | {broadcasts} | {', '.join(joins) or '-'} | {expand} | "
-                     f"{', '.join(windows) or '-'} |")
+                     f"{', '.join(windows) or '-'} | {at_scale[name][0]} | {at_scale[name][1]} |")
         pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
         details += [f"## {name}", ""]
         if any(pushed):
