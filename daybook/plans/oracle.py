@@ -14,6 +14,10 @@ Engine differences handled here (each would give a false mismatch):
 * ``sum`` of integers is HUGEINT: cast to BIGINT.
 * ``GROUPING(...)`` with arguments has ``grouping_id()``'s bit order.
 * default NULL ordering differs: every ORDER BY names it.
+* ``epoch_ms(ts)`` rounds sub-millisecond parts: ``epoch_us(ts) // 1000`` truncates like Spark.
+
+Known gap: a percent change of 1e7 or more prints as ``1.0E7%`` in Spark (Java
+double formatting) and ``10000000.0%`` in DuckDB; no test table comes near it.
 """
 
 from __future__ import annotations

@@ -69,3 +69,16 @@ def test_log_jobs(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "exp")).count() > 0
     assert spark.read.parquet(str(tmp_path / "heat")).count() > 0
     assert os.path.isdir(os.path.join(stay, "load_date=2024-01-23"))
+
+
+def test_cli_arguments_and_properties_file(tmp_path):
+    from daybook.cli import _properties, parser
+
+    props = tmp_path / "jdbc.properties"
+    props.write_text("# credentials\nuser = reporter\npassword=s=cret\n\ndriver=org.example.Driver\n")
+    assert _properties(str(props)) == {"user": "reporter", "password": "s=cret", "driver": "org.example.Driver"}
+    assert _properties(None) == {}
+    args = parser().parse_args(["heatmap", "--date", "2024-01-30", "--logs", "/x", "--out", "/y"])
+    assert (args.job, args.min_count, args.tz) == ("heatmap", None, "UTC")
+    with pytest.raises(SystemExit):
+        parser().parse_args(["unknown-job", "--date", "2024-01-30"])
