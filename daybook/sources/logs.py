@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,18 +28,24 @@ def day_glob(root: str, day, pattern: str = "*/*.gz") -> str:
     return f"{root.rstrip('/')}/{iso(day)}/{pattern}"
 
 
+def _path_missing(exc: AnalysisException) -> bool:
+    cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
+    return (cond() if cond else None) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(exc)
+
+
 def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
     """Raise ``MissingInputError`` naming every glob that matches no file.
 
-    Only file-system metadata is touched (a glob per path on the driver).
+    Resolving a file source lists the matching files on the driver (metadata
+    only, nothing is read); a glob without matches fails with PATH_NOT_FOUND.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     missing = []
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        matches = path.getFileSystem(conf).globStatus(path)
-        if matches is None or len(matches) == 0:
+        try:
+            spark.read.format("text").load(p)
+        except AnalysisException as exc:
+            if not _path_missing(exc):
+                raise
             missing.append(p)
     if missing:
         raise MissingInputError(f"no input files: {', '.join(missing)}")
@@ -48,11 +55,16 @@ def read_logs(spark: SparkSession, root: str, days: Iterable, *, schema: StructT
               pattern: str = "*/*.gz", check: bool = True) -> DataFrame:
     """Log records of ``days`` with a ``log_day`` string column (folder day).
 
-    gzip is not splittable: each file is one task, so producers should write
-    many moderate files (or a splittable format) per day.
+    A day folder without log files raises ``MissingInputError`` naming every
+    missing day (``check=False`` re-raises Spark's error instead). gzip is not
+    splittable: each file is one task, so producers should write many moderate
+    files (or a splittable format) per day.
     """
     paths = [day_glob(root, d, pattern) for d in days]
-    if check:
-        require_inputs(spark, paths)
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+    try:
+        df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+    except AnalysisException as exc:
+        if check and _path_missing(exc):
+            require_inputs(spark, paths)   # names every missing day, not only the first
+        raise
     return df.withColumn("log_day", F.regexp_extract(F.col("_metadata.file_path"), DAY_DIR, 1))
