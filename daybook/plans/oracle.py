@@ -16,8 +16,8 @@ Engine differences handled here (each would give a false mismatch):
 * default NULL ordering differs: every ORDER BY names it.
 * ``epoch_ms(ts)`` rounds sub-millisecond parts: ``epoch_us(ts) // 1000`` truncates like Spark.
 
-Known gap: a percent change of 1e7 or more prints as ``1.0E7%`` in Spark (Java
-double formatting) and ``10000000.0%`` in DuckDB; no test table comes near it.
+* doubles of 1e7 and more print as ``1.0E7`` in Spark (Java formatting):
+  ``java_double`` formats the percent changes the same way.
 """
 
 from __future__ import annotations
@@ -45,9 +45,28 @@ def r2(x: str) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,24)), 2) AS DOUBLE)"
 
 
-def pct(cur: str, base: str) -> str:
-    inner = f"(({cur}) / NULLIF({base}, 0) - 1) * 100"
-    return f"(CAST({r2(inner)} AS VARCHAR) || '%')"
+def pct_value(cur: str, base: str) -> str:
+    """The rounded percent change as a double (NULL without a non-zero base)."""
+    return r2(f"(({cur}) / NULLIF({base}, 0) - 1) * 100")
+
+
+def java_double(x: str) -> str:
+    """``x`` (a column name) as Java prints a double: plain below 1e7, else ``d.dddE<n>``.
+
+    Built from DuckDB's shortest digits, which print plainly below 1e16 and as
+    ``d.ddde+NN`` above.
+    """
+    s = f"CAST(abs({x}) AS VARCHAR)"
+    ip, fp = f"split_part({s}, '.', 1)", f"split_part({s}, '.', 2)"
+    digits = f"rtrim({ip} || {fp}, '0')"
+    plain = (f"left({digits}, 1) || '.' || CASE WHEN length({digits}) > 1 THEN substr({digits}, 2) ELSE '0' END"
+             f" || 'E' || CAST(length({ip}) - 1 AS VARCHAR)")
+    mant = f"split_part({s}, 'e', 1)"
+    sci = (f"CASE WHEN contains({mant}, '.') THEN {mant} ELSE {mant} || '.0' END"
+           f" || 'E' || CAST(CAST(split_part({s}, 'e', 2) AS INTEGER) AS VARCHAR)")
+    big = f"CASE WHEN contains({s}, 'e') THEN {sci} ELSE {plain} END"
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN abs({x}) < 1e7 THEN CAST({x} AS VARCHAR) "
+            f"ELSE CASE WHEN {x} < 0 THEN '-' ELSE '' END || {big} END")
 
 
 def days_of(d0: dt.date) -> tuple[dt.date, dt.date, dt.date]:
@@ -75,23 +94,30 @@ def compare_sql(cube: str, day_col: str, d0: dt.date, day_lit, keys: dict, metri
     """Join-form period comparison over a per-day aggregate CTE named ``cube``."""
     _, d1, d7 = days_of(d0)
     keylist = list(keys)
-    sel = [f'{date_key(d0)} AS "date"'] + [f"t0.{k} AS {v}" for k, v in keys.items()]
+    inner = [f"t0.{k} AS {v}" for k, v in keys.items()]
+    if extra_select:
+        inner.append(extra_select)
+    inner.append("t0.id_1 AS id_1")
+    outer = [f'{date_key(d0)} AS "date"'] + list(keys.values())
     if extra_select:
-        sel.append(extra_select)
-    sel.append("t0.id_1 AS id_1")
+        outer.append(extra_select.split(" AS ")[-1])
+    outer.append("id_1")
     for m, (total, prefix) in metrics.items():
-        sel.append(f"t0.{m} AS {total}")
-        sel.append(f"{pct(f't0.{m}', f't1.{m}')} AS {prefix}CompareDay")
-        sel.append(f"{pct(f't0.{m}', f't7.{m}')} AS {prefix}CompareWeek")
+        inner += [f"t0.{m} AS {total}", f"{pct_value(f't0.{m}', f't1.{m}')} AS {prefix}_day",
+                  f"{pct_value(f't0.{m}', f't7.{m}')} AS {prefix}_week"]
+        outer += [total, f"{java_double(f'{prefix}_day')} || '%' AS {prefix}CompareDay",
+                  f"{java_double(f'{prefix}_week')} || '%' AS {prefix}CompareWeek"]
     return f"""
 , t0 AS (SELECT * FROM {cube} WHERE {day_col} = {day_lit(d0)})
 , t1 AS (SELECT * FROM {cube} WHERE {day_col} = {day_lit(d1)})
 , t7 AS (SELECT * FROM {cube} WHERE {day_col} = {day_lit(d7)})
-SELECT {", ".join(sel)}
-FROM t0
-{extra_join}
-LEFT JOIN t1 ON {nsafe('t0', 't1', keylist)} AND t0.id_1 = t1.id_1
-LEFT JOIN t7 ON {nsafe('t0', 't7', keylist)} AND t0.id_1 = t7.id_1
+, compared AS (
+  SELECT {", ".join(inner)}
+  FROM t0
+  {extra_join}
+  LEFT JOIN t1 ON {nsafe('t0', 't1', keylist)} AND t0.id_1 = t1.id_1
+  LEFT JOIN t7 ON {nsafe('t0', 't7', keylist)} AND t0.id_1 = t7.id_1)
+SELECT {", ".join(outer)} FROM compared
 """
 
 

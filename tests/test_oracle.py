@@ -36,3 +36,16 @@ def test_results_ignore_the_session_time_zone(spark, duck, key):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert ok, msg
+
+
+def test_oracle_double_format_matches_spark(spark, duck):
+    from daybook.plans.oracle import java_double
+
+    values = [0.0, 0.01, -57.14, 25.0, 100.0, 9999999.99, 1e7, 12345678.9, -12345678.91, 99999999.99,
+              1e15, 1e16, 1.5e20, 123456789012345680.0, -2.5e300]
+    want = [r.s for r in spark.createDataFrame([(v,) for v in values], "x double")
+            .selectExpr("cast(x as string) s").collect()]
+    rows_ = ", ".join(f"({i}, CAST({v!r} AS DOUBLE))" for i, v in enumerate(values))
+    got = [r[0] for r in duck.execute(
+        f"SELECT {java_double('x')} FROM (VALUES {rows_}) t(i, x) ORDER BY i").fetchall()]
+    assert got == want
