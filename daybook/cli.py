@@ -82,7 +82,9 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"daybook-{args.job}").getOrCreate()
+    # batch jobs: no web UI (stage times come from the event log)
+    spark = (SparkSession.builder.appName(f"daybook-{args.job}")
+             .config("spark.ui.enabled", "false").getOrCreate())
     run(args, spark)
     return 0
 
