@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.dates import iso
 from .schemas import LOG_RECORD
@@ -52,17 +52,23 @@ def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
 
 
 def read_logs(spark: SparkSession, root: str, days: Iterable, *, schema: StructType = LOG_RECORD,
-              pattern: str = "*/*.gz", check: bool = True) -> DataFrame:
+              pattern: str = "*/*.gz", check: bool = True, corrupt_column: str | None = None) -> DataFrame:
     """Log records of ``days`` with a ``log_day`` string column (folder day).
 
     A day folder without log files raises ``MissingInputError`` naming every
     missing day (``check=False`` re-raises Spark's error instead). gzip is not
     splittable: each file is one task, so producers should write many moderate
-    files (or a splittable format) per day.
+    files (or a splittable format) per day. ``corrupt_column`` keeps the text of
+    malformed lines in that column (their fields are NULL) instead of dropping
+    them silently.
     """
     paths = [day_glob(root, d, pattern) for d in days]
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt_column:
+        schema = StructType(schema.fields + [StructField(corrupt_column, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     try:
-        df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+        df = reader.schema(schema).json(paths)
     except AnalysisException as exc:
         if check and _path_missing(exc):
             require_inputs(spark, paths)   # names every missing day, not only the first

@@ -162,3 +162,16 @@ def test_streaming_ingest_is_incremental_and_exactly_once(spark, log_root, tmp_p
     want = exposure.page_stay_rows(fx.launcher_logs(spark, SMALL, [d7, d1, d0]))
     assert got.count() == want.count() > first > 0
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_malformed_lines_kept_in_corrupt_column(spark, tmp_path):
+    root = str(tmp_path)
+    folder = os.path.join(root, iso(D0), "h00")
+    os.makedirs(folder)
+    with gzip.open(os.path.join(folder, "x.gz"), "wt") as fh:
+        fh.write(json.dumps({"custom_uuid": "u1", "site": "ALI", "rectime": 1}) + "\n")
+        fh.write("{not json\n")
+    df = logs.read_logs(spark, root, [D0], corrupt_column="_corrupt").cache()
+    got = {(r.custom_uuid, r._corrupt) for r in df.collect()}
+    df.unpersist()
+    assert got == {(None, "{not json"), ("u1", None)}
