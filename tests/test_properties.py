@@ -97,3 +97,51 @@ def test_first_seen_groups_equal_distinct_first_seen_rows(spark, data):
                                                         "registtime").distinct()
         assert got.columns == want.columns
         assert rows(got) == rows(want)
+
+
+def _half_up(x, nd=2):
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-nd), rounding=ROUND_HALF_UP))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["x", None]),
+                          st.sampled_from(["u1", "u2", "u3", None]),
+                          st.integers(min_value=-100, max_value=2000)), min_size=1, max_size=25))
+def test_exposure_cube_matches_brute_force(spark, data):
+    from daybook.plans.exposure import exposure_cube
+
+    t0 = dt.datetime(2024, 1, 30, 12, 0, 0)
+    rows_in = [("2024-01-30", s, t, u, t0, t0 + dt.timedelta(seconds=secs)) for s, t, u, secs in data]
+    df = spark.createDataFrame(rows_in, "dt string, site string, title string, custom_uuid string, "
+                                        "enter timestamp_ntz, exit timestamp_ntz")
+    got = {(r.site, r.title, r.id_1): (r.playNum, r.playTime, r.users, r.avgPlayNum, r.avgPlayTime)
+           for r in exposure_cube(df, [D0]).collect()}
+    groups = collections.defaultdict(list)
+    for s, t, u, secs in data:
+        if 0 <= secs <= 1800:
+            for gid, (ms, mt) in enumerate(itertools.product((s, None), (t, None))):
+                groups[(ms, mt, gid)].append((u, secs))
+    want = {}
+    for g, items in groups.items():
+        plays = sum(1 for u, _ in items if u is not None)
+        users = len({u for u, _ in items if u is not None})
+        secs = sum(s for _, s in items)
+        want[g] = (plays, _half_up(secs / 3600), users,
+                   _half_up(plays / users) if users else None,
+                   _half_up(secs / users / 60) if users else None)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from(["IQIYI", "iqiyi", "Youku", "BESTV", "bestv:PPTV", "mango", "", None]),
+                min_size=1, max_size=20))
+def test_provider_labels_match_a_dictionary(spark, codes):
+    from daybook.functions.labels import label_map
+    from daybook.functions.presets import PROVIDER_CHANNELS
+
+    lookup = {code: label for label, cs in PROVIDER_CHANNELS.pairs for code in cs}
+    want = [lookup.get(c.lower(), "others") if c is not None else "others" for c in codes]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, p string")
+    got = [r[1] for r in sorted(df.select("i", label_map("p", PROVIDER_CHANNELS)).collect())]
+    assert got == want
