@@ -57,6 +57,16 @@ def main():
              "8 shuffle partitions. Generated by `scripts/plan_report.py`; exchanges are shuffles (or broadcasts",
              "where AQE measured a small side). The last two columns repeat the count with broadcasting disabled,",
              "i.e. the join strategy when no side is small, as at 100 TB.", "",
+             "How to read it:", "",
+             "- Comparison reports (exposure, sales): one scan with the report days pushed to it, one Expand, the",
+             "  two exchanges of the exact distinct count (keyed by group + user), then one small exchange for the",
+             "  pivot; no join.",
+             "- Member reports: the pull (orders ⋈ accounts, then the entitlements, each side shuffled once when",
+             "  nothing is broadcast), one map-combined exchange per member key (`first_seen_groups`), the cube and",
+             "  the pivot. The row-level first-seen queries add the report-day pull and the join back.",
+             "- Heat map: grouping sets and top titles (`WindowGroupLimit` before the window exchange), joined on",
+             "  the cell keys; both sides are per-cell aggregates.",
+             "- A regression shows up as a new Exchange or scan in this table.", "",
              "| query | scans | shuffle exchanges | broadcast exchanges | joins | Expand | windows | shuffles, no broadcast | joins, no broadcast |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     details = []
