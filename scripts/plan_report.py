@@ -59,8 +59,8 @@ def main():
              "i.e. the join strategy when no side is small, as at 100 TB.", "",
              "How to read it:", "",
              "- Comparison reports (exposure, sales): one scan with the report days pushed to it, one Expand, the",
-             "  two exchanges of the exact distinct count (keyed by group + user), then one small exchange for the",
-             "  pivot; no join.",
+             "  aggregation exchange(s) (exposure: two, for the exact distinct count keyed by group + user; sales:",
+             "  one), then one small exchange for the pivot; no join.",
              "- Member reports: the pull (orders ⋈ accounts, then the entitlements, each side shuffled once when",
              "  nothing is broadcast), one map-combined exchange per member key (`first_seen_groups`), the cube and",
              "  the pivot. The row-level first-seen queries add the report-day pull and the join back.",
