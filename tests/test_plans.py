@@ -103,3 +103,27 @@ def test_day_filters_reach_the_scan_of_entity_tables(spark, tmp_path):
     report = sales.daily_sales_report(read("sales"), fx.EVENTS_DAY)
     pushed = pushed_filters(report)
     assert "GreaterThanOrEqual(order_delevetime," in pushed and "EqualTo(order_status,4)" in pushed
+
+
+def test_member_report_shuffles_the_entitlements_once_at_scale(spark):
+    """With no broadcast allowed (as at 100 TB): one pull, the entitlement side shuffled once."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = queries()["new_members_report"](spark, SF)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    lines = plan.splitlines()
+    lineitem_scans = [ln for ln in lines if "FileScan parquet" in ln and "l_orderkey" in ln]
+    assert len(lineitem_scans) == 1
+    # the entitlements are shuffled by order_id once; no exchange by account_id sits above that join
+    assert sum("Exchange hashpartitioning(order_id" in ln for ln in lines) == 2   # both join sides
+    assert sum("Exchange hashpartitioning(account_id" in ln for ln in lines) == 2  # orders and accounts
