@@ -197,3 +197,30 @@ def test_first_seen_keeps_all_rows_of_the_first_day(spark):
     # NULL keys form a group, like a window partition does
     nulls = spark.createDataFrame([(None, D7, "x"), (None, D0, "y")], "acct string, day date, v string")
     assert rows(first_seen(nulls, ["acct"], "day", days)) == [(None, D7, "x", D7)]
+
+
+def test_fact_and_sales_package_presets_differ(spark):
+    from daybook.functions.dates import day_bounds_ms
+    from daybook.plans import sales
+
+    t = day_bounds_ms(D0)[0] + 1000
+    orders = spark.createDataFrame(
+        [("2CET3Y", "iqiyi", 1000, 2, 4, 1, t), ("2cet3y", "iqiyi", 500, 3, 4, 1, t),
+         ("zzz", "mango", 100, 3, 4, 1, t), ("xqla4e", "Youku", 300, 1, 4, 1, t)],
+        "package_id string, order_provide string, order_price long, order_type int, order_status int, "
+        "order_state int, order_delevetime long")
+    fact = {(r.channelName, r.vipType, r.packageName): (r.sellCount, r.moneyCount)
+            for r in sales.daily_order_fact(orders, D0).collect()}
+    assert fact == {("iqiyi", 2, "年卡"): (2, 15.0), ("others", 2, "单点"): (1, 1.0), ("youku", 1, "年卡"): (1, 3.0)}
+    cube = sales.daily_sales_cube(orders, [D0]).where("id_1 = 0").collect()
+    got = {(r.channelName, r.packageName): r.sellCount for r in cube}
+    # the daily report's preset has no 2cet3y: a purchase stays NULL, a single title falls back
+    assert got == {("iqiyi", None): 1, ("iqiyi", "单点"): 1, ("others", "单点"): 1}
+
+
+def test_compare_with_custom_baselines(spark):
+    cube = _cube(spark, [(D0, "a", "p", 10), (D0 - dt.timedelta(days=28), "a", "p", 5)])
+    out = compare_periods(cube, day_col="day", report_day=D0, keys={"k1": "k1", "k2": "k2"},
+                          metrics={"v": ("total", "v")}, baselines={"Month": 28})
+    assert out.columns == ["date", "k1", "k2", "id_1", "total", "vCompareMonth"]
+    assert {r.vCompareMonth for r in out.collect()} == {"100.0%"}
