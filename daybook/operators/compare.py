@@ -36,24 +36,32 @@ def _names(metric: str, spec) -> tuple[str, str]:
 
 def compare_periods(rolled: DataFrame, *, day_col: str, report_day, keys: Mapping[str, str],
                     metrics: Mapping[str, tuple[str, str] | str], id_col: str = "id_1",
-                    baselines: Mapping[str, int] = BASELINES, day_value=None) -> DataFrame:
+                    baselines: Mapping[str, int] = BASELINES, day_value=None,
+                    metric_rows: Column | None = None, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Pivot a per-day aggregate into the report rows of ``report_day``.
 
     ``keys`` maps source key -> output name, ``metrics`` maps source metric ->
     (total name, compare prefix); each metric yields ``total``,
     ``<prefix>Compare<Baseline>`` for every baseline. ``day_value`` converts a
     Python day to the literal stored in ``day_col`` (default: the date itself).
+    ``metric_rows`` restricts which input rows carry metrics and presence (the
+    others may feed ``extra``: output name -> aggregate over the group's rows,
+    placed after the keys).
     """
     days = report_days(report_day, baselines)
     lit_of = day_value or (lambda d: d)
     day = F.col(day_col)
-    aggs: list[Column] = [F.bool_or(day == F.lit(lit_of(days[""]))).alias("_on_report_day")]
+    counted = metric_rows if metric_rows is not None else F.lit(True)
+    aggs: list[Column] = [F.bool_or((day == F.lit(lit_of(days[""]))) & counted).alias("_on_report_day")]
     for m in metrics:
         for suffix, d in days.items():
-            aggs.append(F.max(F.when(day == F.lit(lit_of(d)), F.col(m))).alias(f"{m}@{suffix}"))
+            aggs.append(F.max(F.when((day == F.lit(lit_of(d))) & counted, F.col(m))).alias(f"{m}@{suffix}"))
+    extra = dict(extra or {})
+    aggs += [col.alias(name) for name, col in extra.items()]
     wide = (rolled.where(day.isin([lit_of(d) for d in days.values()]))
             .groupBy(*keys, id_col).agg(*aggs).where(F.col("_on_report_day")))
-    return wide.select(*_report_columns(days, keys, metrics, id_col, lambda m, s: F.col(f"{m}@{s}")))
+    return wide.select(*_report_columns(days, keys, metrics, id_col, lambda m, s: F.col(f"{m}@{s}"),
+                                        extra=list(extra)))
 
 
 def compare_frames(current: DataFrame, baselines: Mapping[str, DataFrame], *, report_day,
@@ -77,9 +85,10 @@ def compare_frames(current: DataFrame, baselines: Mapping[str, DataFrame], *, re
 
 
 def _report_columns(days: Mapping, keys: Mapping[str, str], metrics: Mapping, id_col: str,
-                    value, id_alias: str | None = None) -> list[Column]:
+                    value, id_alias: str | None = None, extra: list[str] | None = None) -> list[Column]:
     cols = [F.lit(date_key(days[""])).cast("int").alias("date")]
     cols += [F.col(k).alias(v) for k, v in keys.items()]
+    cols += [F.col(name) for name in extra or []]
     cols.append(F.col(id_col).alias(id_alias or id_col))
     for m, spec in metrics.items():
         total, prefix = _names(m, spec)

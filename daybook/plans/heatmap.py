@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import BASELINES, as_day, iso, report_days, wall_clock
@@ -14,7 +14,7 @@ from ..functions.presets import MIN_GROUP_COUNT, SITE_CHANNELS, TOP_TITLES
 from ..operators.compare import compare_periods
 from ..operators.flatten import flatten_events
 from ..operators.rollup import rollup
-from ..operators.topk import rank_labels, top_k_label_set, top_k_labels
+from ..operators.topk import top_k_label_set, top_k_labels
 
 CLICK_FIELDS = ("category", "position", "title", "type")
 GROUP_KEYS = ["site", "category", "position"]
@@ -74,10 +74,20 @@ def click_heatmap_report(clicks: DataFrame, report_day, *, min_count: int = MIN_
     """Clicks and users per (channel, entry, position) and per (channel, entry),
     with the report day's top titles and the day/week comparison.
 
-    Subtotal rows (position rolled up) get no title set. The title table and the
-    report rows are both per-group aggregates (size bounded by the number of
-    screen cells, not by the clicks), so AQE turns the join into a broadcast.
+    One scan and one aggregation (``heatmap_cells``), then one window over the
+    small aggregate and one grouped pivot; no join. Subtotal rows (position
+    rolled up) get no title set.
     """
+    days = report_days(as_day(report_day), baselines)
+    return click_heatmap_from_cells(heatmap_cells(clicks, days.values()), report_day, min_count=min_count,
+                                    title_min_count=title_min_count, k=k, sep=sep, baselines=baselines)
+
+
+def click_heatmap_report_joined(clicks: DataFrame, report_day, *, min_count: int = MIN_GROUP_COUNT,
+                                title_min_count: int | None = None, k: int = TOP_TITLES, sep: str = "|",
+                                baselines: Mapping[str, int] = BASELINES) -> DataFrame:
+    """R8 in the reference's shape: grouping sets and the top titles computed
+    separately (two reads of the clicks), then a null-safe left join (J4)."""
     d0 = as_day(report_day)
     days = report_days(d0, baselines)
     gsets = click_grouping_sets(clicks, days.values(), min_count=min_count)
@@ -110,8 +120,7 @@ def heatmap_cells(clicks: DataFrame, days: Iterable) -> DataFrame:
     ``GROUP BY dt, GROUPING SETS((site,category,position), (site,category),
     (site,category,position,title))``; ``_gid`` is the grouping id over
     (dt, site, category, position, title): 1 = cell, 3 = entry subtotal,
-    0 = title within a cell. Small (groups, not clicks): cut it with
-    ``checkpoint()`` and derive the report with ``click_heatmap_from_cells``.
+    0 = title within a cell. Its size is the number of groups, not of clicks.
     """
     rows = _positions(clicks.where(F.col("dt").isin([iso(d) for d in days])))
     metrics = [F.count("custom_uuid").alias("playNum"), F.count_distinct("custom_uuid").alias("users")]
@@ -121,15 +130,30 @@ def heatmap_cells(clicks: DataFrame, days: Iterable) -> DataFrame:
 def click_heatmap_from_cells(cells: DataFrame, report_day, *, min_count: int = MIN_GROUP_COUNT,
                              title_min_count: int | None = None, k: int = TOP_TITLES, sep: str = "|",
                              baselines: Mapping[str, int] = BASELINES) -> DataFrame:
-    """R8 from ``heatmap_cells``: the same rows as ``click_heatmap_report``."""
+    """R8 from ``heatmap_cells``.
+
+    Group rows (cells, entry subtotals) pass ``HAVING playNum >= min_count`` on
+    every day; title rows of the report day pass the title threshold and are
+    ranked per cell by a window over the aggregate. One ``groupBy`` then pivots
+    the group rows over the days and lists each cell's top k titles (at most k
+    entries, best first; NULL when the cell has none).
+    """
     d0 = as_day(report_day)
-    gsets = (cells.where(F.col("_gid") != 0)
-             .select("dt", *GROUP_KEYS, F.shiftright("_gid", 1).alias("id_1"), "playNum", "users")
-             .where(F.col("playNum") >= F.lit(min_count)))
-    base = compare_periods(gsets, day_col="dt", report_day=d0,
+    title_min = min_count if title_min_count is None else title_min_count
+    gid = F.col("_gid")
+    title_row = ((gid == 0) & (F.col("dt") == iso(d0)) & F.col("title").isNotNull()
+                 & (F.col("playNum") >= F.lit(title_min)))
+    group_row = (gid != 0) & (F.col("playNum") >= F.lit(min_count))
+    rows = cells.withColumn("_title_row", title_row).where(group_row | F.col("_title_row"))
+    rank = Window.partitionBy(*GROUP_KEYS, "_title_row").orderBy(F.col("playNum").desc(),
+                                                                 F.col("title").asc_nulls_last())
+    rows = (rows.withColumn("_rn", F.row_number().over(rank))
+            .where(~F.col("_title_row") | (F.col("_rn") <= F.lit(k)))
+            .withColumn("id_1", F.shiftright(gid, 1)))
+    titles = F.collect_list(F.when(F.col("_title_row"), F.struct(F.col("_rn"), F.col("title"))))
+    title_set = F.when(F.size(titles) > 0,
+                       F.concat_ws(sep, F.transform(F.array_sort(titles), lambda x: x["title"])))
+    return compare_periods(rows, day_col="dt", report_day=d0,
                            keys={"site": "channelName", "category": "entryName", "position": "position"},
-                           metrics=HEATMAP_METRICS, baselines=baselines, day_value=iso)
-    counted = (cells.where((F.col("_gid") == 0) & (F.col("dt") == iso(d0)) & F.col("title").isNotNull())
-               .where(F.col("playNum") >= F.lit(min_count if title_min_count is None else title_min_count)))
-    titles = rank_labels(counted, GROUP_KEYS, "title", "playNum", k=k, sep=sep)
-    return _with_titles(base, titles)
+                           metrics=HEATMAP_METRICS, baselines=baselines, day_value=iso,
+                           metric_rows=~F.col("_title_row"), extra={"titleSet": title_set})

@@ -64,8 +64,9 @@ def main():
              "- Member reports: the pull (orders ⋈ accounts, then the entitlements, each side shuffled once when",
              "  nothing is broadcast), one map-combined exchange per member key (`first_seen_groups`), the cube and",
              "  the pivot. The row-level first-seen queries add the report-day pull and the join back.",
-             "- Heat map: grouping sets and top titles (`WindowGroupLimit` before the window exchange), joined on",
-             "  the cell keys; both sides are per-cell aggregates.",
+             "- Heat map: one scan and one aggregation (grouping sets plus a title level), a window over that",
+             "  aggregate for the top titles, one pivot; no join. The standalone top-titles queries show",
+             "  `WindowGroupLimit` before the window exchange.",
              "- A regression shows up as a new Exchange or scan in this table.", "",
              "| query | scans | shuffle exchanges | broadcast exchanges | joins | Expand | windows | shuffles, no broadcast | joins, no broadcast |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]

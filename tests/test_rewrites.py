@@ -69,14 +69,14 @@ def test_pivot_compare_equals_join_compare(spark):
     assert pivot.count() == 33
 
 
-def test_heatmap_from_one_aggregation_equals_report(spark):
+def test_single_pass_heatmap_equals_joined_form(spark):
     from daybook.plans import heatmap
 
     days = report_days(fx.EVENTS_DAY)
     clicks = heatmap.click_rows(fx.launcher_logs(spark, SF, days.values()))
-    args = dict(min_count=fx.FIXTURE_MIN_GROUP, title_min_count=fx.FIXTURE_MIN_TITLE)
-    want = heatmap.click_heatmap_report(clicks, fx.EVENTS_DAY, **args)
-    cells = heatmap.heatmap_cells(clicks, days.values())
-    got = heatmap.click_heatmap_from_cells(cells, fx.EVENTS_DAY, **args)
-    assert got.columns == want.columns
-    assert rows(got) == rows(want) and got.count() == 59
+    for args in (dict(min_count=fx.FIXTURE_MIN_GROUP, title_min_count=fx.FIXTURE_MIN_TITLE),
+                 dict(min_count=2, title_min_count=5, k=2, sep="| ")):
+        want = heatmap.click_heatmap_report_joined(clicks, fx.EVENTS_DAY, **args)
+        got = heatmap.click_heatmap_report(clicks, fx.EVENTS_DAY, **args)
+        assert got.columns == want.columns
+        assert rows(got) == rows(want) and got.count() > 0
