@@ -4,8 +4,10 @@ X1 first-seen: three per-day window passes (rows <= d, min over keys, keep = d),
    three cubes, two joins   vs   one aggregate + join for all days, one cube, pivot.
 X2 comparison: three per-day cubes and two null-safe left joins   vs   one cube
    grouped by day and a pivot.
+X3 heat map: grouping sets and top titles read separately, then joined   vs   one
+   aggregation with a title-level grouping set, a window and one pivot.
 
-Prints one JSON line: {"x1": {"reference": s, "rewrite": s}, "x2": {...}, "sf": ...}.
+Prints one JSON line: {"x1": {"reference": s, "rewrite": s}, "x2": {...}, "x3": {...}, "sf": ...}.
 """
 
 import json
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from daybook.functions.dates import report_days  # noqa: E402
 from daybook.functions.presets import fixture_packages  # noqa: E402
 from daybook.operators.compare import compare_frames  # noqa: E402
-from daybook.plans import catalog, exposure, members  # noqa: E402
+from daybook.plans import catalog, exposure, heatmap, members  # noqa: E402
 from daybook.plans.exposure import EXPOSURE_METRICS  # noqa: E402
 from daybook.session import local_session  # noqa: E402
 from daybook.sources import fixtures as fx  # noqa: E402
@@ -64,6 +66,13 @@ def exposure_reference(spark, sf):
                           metrics=EXPOSURE_METRICS)
 
 
+def heatmap_joined(spark, sf):
+    days = report_days(fx.EVENTS_DAY)
+    clicks = heatmap.click_rows(fx.launcher_logs(spark, sf, days.values()))
+    return heatmap.click_heatmap_report_joined(clicks, fx.EVENTS_DAY, min_count=fx.FIXTURE_MIN_GROUP,
+                                               title_min_count=fx.FIXTURE_MIN_TITLE)
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
@@ -73,6 +82,8 @@ def main():
                "rewrite": timed(lambda: catalog.new_members_report(spark, sf), repeat)},
         "x2": {"reference": timed(lambda: exposure_reference(spark, sf), repeat),
                "rewrite": timed(lambda: catalog.page_exposure_report(spark, sf), repeat)},
+        "x3": {"reference": timed(lambda: heatmap_joined(spark, sf), repeat),
+               "rewrite": timed(lambda: catalog.click_heatmap_report(spark, sf), repeat)},
         "sf": sf,
     }
     print(json.dumps(result))
