@@ -8,13 +8,14 @@ with sources and sinks in ``plans.jobs``. Reusable operators live in
 
 from .functions.labels import label_map, override
 from .functions.metrics import pct_change, ratio, round2
-from .operators.cohort import first_seen
+from .operators.cohort import first_seen, first_seen_groups
 from .operators.compare import compare_frames, compare_periods
 from .operators.flatten import flatten_events
 from .operators.rollup import cube_sets, rollup
-from .operators.topk import top_k_label_set, top_k_labels
+from .operators.topk import rank_labels, top_k_label_set, top_k_labels
 
 __all__ = [
-    "compare_frames", "compare_periods", "cube_sets", "first_seen", "flatten_events", "label_map",
-    "override", "pct_change", "ratio", "rollup", "round2", "top_k_label_set", "top_k_labels",
+    "compare_frames", "compare_periods", "cube_sets", "first_seen", "first_seen_groups", "flatten_events",
+    "label_map", "override", "pct_change", "rank_labels", "ratio", "rollup", "round2", "top_k_label_set",
+    "top_k_labels",
 ]
