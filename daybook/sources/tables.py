@@ -26,13 +26,18 @@ from .schemas import DAILY_FACT, PAGE_STAY
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], *,
-                     fmt: str = "parquet", mode: str = "replace") -> None:
+                     fmt: str = "parquet", mode: str = "replace",
+                     max_records_per_file: int | None = None) -> None:
     """Write ``df`` partitioned by ``partition_cols``.
 
     ``mode="replace"``: dynamic partition overwrite, only the partitions present
-    in ``df`` are replaced. ``mode="append"``: plain append.
+    in ``df`` are replaced. ``mode="append"``: plain append. Each task writes its
+    own files (no repartition by the partition column, which would send a whole
+    day to one task); ``max_records_per_file`` bounds their size.
     """
     writer = df.write.format(fmt).partitionBy(*partition_cols)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "append":

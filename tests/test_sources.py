@@ -175,3 +175,11 @@ def test_malformed_lines_kept_in_corrupt_column(spark, tmp_path):
     got = {(r.custom_uuid, r._corrupt) for r in df.collect()}
     df.unpersist()
     assert got == {(None, "{not json"), ("u1", None)}
+
+
+def test_max_records_per_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(100).selectExpr("'d' AS dt", "id").coalesce(1)
+    tables.write_partitions(df, path, ["dt"], max_records_per_file=30)
+    files = [f for f in os.listdir(os.path.join(path, "dt=d")) if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.read.parquet(path).count() == 100
