@@ -145,3 +145,24 @@ def test_provider_labels_match_a_dictionary(spark, codes):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, p string")
     got = [r[1] for r in sorted(df.select("i", label_map("p", PROVIDER_CHANNELS)).collect())]
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["2024-01-30", "2024-01-29", "2024-01-23", "2024-01-25"]),
+                          st.sampled_from(["a", "b"]), st.sampled_from(["c1", None]),
+                          st.sampled_from(["0,1", "1,1", "nav", None]),
+                          st.sampled_from(["t1", "t2", "t3", None]), st.sampled_from(["u1", "u2", None])),
+                min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=3), st.integers(min_value=1, max_value=3),
+       st.integers(min_value=1, max_value=3))
+def test_single_pass_heatmap_equals_joined_form_on_random_clicks(spark, data, min_count, title_min, k):
+    from daybook.plans import heatmap
+
+    clicks = spark.createDataFrame(
+        [(u, s, c, p, t, d) for d, s, c, p, t, u in data],
+        "custom_uuid string, site string, category string, position string, title string, dt string")
+    args = dict(min_count=min_count, title_min_count=title_min, k=k)
+    want = heatmap.click_heatmap_report_joined(clicks, D0, **args)
+    got = heatmap.click_heatmap_report(clicks, D0, **args)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
