@@ -49,3 +49,15 @@ def test_oracle_double_format_matches_spark(spark, duck):
     got = [r[0] for r in duck.execute(
         f"SELECT {java_double('x')} FROM (VALUES {rows_}) t(i, x) ORDER BY i").fetchall()]
     assert got == want
+
+
+@pytest.mark.parametrize("key", ["page_exposure_report", "new_members_report", "click_heatmap_report",
+                                 "monthly_sales_cube"])
+def test_results_do_not_depend_on_ansi_mode(spark, duck, key):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        ok, msg = compare(queries()[key](spark, SF), duck, oracle_sql()[key])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert ok, msg
