@@ -47,6 +47,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--fact", help="daily order fact table path")
     p.add_argument("--by", choices=["channel", "account"], default="channel", help="new-member cohort key")
     p.add_argument("--min-count", type=int, default=None, help="heat map HAVING threshold")
+    p.add_argument("--title-min-count", type=int, default=None, help="heat map title threshold")
+    p.add_argument("--missing-category", default="null",
+                   help="heat map label of a click without category ('' keeps NULL)")
     p.add_argument("--input-format", default="parquet")
     p.add_argument("--out", help="report table path (replaced per date)")
     p.add_argument("--jdbc-url"), p.add_argument("--jdbc-table")
@@ -64,7 +67,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
         report = jobs.page_exposure_job(spark, args.logs, args.page_stay, args.date, tz=args.tz)
     elif args.job == "heatmap":
         extra = {"min_count": args.min_count} if args.min_count is not None else {}
-        report = jobs.heatmap_job(spark, args.logs, args.date, **extra)
+        report = jobs.heatmap_job(spark, args.logs, args.date, title_min_count=args.title_min_count,
+                                  missing_category=args.missing_category or None, **extra)
     elif args.job == "daily-sales":
         report = sales.daily_sales_report(read(args.orders), args.date, tz=args.tz)
     elif args.job == "daily-fact":

@@ -65,7 +65,8 @@ def test_log_jobs(spark, tmp_path):
     for d in (d7, d1):
         main(["ingest-page-stay", "--date", str(d), "--logs", logs, "--page-stay", stay])
     main(["page-exposure", "--date", str(d0), "--logs", logs, "--page-stay", stay, "--out", str(tmp_path / "exp")])
-    main(["heatmap", "--date", str(d0), "--logs", logs, "--min-count", "3", "--out", str(tmp_path / "heat")])
+    main(["heatmap", "--date", str(d0), "--logs", logs, "--min-count", "3", "--title-min-count", "2",
+          "--out", str(tmp_path / "heat")])
     assert spark.read.parquet(str(tmp_path / "exp")).count() > 0
     assert spark.read.parquet(str(tmp_path / "heat")).count() > 0
     assert os.path.isdir(os.path.join(stay, "load_date=2024-01-23"))
@@ -79,6 +80,9 @@ def test_cli_arguments_and_properties_file(tmp_path):
     assert _properties(str(props)) == {"user": "reporter", "password": "s=cret", "driver": "org.example.Driver"}
     assert _properties(None) == {}
     args = parser().parse_args(["heatmap", "--date", "2024-01-30", "--logs", "/x", "--out", "/y"])
-    assert (args.job, args.min_count, args.tz) == ("heatmap", None, "UTC")
+    assert (args.job, args.min_count, args.tz, args.missing_category) == ("heatmap", None, "UTC", "null")
+    args = parser().parse_args(["heatmap", "--date", "2024-01-30", "--title-min-count", "2",
+                                "--missing-category", ""])
+    assert (args.title_min_count, args.missing_category or None) == (2, None)
     with pytest.raises(SystemExit):
         parser().parse_args(["unknown-job", "--date", "2024-01-30"])
