@@ -183,3 +183,13 @@ def test_max_records_per_file(spark, tmp_path):
     tables.write_partitions(df, path, ["dt"], max_records_per_file=30)
     files = [f for f in os.listdir(os.path.join(path, "dt=d")) if f.endswith(".parquet")]
     assert len(files) == 4 and spark.read.parquet(path).count() == 100
+
+
+def test_publish_report_needs_a_jdbc_table(spark, tmp_path):
+    from daybook.plans import jobs
+
+    report = spark.createDataFrame([(20240130, "a", 1)], "date int, k string, v long")
+    with pytest.raises(ValueError, match="jdbc_table"):
+        jobs.publish_report(spark, report, str(tmp_path / "r"), jdbc_url="jdbc:x://h/db")
+    # the file table was written before the export step
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 1
