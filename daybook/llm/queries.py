@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import hyperminhash
+from daybook.llm import bpe, hyperminhash, quality, tokencount
 from daybook.llm.common import documents
 
+#: Names of the public vocabulary files; the library resolves their place on each machine.
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates,)}
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), path), path))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_quality, op4_bpe, op5_token_counts)}
