@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, hyperminhash, quality, tokencount
+from daybook.llm import bpe, decontaminate, hyperminhash, quality, tokencount
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -30,4 +30,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_quality, op4_bpe, op5_token_counts)}
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_quality, op4_bpe, op5_token_counts, op7_decontaminate)}
