@@ -53,10 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     registered, so lineage cuts never land on a machine-local path on a cluster.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
+    current = sc.getCheckpointDir()
+    if current:          # set from spark.checkpoint.dir at start; setting it again would nest a new folder
         return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="daybook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
