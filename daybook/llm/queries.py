@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, hyperminhash, quality, tokencount
+from daybook.llm import bpe, decontaminate, hyperminhash, linetemplates, quality, tokencount
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -21,6 +22,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the digest of the text that stays."""
+    out = linetemplates.line_dedup(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), path), path))
@@ -34,4 +41,5 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_quality, op4_bpe, op5_token_counts, op7_decontaminate)}
+QUERIES = {f.__name__: f for f in (
+    op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts, op7_decontaminate)}
