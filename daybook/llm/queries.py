@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, hyperminhash, licenses, linetemplates, quality, tokencount
+from daybook.llm import bpe, decontaminate, hyperminhash, licenses, linetemplates, pii, quality, tokencount
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -41,10 +41,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(documents(spark, sf_dir))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(licenses.license_scan(documents(spark, sf_dir)))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts, op7_decontaminate,
-    op9_license_scan)}
+    op8_pii_surrogates, op9_license_scan)}
