@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, hyperminhash, licenses, linetemplates, pii, quality, tokencount
+from daybook.llm import bpe, bwtdedup, decontaminate, hyperminhash, langid, licenses, linetemplates, pii, quality, tokencount
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -37,6 +37,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.page_languages(documents(spark, sf_dir, "pages"), documents(spark, sf_dir))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(licenses.license_scan(documents(spark, sf_dir)))
 
 
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bwtdedup.without_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts, op7_decontaminate,
-    op8_pii_surrogates, op9_license_scan)}
+    op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts,
+    op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings)}
