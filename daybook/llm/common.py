@@ -12,10 +12,19 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns that an operator reads, under fixed names; others can't clash."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """Only the two columns that an operator reads, under fixed names, so that others can't clash;
+    with ``carry`` also a struct ``rest`` of the named columns."""
+    out = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                      F.col(f"`{text_col}`").cast("string").alias("text"),
+                      *([F.struct(*(F.col(f"`{c}`").alias(c) for c in carry)).alias("rest")] if carry else []))
+    return out
+
+
+def rest_type(frame: DataFrame) -> str:
+    """The type of the carried struct, for a schema string."""
+    return frame.schema["rest"].dataType.simpleString()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
-from daybook.llm.common import cut, id_and_text
+from daybook.llm.common import cut, id_and_text, rest_type
 
 WINDOW = 13
 SUBSTITUTIONS = 2
@@ -153,13 +153,17 @@ def _parts(windows: DataFrame) -> list[list[Windows]]:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+             item_col: str = "item_id", item_text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, items, words) of every row: the items that contaminate it, and the first
-    word of every window that does (words counted from 0)."""
+    word of every window that does (words counted from 0). With ``carry`` also the text
+    and a struct ``rest`` of the named columns."""
     spark = docs.sparkSession
     kind = "array<long>"
-    frame = id_and_text(docs, id_col, text_col).select(
-        "doc_id", "text", F.array().cast(kind).alias("items"), F.array().cast(kind).alias("words"))
+    frame = id_and_text(docs, id_col, text_col, carry)
+    kept = ["text", "rest"] if carry else []
+    rest = f", rest {rest_type(frame)}" if carry else ""
+    frame = frame.select("doc_id", "text", F.array().cast(kind).alias("items"), F.array().cast(kind).alias("words"),
+                         *kept[1:])
     windows = benchmark_windows(benchmark, item_col, item_text_col)
     for part in _parts(cut(windows)):
         shared = spark.sparkContext.broadcast(part)
@@ -182,10 +186,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                     yield pa.record_batch([
                         batch.column(0)[own], batch.column(1)[own],
                         pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-                        pa.array([sorted(x) for x in words], pa.list_(pa.int64()))],
-                        names=["doc_id", "text", "items", "words"])
-        frame = frame.mapInArrow(run, f"doc_id long, text string, items {kind}, words {kind}")
-    return frame.select("doc_id", "items", "words")
+                        pa.array([sorted(x) for x in words], pa.list_(pa.int64())),
+                        *(x[own] for x in batch.columns[4:])],
+                        names=["doc_id", "text", "items", "words", *kept[1:]])
+        frame = frame.mapInArrow(run, f"doc_id long, text string, items {kind}, words {kind}{rest}")
+    return frame.select("doc_id", "items", "words", *kept)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
