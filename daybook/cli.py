@@ -17,9 +17,10 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .plans import jobs, members, sales
+from .sources import jdbc
 
 
 def _properties(path: str | None) -> dict[str, str]:
@@ -48,40 +49,73 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--by", choices=["channel", "account"], default="channel", help="new-member cohort key")
     p.add_argument("--min-count", type=int, default=None, help="heat map HAVING threshold")
     p.add_argument("--title-min-count", type=int, default=None, help="heat map title threshold")
-    p.add_argument("--missing-category", default="null",
-                   help="heat map label of a click without category ('' keeps NULL)")
-    p.add_argument("--input-format", default="parquet")
+    p.add_argument("--missing-category", default=None,
+                   help="heat map label of a click without category (default: it stays NULL)")
+    p.add_argument("--input-format", default="parquet",
+                   help="format of the input tables; 'table' reads catalog tables by name")
+    p.add_argument("--input-jdbc-url", help="read --orders, --rights and --accounts as tables of this database")
+    p.add_argument("--input-jdbc-properties", help="file with user=, password=, driver= lines")
+    p.add_argument("--input-jdbc-partitions", type=int, default=None,
+                   help="parallel reads per table, split on its id column between the two bounds")
+    p.add_argument("--input-jdbc-bounds", default=None, help="LOWER:UPPER of the id column")
     p.add_argument("--out", help="report table path (replaced per date)")
     p.add_argument("--jdbc-url"), p.add_argument("--jdbc-table")
+    p.add_argument("--jdbc-mode", choices=["overwrite", "append"], default="overwrite",
+                   help="rewrite the exported table, or append the report day to it")
     p.add_argument("--jdbc-properties", help="file with user=, password=, driver= lines")
     return p
 
 
+#: The id column a parallel JDBC read of an input is split on.
+ID_COLUMNS = {"orders": "order_id", "rights": "order_id", "accounts": "account_id"}
+
+
+def read_input(args: argparse.Namespace, spark: SparkSession, name: str) -> DataFrame:
+    """The orders, rights or accounts input: a database table, a catalog table or files.
+
+    Day bounds are plain ranges on the epoch columns, which Spark pushes into the
+    database's WHERE as well as into files.
+    """
+    source = getattr(args, name)
+    if args.input_jdbc_url:
+        split = {}
+        if args.input_jdbc_partitions:
+            lower, upper = (int(x) for x in (args.input_jdbc_bounds or "").split(":"))
+            split = {"partition_column": ID_COLUMNS[name], "lower_bound": lower, "upper_bound": upper,
+                     "num_partitions": args.input_jdbc_partitions}
+        return jdbc.jdbc_source(spark, args.input_jdbc_url, table=source,
+                                properties=_properties(args.input_jdbc_properties), **split)
+    if args.input_format == "table":
+        return spark.table(source)
+    return spark.read.format(args.input_format).load(source)
+
+
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
-    read = lambda path: spark.read.format(args.input_format).load(path)
+    read = lambda name: read_input(args, spark, name)
     if args.job == "ingest-page-stay":
-        jobs.ingest_page_stay(spark, args.logs, args.page_stay, args.date, tz=args.tz)
+        counts = jobs.ingest_page_stay(spark, args.logs, args.page_stay, args.date, tz=args.tz)
+        print(" ".join(f"{k}={v}" for k, v in counts.items()), file=sys.stderr)
         return
-    partition = "date"
+    day = args.date
     if args.job == "page-exposure":
         report = jobs.page_exposure_job(spark, args.logs, args.page_stay, args.date, tz=args.tz)
     elif args.job == "heatmap":
         extra = {"min_count": args.min_count} if args.min_count is not None else {}
         report = jobs.heatmap_job(spark, args.logs, args.date, title_min_count=args.title_min_count,
-                                  missing_category=args.missing_category or None, **extra)
+                                  missing_category=args.missing_category, **extra)
     elif args.job == "daily-sales":
-        report = sales.daily_sales_report(read(args.orders), args.date, tz=args.tz)
+        report = sales.daily_sales_report(read("orders"), args.date, tz=args.tz)
     elif args.job == "daily-fact":
-        report = sales.daily_order_fact(read(args.orders), args.date, tz=args.tz)
+        report = sales.daily_order_fact(read("orders"), args.date, tz=args.tz)
     elif args.job == "monthly-sales":
-        report = jobs.monthly_sales_job(spark, read(args.orders), args.fact, args.date, tz=args.tz)
-        partition = None
+        report = jobs.monthly_sales_job(spark, read("orders"), args.fact, args.date, tz=args.tz)
+        day = None
     else:
         keys = members.BY_ACCOUNT if args.by == "account" else members.BY_CHANNEL
-        report = members.new_members_report(read(args.rights), read(args.orders), read(args.accounts),
+        report = members.new_members_report(read("rights"), read("orders"), read("accounts"),
                                             args.date, keys=keys, tz=args.tz)
-    jobs.publish_report(spark, report, args.out, partition_col=partition, jdbc_url=args.jdbc_url,
-                        jdbc_table=args.jdbc_table, jdbc_properties=_properties(args.jdbc_properties))
+    jobs.publish_report(spark, report, args.out, report_day=day, jdbc_url=args.jdbc_url, jdbc_table=args.jdbc_table,
+                        jdbc_properties=_properties(args.jdbc_properties), jdbc_mode=args.jdbc_mode)
 
 
 def main(argv: list[str] | None = None) -> int:

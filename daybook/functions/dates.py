@@ -51,6 +51,22 @@ def epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+#: Epoch seconds of the first and last instant of a TIMESTAMP_NTZ (years 1 to 9999).
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def epoch_count(raw: str | Column, unit: str = "SECOND") -> Column:
+    """An epoch count (``unit`` SECOND or MILLISECOND) from a number or its text, fraction cut off.
+
+    What is no number, or lies outside the years 1 to 9999, is NULL instead of an error.
+    """
+    col = F.col(raw) if isinstance(raw, str) else raw
+    scale = 1000 if unit == "MILLISECOND" else 1
+    number = col.cast("string").try_cast("decimal(38,9)")
+    inside = (number >= F.lit(FIRST_SECOND * scale)) & (number < F.lit((LAST_SECOND + 1) * scale))
+    return F.when(inside, number).try_cast("bigint")
+
+
 def wall_clock(epoch: str | Column, unit: str = "MILLISECOND", tz: str = "UTC") -> Column:
     """Local wall-clock TIMESTAMP_NTZ of an epoch count (``unit`` MILLISECOND or SECOND)."""
     col = F.col(epoch) if isinstance(epoch, str) else epoch
@@ -87,11 +103,6 @@ def epoch_seconds(ntz: str | Column) -> Column:
     return days * F.lit(86_400) + secs + F.second(col).cast("bigint")
 
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Whole seconds from ``start`` to ``end`` (two wall-clock TIMESTAMP_NTZ columns)."""
-    return epoch_seconds(end) - epoch_seconds(start)
-
-
 def day_bounds_ms(day, tz: str = "UTC") -> tuple[int, int]:
     """Epoch ms of local midnight starting ``day`` and the next day in ``tz``."""
     d = as_day(day)
@@ -119,6 +130,12 @@ def until_day_ms(epoch_ms: str | Column, day, tz: str = "UTC") -> Column:
     return col < F.lit(day_bounds_ms(day, tz)[1])
 
 
+def until_day_ntz(ntz: str | Column, day) -> Column:
+    """A UTC wall-clock column falls on ``day`` or earlier: a literal range (pushable)."""
+    col = F.col(ntz) if isinstance(ntz, str) else ntz
+    return col < F.lit(f"{(as_day(day) + DAY).isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def on_days_ntz(ntz: str | Column, days: Iterable) -> Column:
     """A UTC wall-clock column falls on one of ``days``: OR of literal ranges (pushable)."""
     col = F.col(ntz) if isinstance(ntz, str) else ntz

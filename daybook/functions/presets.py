@@ -73,3 +73,8 @@ def fixture_packages() -> LabelPreset:
     """Package preset for the test views: ids PK0..PK18 by blocks, PK19+ unmapped."""
     blocks = ((ANNUAL, 0, 4), (HALF_YEAR, 4, 8), (QUARTER, 8, 12), (MONTHLY, 12, 16), (AUTO_RENEW, 16, 19))
     return LabelPreset(tuple((label, tuple(f"pk{i}" for i in range(lo, hi))) for label, lo, hi in blocks))
+
+
+def fixture_fact_packages() -> LabelPreset:
+    """The test views' daily-fact preset: it alone also files PK19 under the annual label."""
+    return fixture_packages().with_codes(ANNUAL, "pk19")

@@ -3,14 +3,13 @@
 Per report day ``d`` the reference keeps the rows of ``d`` whose key group has
 no earlier row: ``min(time) over (partition by keys)`` on rows ``<= d``, kept
 where the minimum equals ``d``. Because a row after ``d`` cannot lower a
-minimum, the same rows follow from ONE global minimum per key for all report
-days at once: keep rows where ``time = first`` and ``first`` is a report day.
+minimum, the same rows follow from ONE minimum per key for all report days at
+once: keep rows where ``time = first`` and ``first`` is a report day.
 
-Planned as an aggregate plus a join instead of a window: the minimum is a
-``groupBy().agg(min)`` that combines map-side, so a key holding a third of all
-rows costs one partial row per task instead of one giant window partition;
-only rows of the report days are joined back (equi-join on keys + day, one
-match per row). AQE's skew-join split covers a hot key on those days.
+Both forms read their input once. A map-side combined hash aggregation first
+collapses a key's history to its earliest day; a window over what is left (rows of
+the report days, or bounded label combinations) then compares with the minimum. A
+key holding a third of all rows thus reaches the window as one history row.
 """
 
 from __future__ import annotations
@@ -22,53 +21,43 @@ from pyspark.sql import functions as F
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], time_col: str, days: Iterable, *,
-               out_col: str = "registtime", method: str = "aggregate") -> DataFrame:
+               out_col: str = "registtime") -> DataFrame:
     """Rows first seen on one of ``days``, tagged with ``out_col`` = that day.
 
     ``time_col`` must be comparable with the ``days`` literals (DATE columns with
     ``datetime.date`` values). Rows after the last day are ignored, as the
-    reference's day-bounded pull does.
+    reference's day-bounded pull does. Rows off the report days only matter through
+    their key's minimum, so they are grouped to one row per key; equal rows of the
+    report days are grouped with a count and come back that many times.
     """
     days = sorted(set(days))
-    last = days[-1]
-    history = df.where(F.col(time_col) <= F.lit(last))
-    if method == "window":
-        w = Window.partitionBy(*keys)
-        tagged = history.withColumn(out_col, F.min(time_col).over(w))
-        return tagged.where((F.col(time_col) == F.col(out_col)) & F.col(out_col).isin(days))
-    if method != "aggregate":
-        raise ValueError(f"unknown method {method!r}")
-    firsts = (history.groupBy(*keys).agg(F.min(time_col).alias(out_col))
-              .where(F.col(out_col).isin(days)))
-    firsts = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], out_col)
-    rows = history.where(F.col(time_col).isin(days))
-    cond = rows[time_col] == firsts[out_col]
-    for i, k in enumerate(keys):
-        cond = cond & rows[k].eqNullSafe(firsts[f"_k{i}"])
-    return rows.join(firsts, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+    history = df.where(F.col(time_col) <= F.lit(days[-1]))
+    on_days = F.col(time_col).isin(days)
+    others = [c for c in df.columns if c not in keys]
+    grouped = (history.groupBy(*keys, on_days.alias("_on"),
+                               *[F.when(on_days, F.col(c)).alias(f"_c{i}") for i, c in enumerate(others)])
+               .agg(F.min(time_col).alias("_day"), F.count("*").alias("_n")))
+    tagged = grouped.withColumn(out_col, F.min("_day").over(Window.partitionBy(*keys)))
+    rows = tagged.where(F.col("_on") & (F.col("_day") == F.col(out_col)))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    column = {c: F.col(f"_c{i}").alias(c) for i, c in enumerate(others)}
+    return rows.select(*[column.get(c, c) for c in df.columns], out_col)
 
 
 def first_seen_groups(df: DataFrame, keys: Sequence[str], time_col: str, days: Iterable,
                       carry: Sequence[str], *, out_col: str = "registtime") -> DataFrame:
     """Distinct ``keys + carry`` combinations first seen on one of ``days``.
 
-    Same rows as ``first_seen(...).select(keys, carry, out_col).distinct()``, in
-    ONE aggregation: per key the first day and the set of ``carry`` values seen
-    on the report days, then the values of the first day are kept. No join back,
-    no DISTINCT over the input. The set per key holds at most
-    ``len(days) x distinct(carry)`` entries, so ``carry`` must be label columns
-    (a bounded vocabulary such as channel and package labels), never ids.
-    Partial aggregation combines map-side, so a hot key stays cheap.
+    Same rows as ``first_seen(...).select(keys, carry, out_col).distinct()``: one hash
+    aggregation finds the first day of every combination, and a combination is kept
+    where that is the first day of its key. A key has at most as many rows in the
+    window as there are ``carry`` combinations, so ``carry`` must be label columns (a
+    bounded vocabulary such as channel and package labels), never ids.
     """
     days = sorted(set(days))
-    history = df.where(F.col(time_col) <= F.lit(days[-1]))
-    on_days = F.col(time_col).isin(days)
-    seen = F.struct(F.col(time_col).alias("_day"), *[F.col(c) for c in carry])
-    per_key = (history.groupBy(*keys)
-               .agg(F.min(time_col).alias(out_col),
-                    F.collect_set(F.when(on_days, seen)).alias("_seen"))
-               .where(F.col(out_col).isin(days)))
-    first_day = F.filter("_seen", lambda s: s["_day"] == F.col(out_col))
-    exploded = per_key.select(*keys, out_col, F.explode(first_day).alias("_s"))
     extra = [c for c in carry if c not in keys]
-    return exploded.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in extra], out_col)
+    first = (df.where(F.col(time_col) <= F.lit(days[-1]))
+             .groupBy(*keys, *extra).agg(F.min(time_col).alias("_day")))
+    tagged = first.withColumn(out_col, F.min("_day").over(Window.partitionBy(*keys)))
+    return (tagged.where((F.col("_day") == F.col(out_col)) & F.col(out_col).isin(days))
+            .select(*keys, *extra, out_col))

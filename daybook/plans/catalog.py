@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import report_days
-from ..functions.presets import fixture_packages
+from ..functions.presets import fixture_fact_packages, fixture_packages
 from ..sources import fixtures as fx
 from . import exposure, heatmap, members, sales
 
@@ -41,7 +41,7 @@ def page_exposure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- sales (V2)
 def daily_order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.sales_orders(spark, sf_dir, [fx.EVENTS_DAY])
-    return sales.daily_order_fact(orders, fx.EVENTS_DAY, preset=fixture_packages())
+    return sales.daily_order_fact(orders, fx.EVENTS_DAY, preset=fixture_fact_packages())
 
 
 def daily_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +60,11 @@ def monthly_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------- membership (V1)
-def _pull(spark: SparkSession, sf_dir: str, with_right_days: bool = True) -> DataFrame:
-    return members.member_pull(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir),
+def _pull(spark: SparkSession, sf_dir: str, with_right_days: bool = True, cohort: bool = False) -> DataFrame:
+    return members.member_pull(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir, fx.MEMBERS_DAY),
                                fx.accounts(spark, sf_dir), fx.MEMBERS_DAY,
-                               with_right_days=with_right_days)
+                               with_right_days=with_right_days,
+                               active_on=report_days(fx.MEMBERS_DAY).values() if cohort else None)
 
 
 def member_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,22 +76,22 @@ def channel_package_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_seen_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = members.label_members(_pull(spark, sf_dir), fixture_packages())
+    labeled = members.label_members(_pull(spark, sf_dir, cohort=True), fixture_packages())
     return members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL)
 
 
 def first_seen_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = members.label_members(_pull(spark, sf_dir), fixture_packages())
+    labeled = members.label_members(_pull(spark, sf_dir, cohort=True), fixture_packages())
     return members.new_members(labeled, fx.MEMBERS_DAY, keys=members.BY_ACCOUNT)
 
 
 def new_members_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = members.label_members(_pull(spark, sf_dir, with_right_days=False), fixture_packages())
+    labeled = members.label_members(_pull(spark, sf_dir, with_right_days=False, cohort=True), fixture_packages())
     return members.new_members_cube(members.new_member_groups(labeled, fx.MEMBERS_DAY, keys=members.BY_CHANNEL))
 
 
 def _members_report(spark: SparkSession, sf_dir: str, keys) -> DataFrame:
-    return members.new_members_report(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir),
+    return members.new_members_report(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir, fx.MEMBERS_DAY),
                                       fx.accounts(spark, sf_dir), fx.MEMBERS_DAY, keys=keys,
                                       preset=fixture_packages())
 

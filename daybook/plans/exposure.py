@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import BASELINES, iso, report_days, seconds_between, wall_clock
+from ..functions.dates import BASELINES, epoch_count, iso, report_days, wall_clock
 from ..functions.labels import label_map
 from ..functions.metrics import ratio, round2
 from ..functions.presets import MAX_STAY_SECONDS, SITE_CHANNELS
@@ -31,34 +31,50 @@ def page_stay_rows(logs: DataFrame, tz: str = "UTC") -> DataFrame:
 
     ``date``/``dt`` come from each record's ``rectime`` (so a late record lands
     on its own day), ``enter``/``exit`` become local wall-clock timestamps, the
-    site code becomes a channel. Items without ``time`` are dropped.
+    site code becomes a channel. Items without ``time`` are dropped. Epoch fields may
+    be numbers or text; one that can't be read is NULL (counted by
+    ``unreadable_fields``). ``staySeconds`` is the difference of the two instants.
     """
     flat = flatten_events(logs, "data.launcher_page_stay", ["enter", "exit", "title"],
                           keep=RECORD_FIELDS, not_null=["time"])
-    day = F.to_date(wall_clock("rectime", "MILLISECOND", tz))
+    day = F.to_date(wall_clock(epoch_count("rectime", "MILLISECOND"), "MILLISECOND", tz))
+    flat = flat.withColumns({"enter": epoch_count("enter"), "exit": epoch_count("exit")})
     return flat.select(
         "custom_uuid", "account", day.alias("date"),
         label_map("site", SITE_CHANNELS).alias("site"),
         "vercode", "vername", "device_name",
         wall_clock("enter", "SECOND", tz).alias("enter"),
         wall_clock("exit", "SECOND", tz).alias("exit"),
+        (F.col("exit") - F.col("enter")).alias("staySeconds"),
         "title",
         day.cast("string").alias("dt"),
     )
 
 
+def unreadable_fields(logs: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    """One row of counts: records, malformed lines, and epoch fields that hold something unreadable."""
+    bad = lambda c, unit: F.count_if(F.col(c).isNotNull() & epoch_count(c, unit).isNull())
+    malformed = F.count_if(F.col(corrupt_column).isNotNull()) if corrupt_column else F.lit(0).cast("bigint")
+    records = logs.agg(F.count("*").alias("records"), malformed.alias("malformed"),
+                       bad("rectime", "MILLISECOND").alias("bad_rectime"))
+    items = flatten_events(logs, "data.launcher_page_stay", ["enter", "exit"], not_null=["time"])
+    return records.crossJoin(items.agg(F.count("*").alias("items"), bad("enter", "SECOND").alias("bad_enter"),
+                                       bad("exit", "SECOND").alias("bad_exit")))
+
+
 def exposure_cube(page_stay: DataFrame, days: Iterable, max_stay: int = MAX_STAY_SECONDS) -> DataFrame:
     """``GROUP BY dt, CUBE(site, title)`` over valid stays of ``days`` (A5).
 
-    A stay counts when ``exit >= enter`` and it lasts at most ``max_stay`` s.
+    A stay counts when it lasts from 0 to ``max_stay`` s, as a difference of instants.
     ``count(custom_uuid)`` skips NULL users; averages are NULL when a group has
-    no user instead of a division error.
+    no user instead of a division error. Stays are first summed per (dt, site,
+    title, user), map-side, so the cube expands that and not every stay.
     """
-    duration = seconds_between("enter", "exit")
     stays = (page_stay.where(F.col("dt").isin([iso(d) for d in days]))
-             .where((F.col("exit") >= F.col("enter")) & (duration <= F.lit(max_stay)))
-             .select("dt", "site", "title", "custom_uuid", duration.alias("_secs")))
-    plays = F.count("custom_uuid")
+             .where(F.col("staySeconds").between(0, max_stay))
+             .groupBy("dt", "site", "title", "custom_uuid")
+             .agg(F.count("custom_uuid").alias("_plays"), F.sum("staySeconds").alias("_secs")))
+    plays = F.sum("_plays")
     users = F.count_distinct("custom_uuid")
     seconds = F.sum("_secs")
     metrics = [

@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.dates import BASELINES, as_day, report_days
-from ..functions.presets import MIN_GROUP_COUNT, MISSING_CATEGORY, PACKAGES_DAILY_FACT, LabelPreset
+from ..functions.dates import BASELINES, as_day, date_key, report_days
+from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
 from ..sources import jdbc
 from ..sources import logs as log_source
 from ..sources import tables
@@ -20,14 +21,16 @@ from . import exposure, heatmap, sales
 
 
 def ingest_page_stay(spark: SparkSession, log_root: str, table_path: str, load_day, *,
-                     tz: str = "UTC", fmt: str = "orc") -> None:
+                     tz: str = "UTC", fmt: str = "orc") -> dict[str, int]:
     """Flatten one day folder of launcher logs into the page-stay table.
 
     Fails with ``MissingInputError`` when the folder has no log file. Rerunning
-    the same ``load_day`` replaces that load only.
+    the same ``load_day`` replaces that load whole. Returns the counts of
+    ``exposure.unreadable_fields``: records, malformed lines and unreadable epochs.
     """
-    logs = log_source.read_logs(spark, log_root, [load_day])
+    logs = log_source.read_logs(spark, log_root, [load_day], corrupt_column="_malformed")
     tables.store_page_stay(exposure.page_stay_rows(logs, tz=tz), table_path, load_day, fmt=fmt)
+    return exposure.unreadable_fields(logs, "_malformed").first().asDict()
 
 
 def page_exposure_job(spark: SparkSession, log_root: str, table_path: str, report_day, *,
@@ -42,12 +45,11 @@ def page_exposure_job(spark: SparkSession, log_root: str, table_path: str, repor
 
 
 def heatmap_job(spark: SparkSession, log_root: str, report_day, *, min_count: int = MIN_GROUP_COUNT,
-                title_min_count: int | None = None, missing_category: str | None = MISSING_CATEGORY,
+                title_min_count: int | None = None, missing_category: str | None = None,
                 baselines: Mapping[str, int] = BASELINES) -> DataFrame:
-    """R8 from the log folders of the report and baseline days (one scan, every
-    folder checked first; a row's day is its folder's day). A click without a
-    category (the field may be absent from the logs) is labelled
-    ``missing_category``; ``None`` keeps it NULL."""
+    """R8 from the log folders of the report and baseline days (every folder checked
+    first; a row's day is its folder's day). A click without a category stays NULL;
+    ``missing_category`` labels it instead, for logs that lack the field."""
     days = report_days(report_day, baselines)
     logs = log_source.read_logs(spark, log_root, days.values())
     clicks = heatmap.click_rows(logs, day_col="log_day", missing_category=missing_category)
@@ -60,27 +62,32 @@ def monthly_sales_job(spark: SparkSession, orders: DataFrame, fact_path: str, re
     """R4 then R5: replace the report day in the stored day fact, then cube the
     whole fact by month. The written table cuts the lineage between stages."""
     fact = sales.daily_order_fact(orders, as_day(report_day), preset=preset, tz=tz)
-    tables.store_daily_fact(fact, fact_path)
+    tables.store_daily_fact(fact, fact_path, as_day(report_day))
     return sales.monthly_sales_cube(tables.read_daily_fact(spark, fact_path))
 
 
 def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, fmt: str = "parquet",
-                   partition_col: str | None = "date", jdbc_url: str | None = None,
-                   jdbc_table: str | None = None, jdbc_properties: Mapping[str, str] | None = None) -> None:
+                   report_day=None, jdbc_url: str | None = None, jdbc_table: str | None = None,
+                   jdbc_properties: Mapping[str, str] | None = None, jdbc_mode: str = "overwrite") -> None:
     """Store a report rerun-safely and optionally export it over JDBC.
 
-    A daily report replaces its ``partition_col`` partition of the file table
-    (``None``: the whole table is replaced, as for the monthly cube). The JDBC
-    table is then rewritten from the whole file table (truncate + overwrite), so
-    a rerun never duplicates a day there either. Report tables hold aggregates
-    (groups x days), so the full export stays small.
+    A daily report replaces the ``date`` partition of ``report_day``, also when it is
+    empty (``None``: the whole table is replaced, as for the monthly cube).
+
+    ``jdbc_mode="overwrite"`` rewrites the JDBC table from the whole file table
+    (truncate + overwrite), so a rerun never duplicates a day there; a failure in
+    between leaves it part filled until the rerun. ``"append"`` adds the rows of this
+    report only, what a scheduler that never reruns an exported day wants. Report
+    tables hold aggregates (groups x days), so the full export stays small.
     """
-    if partition_col:
-        tables.write_partitions(report, table_path, [partition_col], fmt=fmt, mode="replace")
+    if report_day is not None:
+        tables.replace_partition(report, table_path, ("date", date_key(report_day)), fmt=fmt)
     else:
         report.write.format(fmt).mode("overwrite").save(table_path)
     if jdbc_url:
         if not jdbc_table:
             raise ValueError("jdbc_table is required with jdbc_url")
         stored = tables.read_report(spark, table_path, report.columns, fmt=fmt)
-        jdbc.jdbc_sink(stored, jdbc_url, jdbc_table, mode="overwrite", properties=jdbc_properties)
+        if jdbc_mode == "append" and report_day is not None:
+            stored = stored.where(F.col("date") == date_key(report_day))
+        jdbc.jdbc_sink(stored, jdbc_url, jdbc_table, mode=jdbc_mode, properties=jdbc_properties)

@@ -131,12 +131,13 @@ CHANNEL_OF_PROVIDER = """CASE WHEN lower({x}) = 'iqiyi' THEN 'iqiyi' WHEN lower(
   WHEN lower({x}) IN ('bestv', 'bestv:pptv') THEN 'bestv' ELSE 'others' END"""
 
 
-def package_label(x: str, single_title_type: str | None = None) -> str:
-    """Fixture package preset as a CASE on lower(id)."""
+def package_label(x: str, single_title_type: str | None = None, fact: bool = False) -> str:
+    """Fixture package preset as a CASE on lower(id); ``fact``: the daily fact's, with one annual id more."""
     blocks = ((ANNUAL, 0, 4), (HALF_YEAR, 4, 8), (QUARTER, 8, 12), (MONTHLY, 12, 16), (AUTO_RENEW, 16, 19))
     whens = []
     for label, lo, hi in blocks:
-        ids = ", ".join(f"'pk{i}'" for i in range(lo, hi))
+        more = [19] if fact and label == ANNUAL else []
+        ids = ", ".join(f"'pk{i}'" for i in [*range(lo, hi), *more])
         whens.append(f"WHEN lower({x}) IN ({ids}) THEN '{label}'")
     if single_title_type:
         whens.append(f"WHEN {single_title_type} = 3 THEN '{SINGLE_TITLE}'")
@@ -194,7 +195,8 @@ EXPOSURE_METRICS = {
 
 def page_stay_flatten() -> str:
     return f"""WITH {STAY}
-SELECT custom_uuid, account, date, site, vercode, vername, device_name, enter, exit, title, dt
+SELECT custom_uuid, account, date, site, vercode, vername, device_name, enter, exit,
+       CAST(secs AS BIGINT) AS "staySeconds", title, dt
 FROM stay"""
 
 
@@ -251,12 +253,12 @@ sales_cube AS (
   FROM sales GROUP BY day, CUBE(channelName, packageName))"""
 
 
-def fact_cte(day_filter: str) -> str:
+def fact_cte(day_filter: str, fact_preset: bool = False) -> str:
     return f"""fact AS (
   SELECT strftime(epoch_ms(order_delevetime), '%Y%m%d') AS date,
          {CHANNEL_OF_PROVIDER.format(x='order_provide')} AS channelName,
          CASE WHEN order_type = 1 THEN 1 ELSE 2 END AS vipType,
-         {package_label('package_id', 'order_type')} AS packageName,
+         {package_label('package_id', 'order_type', fact_preset)} AS packageName,
          COUNT(*) AS sellCount, {r2('SUM(order_price) / 100')} AS moneyCount
   FROM so
   WHERE order_status = 4 AND order_state = 1 AND order_type IN (1, 2, 3) {day_filter}
@@ -265,7 +267,7 @@ def fact_cte(day_filter: str) -> str:
 
 def daily_order_fact() -> str:
     return (f"WITH {SALES_ORDERS}, "
-            + fact_cte(f"AND CAST(epoch_ms(order_delevetime) AS DATE) = {qd(EVENTS_DAY)}")
+            + fact_cte(f"AND CAST(epoch_ms(order_delevetime) AS DATE) = {qd(EVENTS_DAY)}", True)
             + " SELECT * FROM fact")
 
 
@@ -377,7 +379,7 @@ CLICKS = f"""{EV},
 clicks AS (
   SELECT CASE WHEN k % 17 = 0 THEN NULL ELSE 'u' || CAST(user_id AS VARCHAR) END AS custom_uuid,
          CASE k % 4 WHEN 0 THEN 'youku' WHEN 1 THEN 'iqiyi' WHEN 2 THEN 'bestv' ELSE 'others' END AS site,
-         event_type AS category,
+         CASE WHEN k % 23 = 0 THEN NULL ELSE event_type END AS category,
          CASE WHEN k % 10 = 9 THEN 'nav'
               ELSE CAST(CAST(floor(k / 50) AS BIGINT) AS VARCHAR) || ',' || CAST(k % 2 AS VARCHAR) END AS position,
          CASE WHEN k % 19 = 0 THEN NULL ELSE 't' || CAST(k % 8 AS VARCHAR) END AS title,

@@ -42,16 +42,20 @@ def package_name(preset: LabelPreset) -> Column:
 
 def daily_sales_cube(orders: DataFrame, days: Iterable, *, preset: LabelPreset = PACKAGES,
                      tz: str = "UTC") -> DataFrame:
-    """``GROUP BY day, CUBE(channelName, packageName)``: order count and revenue (A3)."""
+    """``GROUP BY day, CUBE(channelName, packageName)``: order count and revenue (A3).
+
+    Orders are first summed per (day, channel, package), map-side; the cube expands
+    those few rows, not every order.
+    """
     days = list(days)
     rows = paid_orders(orders, (2, 3), days, tz).select(
         local_day("order_delevetime", tz=tz).alias("day"),
         label_map("order_provide", PROVIDER_CHANNELS).alias("channelName"),
         package_name(preset).alias("packageName"),
         "order_price",
-    )
-    metrics = [F.count(F.lit(1)).alias("sellCount"),
-               cents_to_amount(F.sum("order_price")).alias("moneyCount")]
+    ).groupBy("day", "channelName", "packageName").agg(F.count(F.lit(1)).alias("_n"),
+                                                       F.sum("order_price").alias("_cents"))
+    metrics = [F.sum("_n").alias("sellCount"), cents_to_amount(F.sum("_cents")).alias("moneyCount")]
     return rollup(rows, ["channelName", "packageName"], metrics, always=["day"])
 
 

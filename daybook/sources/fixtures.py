@@ -26,7 +26,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_millis, epoch_seconds, on_days_ntz
+from ..functions.dates import epoch_millis, epoch_seconds, on_days_ntz, until_day_ntz
 
 # report dates of the fixtures (FIXTURES.md)
 MEMBERS_DAY = dt.date(1995, 7, 12)
@@ -42,17 +42,8 @@ ACCOUNT_BASE_DAY = dt.date(1995, 5, 19)
 MS_PER_DAY = 86_400_000
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table; the DataFrame (file listing + footer schema) is reused
-    within a session, since the test tables are read-only."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str, days: Iterable | None) -> DataFrame:
@@ -83,8 +74,12 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("*", epoch_millis("o_orderdate").alias("date_ms"))
+def member_orders(spark: SparkSession, sf_dir: str, until: dt.date | None = None) -> DataFrame:
+    """``until`` bounds the order day (inclusive) on the stored column, so that the scan prunes."""
+    o = table(spark, sf_dir, "orders")
+    if until is not None:
+        o = o.where(until_day_ntz("o_orderdate", until))
+    o = o.select("*", epoch_millis("o_orderdate").alias("date_ms"))
     return o.selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS account_id",
@@ -144,7 +139,7 @@ def launcher_logs(spark: SparkSession, sf_dir: str, days: Iterable | None = None
         'title', CASE WHEN k % 10 = 9 THEN NULL ELSE event_type END)"""
     click = f"""named_struct(
         'time', {time},
-        'category', event_type,
+        'category', CASE WHEN k % 23 = 0 THEN NULL ELSE event_type END,
         'position', CASE WHEN k % 10 = 9 THEN 'nav' ELSE concat(floor(k / 50), ',', k % 2) END,
         'title', CASE WHEN k % 19 = 0 THEN NULL ELSE concat('t', k % 8) END,
         'type', event_type)"""

@@ -48,7 +48,8 @@ def jdbc_sink(df: DataFrame, url: str, table: str, *, mode: str = "append",
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
-    out = df.coalesce(num_partitions) if num_partitions else df
+    # repartition, not coalesce: coalesce would run the stages above in as few tasks
+    out = df.repartition(num_partitions) if num_partitions else df
     writer = (out.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
               .option("batchsize", str(batch_size)))
     if mode == "overwrite":

@@ -1,13 +1,14 @@
 """Launcher log input: day-folder layout, input gate and one multi-day JSON read.
 
 Logs are gzip JSON lines under ``{root}/{yyyy-MM-dd}/{part}/*.gz``. All days a
-report needs are read in ONE scan with an explicit schema (no inference pass);
-each row carries ``log_day``, the day of the folder it came from.
+report needs are read with an explicit schema (no inference pass), one scan per day
+folder in a union; each row carries ``log_day``, the day whose folder was read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.dates import iso
 from .schemas import LOG_RECORD
 
-DAY_DIR = r"/(\d{4}-\d{2}-\d{2})/"
-
 
 class MissingInputError(FileNotFoundError):
     """A report input folder holds no log file."""
@@ -62,15 +61,18 @@ def read_logs(spark: SparkSession, root: str, days: Iterable, *, schema: StructT
     malformed lines in that column (their fields are NULL) instead of dropping
     them silently.
     """
+    days = [iso(d) for d in days]
     paths = [day_glob(root, d, pattern) for d in days]
     reader = spark.read.option("mode", "PERMISSIVE")
     if corrupt_column:
         schema = StructType(schema.fields + [StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     try:
-        df = reader.schema(schema).json(paths)
+        # the day is a literal of its own read, never parsed from a path: a dated root can't shift it
+        parts = [reader.schema(schema).json(p).withColumn("log_day", F.lit(d))
+                 for p, d in zip(paths, days, strict=True)]
     except AnalysisException as exc:
         if check and _path_missing(exc):
             require_inputs(spark, paths)   # names every missing day, not only the first
         raise
-    return df.withColumn("log_day", F.regexp_extract(F.col("_metadata.file_path"), DAY_DIR, 1))
+    return reduce(DataFrame.unionAll, parts)

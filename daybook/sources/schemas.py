@@ -2,19 +2,22 @@
 
 Declaring the log schema avoids a full inference pass over the input and makes a
 field that is absent from every record read as NULL instead of failing analysis.
+Log scalars are read as text: a producer that quotes a number, or sends a fraction,
+must not turn the whole record into NULLs. Numbers are cast where they are used
+(``functions.dates.epoch_count``); ``time`` is only ever tested for NULL.
 """
 
 from pyspark.sql import types as T
 
 PAGE_STAY_ITEM = T.StructType([
-    T.StructField("time", T.LongType()),
-    T.StructField("enter", T.LongType()),    # epoch seconds
-    T.StructField("exit", T.LongType()),     # epoch seconds
+    T.StructField("time", T.StringType()),
+    T.StructField("enter", T.StringType()),    # epoch seconds
+    T.StructField("exit", T.StringType()),     # epoch seconds
     T.StructField("title", T.StringType()),
 ])
 
 CLICK_ITEM = T.StructType([
-    T.StructField("time", T.LongType()),
+    T.StructField("time", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("position", T.StringType()),  # "x,y"
     T.StructField("title", T.StringType()),
@@ -24,7 +27,7 @@ CLICK_ITEM = T.StructType([
 LOG_RECORD = T.StructType([
     T.StructField("custom_uuid", T.StringType()),
     T.StructField("account", T.StringType()),
-    T.StructField("rectime", T.LongType()),  # epoch milliseconds
+    T.StructField("rectime", T.StringType()),  # epoch milliseconds
     T.StructField("vercode", T.StringType()),
     T.StructField("vername", T.StringType()),
     T.StructField("device_name", T.StringType()),
@@ -36,7 +39,8 @@ LOG_RECORD = T.StructType([
     ])),
 ])
 
-# stored page-stay table (R6 output); enter/exit are local wall clocks
+# stored page-stay table (R6 output); enter/exit are local wall clocks, staySeconds the
+# difference of the instants (a wall-clock difference is wrong across a DST change)
 PAGE_STAY = T.StructType([
     T.StructField("custom_uuid", T.StringType()),
     T.StructField("account", T.StringType()),
@@ -47,6 +51,7 @@ PAGE_STAY = T.StructType([
     T.StructField("device_name", T.StringType()),
     T.StructField("enter", T.TimestampNTZType()),
     T.StructField("exit", T.TimestampNTZType()),
+    T.StructField("staySeconds", T.LongType()),
     T.StructField("title", T.StringType()),
     T.StructField("dt", T.StringType()),
 ])

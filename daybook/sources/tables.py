@@ -1,11 +1,12 @@
 """File tables: rerun-safe partition writes and partition-pruned reads.
 
 Plain ``append`` (what a blind daily job does) duplicates a day when the job is
-rerun or a task is retried after a partial commit. The writers here replace
-exactly the partitions a run owns (dynamic partition overwrite), so a rerun or
-a resubmitted job after an executor loss leaves one copy:
+rerun or a task is retried after a partial commit. The writers here replace the one
+partition directory a run owns as a whole, also when the run has no rows, so a rerun
+leaves exactly its own rows: none twice, and none that the rerun no longer has. A job
+that dies while it writes leaves its own partition incomplete until it is rerun:
 
-* daily order fact: partitioned by ``date``; one run owns one date.
+* daily order fact and daily reports: partitioned by ``date``; one run owns one date.
 * page-stay rows: ``dt`` comes from each record, so a run for day D also
   carries late rows of earlier days. Overwriting by ``dt`` would erase the
   earlier days' other rows, so the table is partitioned by ``load_date, dt``
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import iso
+from ..functions.dates import date_key, iso
 from .schemas import DAILY_FACT, PAGE_STAY
 
 
@@ -47,6 +48,23 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], *,
     writer.save(path)
 
 
+def replace_partition(df: DataFrame, path: str, owned: tuple[str, object], partition_cols: Sequence[str] = (), *,
+                      fmt: str = "parquet", max_records_per_file: int | None = None) -> None:
+    """Replace the partition ``owned`` = (column, value) of a table by the rows of ``df``.
+
+    A static overwrite of the ``column=value`` directory: its older files go even if
+    ``df`` is empty or holds fewer inner partitions. ``df`` may carry the column; its
+    rows must all belong to the partition.
+    """
+    column, value = owned
+    writer = df.drop(column).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.save(f"{path.rstrip('/')}/{column}={value}")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet") -> DataFrame:
     """A partitioned file table with a declared schema (partition columns keep
     their declared types instead of being inferred as DATE/INT)."""
@@ -58,9 +76,15 @@ DAILY_FACT_TABLE = DAILY_FACT
 
 
 def store_page_stay(rows: DataFrame, path: str, load_day, *, fmt: str = "orc", mode: str = "replace") -> None:
-    """R6 sink: page-stay rows of one load (``load_day``) into ``load_date=/dt=`` partitions."""
-    write_partitions(rows.withColumn("load_date", F.lit(iso(load_day))), path, ["load_date", "dt"],
-                     fmt=fmt, mode=mode)
+    """R6 sink: page-stay rows of one load (``load_day``) into ``load_date=/dt=`` partitions.
+
+    ``mode="replace"`` replaces everything an earlier run of the load stored.
+    """
+    if mode == "replace":
+        replace_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt)
+    else:
+        write_partitions(rows.withColumn("load_date", F.lit(iso(load_day))), path, ["load_date", "dt"],
+                         fmt=fmt, mode=mode)
 
 
 def read_page_stay(spark: SparkSession, path: str, days: Iterable | None = None, *,
@@ -72,9 +96,12 @@ def read_page_stay(spark: SparkSession, path: str, days: Iterable | None = None,
     return df.drop("load_date")
 
 
-def store_daily_fact(fact: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace") -> None:
-    """R4 sink: replaces the ``date`` partitions present in ``fact``."""
-    write_partitions(fact, path, ["date"], fmt=fmt, mode=mode)
+def store_daily_fact(fact: DataFrame, path: str, day=None, *, fmt: str = "parquet", mode: str = "replace") -> None:
+    """R4 sink: replaces the partition of ``day``, or without one those present in ``fact`` (a backfill)."""
+    if day is not None and mode == "replace":
+        replace_partition(fact, path, ("date", date_key(day)), fmt=fmt)
+    else:
+        write_partitions(fact, path, ["date"], fmt=fmt, mode=mode)
 
 
 def read_daily_fact(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:

@@ -5,20 +5,18 @@ per run. This is the same R6 transformation as a file-source stream: each
 trigger picks up only log files not seen before, flattens them and appends the
 rows to a ``dt``-partitioned table. The file sink commits through its
 ``_spark_metadata`` log and the checkpoint records processed files, so a
-restarted or retried job neither loses nor duplicates rows (exactly-once).
+restarted or retried job neither loses nor duplicates rows, as long as the sink and
+its checkpoint stay together; by default the checkpoint lies beside the sink.
 Run it with ``available_now=True`` from a scheduler (process the backlog, then
 stop) or continuously with a processing-time trigger.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.exposure import page_stay_rows
-from ..session import checkpoint_dir
 from ..sources.schemas import LOG_RECORD
 
 
@@ -28,13 +26,14 @@ def page_stay_stream(spark: SparkSession, source_glob: str, sink_path: str, *,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream from JSON log files matching ``source_glob`` to ``sink_path``.
 
-    ``checkpoint`` defaults to a folder under the session's shared checkpoint dir.
+    ``checkpoint`` defaults to ``{sink_path}.checkpoint``: a restart, in any session,
+    finds the same one, and two sinks never share one.
     """
     reader = spark.readStream.schema(LOG_RECORD).format("json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = page_stay_rows(reader.load(source_glob), tz=tz)
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "page_stay_stream")
+    ckpt = checkpoint or f"{sink_path.rstrip('/')}.checkpoint"
     writer = (rows.writeStream.format(fmt).partitionBy("dt").outputMode("append")
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -69,7 +69,7 @@ def exposure_reference(spark, sf):
 def heatmap_joined(spark, sf):
     days = report_days(fx.EVENTS_DAY)
     clicks = heatmap.click_rows(fx.launcher_logs(spark, sf, days.values()))
-    return heatmap.click_heatmap_report_joined(clicks, fx.EVENTS_DAY, min_count=fx.FIXTURE_MIN_GROUP,
+    return heatmap.click_heatmap_report_one_pass(clicks, fx.EVENTS_DAY, min_count=fx.FIXTURE_MIN_GROUP,
                                                title_min_count=fx.FIXTURE_MIN_TITLE)
 
 

@@ -80,7 +80,7 @@ def test_cli_arguments_and_properties_file(tmp_path):
     assert _properties(str(props)) == {"user": "reporter", "password": "s=cret", "driver": "org.example.Driver"}
     assert _properties(None) == {}
     args = parser().parse_args(["heatmap", "--date", "2024-01-30", "--logs", "/x", "--out", "/y"])
-    assert (args.job, args.min_count, args.tz, args.missing_category) == ("heatmap", None, "UTC", "null")
+    assert (args.job, args.min_count, args.tz, args.missing_category) == ("heatmap", None, "UTC", None)
     args = parser().parse_args(["heatmap", "--date", "2024-01-30", "--title-min-count", "2",
                                 "--missing-category", ""])
     assert (args.title_min_count, args.missing_category or None) == (2, None)

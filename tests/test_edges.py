@@ -78,8 +78,9 @@ def test_label_fallback_branch(spark):
 
 
 def _stays(spark, data):
-    schema = "dt string, site string, title string, custom_uuid string, enter timestamp_ntz, exit timestamp_ntz"
-    return spark.createDataFrame(data, schema)
+    schema = "dt string, site string, title string, custom_uuid string, staySeconds long"
+    return spark.createDataFrame([(*r[:4], None if r[5] is None else int((r[5] - r[4]).total_seconds()))
+                                  for r in data], schema)
 
 
 def test_exposure_stay_limits_and_null_users(spark):
@@ -146,7 +147,7 @@ def test_flatten_drops_empty_null_arrays_and_null_time(spark):
     ]
     logs = spark.createDataFrame(data, LOG_RECORD)
     stays = flatten_events(logs, "data.launcher_page_stay", ["enter", "exit", "title"], keep=["custom_uuid"])
-    assert rows(stays) == [("u1", 10, 20, "x")]
+    assert rows(stays) == [("u1", "10", "20", "x")]
     no_filter = flatten_events(logs, "data.launcher_page_stay", ["title"], keep=["custom_uuid"], not_null=())
     assert rows(no_filter) == [("u1", "x"), ("u1", "y")]
 

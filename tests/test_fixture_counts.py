@@ -27,8 +27,8 @@ def test_paid_sales_rows_per_day(spark):
 
 def test_heatmap_rows_per_day(spark):
     gs = catalog.click_grouping_sets(spark, SF)
-    assert per_day(gs.where("id_1 = 0"), "dt") == {"2024-01-30": 39, "2024-01-29": 39, "2024-01-23": 40}
-    assert per_day(gs.where("id_1 = 1"), "dt") == {"2024-01-30": 20, "2024-01-29": 20, "2024-01-23": 20}
+    assert per_day(gs.where("id_1 = 0"), "dt") == {"2024-01-30": 40, "2024-01-29": 40, "2024-01-23": 42}
+    assert per_day(gs.where("id_1 = 1"), "dt") == {"2024-01-30": 22, "2024-01-29": 22, "2024-01-23": 22}
 
 
 def test_exposure_report_rows(spark):

@@ -1,5 +1,8 @@
 """The single-pass rewrites equal the per-day reference shapes."""
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from conftest import SF, rows
 from daybook.functions.dates import report_days
 from daybook.functions.presets import fixture_packages
@@ -23,9 +26,21 @@ def test_first_seen_aggregate_equals_window(spark):
     labeled = _labeled(spark)
     days = list(report_days(fx.MEMBERS_DAY).values())
     for keys in (members.BY_CHANNEL, members.BY_ACCOUNT):
-        agg = first_seen(labeled, keys, "order_addtime", days, method="aggregate")
-        win = first_seen(labeled, keys, "order_addtime", days, method="window")
-        _empty_both_ways(agg.select(*win.columns), win)
+        agg = first_seen(labeled, keys, "order_addtime", days)
+        tagged = (labeled.where(F.col("order_addtime") <= F.lit(days[0]))
+                  .withColumn("registtime", F.min("order_addtime").over(Window.partitionBy(*keys))))
+        win = tagged.where((F.col("order_addtime") == F.col("registtime")) & F.col("registtime").isin(days))
+        assert agg.columns == win.columns
+        _empty_both_ways(agg, win)
+
+
+def test_cohorts_need_only_the_history_of_report_day_accounts(spark):
+    days = list(report_days(fx.MEMBERS_DAY).values())
+    whole = members.label_members(catalog._pull(spark, SF), fixture_packages())
+    part = members.label_members(catalog._pull(spark, SF, cohort=True), fixture_packages())
+    assert 0 < part.count() < whole.count()
+    for keys in (members.BY_CHANNEL, members.BY_ACCOUNT):
+        _empty_both_ways(first_seen(part, keys, "order_addtime", days), first_seen(whole, keys, "order_addtime", days))
 
 
 def test_first_seen_equals_per_day_reference_form(spark):
@@ -76,7 +91,7 @@ def test_single_pass_heatmap_equals_joined_form(spark):
     clicks = heatmap.click_rows(fx.launcher_logs(spark, SF, days.values()))
     for args in (dict(min_count=fx.FIXTURE_MIN_GROUP, title_min_count=fx.FIXTURE_MIN_TITLE),
                  dict(min_count=2, title_min_count=5, k=2, sep="| ")):
-        want = heatmap.click_heatmap_report_joined(clicks, fx.EVENTS_DAY, **args)
+        want = heatmap.click_heatmap_report_one_pass(clicks, fx.EVENTS_DAY, **args)
         got = heatmap.click_heatmap_report(clicks, fx.EVENTS_DAY, **args)
         assert got.columns == want.columns
         assert rows(got) == rows(want) and got.count() > 0

@@ -45,7 +45,7 @@ def log_root(spark, tmp_path_factory):
     return root
 
 
-def test_read_logs_one_scan_with_folder_day(spark, log_root):
+def test_read_logs_with_folder_day(spark, log_root):
     days = list(report_days(D0).values())
     df = logs.read_logs(spark, log_root, days)
     got = {r.log_day: r.n for r in df.groupBy("log_day").agg(F.count("*").alias("n")).collect()}
@@ -126,6 +126,80 @@ def test_monthly_job_rerun_does_not_double_count(spark, tmp_path):
     assert rows(tables.read_daily_fact(spark, fact_path).select(*both.columns)) == rows(both)
 
 
+def test_reruns_leave_no_stale_rows(spark, tmp_path):
+    """A rerun that lost its late row, or all rows, leaves nothing of the earlier run; other loads stay."""
+    root, table = str(tmp_path / "logs"), str(tmp_path / "t")
+    d0, d1, _ = report_days(D0).values()
+    stay = lambda who, day: {"custom_uuid": who, "rectime": day_bounds_ms(day)[0],
+                             "data": {"launcher_page_stay": [{"time": 1, "enter": 1, "exit": 2}]}}
+    write_raw(root, d1, "a.gz", [stay("other", d1)])
+    write_raw(root, d0, "a.gz", [stay("on-time", d0), stay("late", d1)])
+    for day in (d1, d0):
+        jobs.ingest_page_stay(spark, root, table, day)
+    names = lambda: sorted(r.custom_uuid for r in tables.read_page_stay(spark, table).collect())
+    assert names() == ["late", "on-time", "other"]
+    write_raw(root, d0, "a.gz", [stay("on-time", d0)])
+    jobs.ingest_page_stay(spark, root, table, d0)
+    assert names() == ["on-time", "other"]
+    write_raw(root, d0, "a.gz", [])
+    jobs.ingest_page_stay(spark, root, table, d0)
+    assert names() == ["other"]
+
+    out = str(tmp_path / "r")
+    report = spark.createDataFrame([(20240130, "a", 1)], "date int, k string, v long")
+    other = spark.createDataFrame([(20240129, "b", 1)], "date int, k string, v long")
+    jobs.publish_report(spark, other, out, report_day=D0 - dt.timedelta(days=1))
+    jobs.publish_report(spark, report, out, report_day=D0)
+    assert rows(tables.read_report(spark, out, report.columns)) == [(20240129, "b", 1), (20240130, "a", 1)]
+    jobs.publish_report(spark, report.where("false"), out, report_day=D0)
+    assert rows(tables.read_report(spark, out, report.columns)) == [(20240129, "b", 1)]
+    facts = str(tmp_path / "f")
+    fact = sales.daily_order_fact(fx.sales_orders(spark, SMALL, [D0]), D0, preset=fixture_packages())
+    tables.store_daily_fact(fact, facts, D0)
+    assert tables.read_daily_fact(spark, facts).count() == fact.count() > 0
+    tables.store_daily_fact(fact.where("false"), facts, D0)
+    assert tables.read_daily_fact(spark, facts).count() == 0
+
+
+def test_log_scalars_may_be_text_fractions_or_junk(spark, tmp_path):
+    """Whatever type the producer chose, a valid stay is stored whole; junk is NULL and counted."""
+    root, table = str(tmp_path / "2023-12-31" / "logs"), str(tmp_path / "t")     # a dated root
+    ms, s = day_bounds_ms(D0)[0] + 5000, day_bounds_ms(D0)[0] // 1000
+    one = lambda who, rectime, **item: {"custom_uuid": who, "site": "ALI", "rectime": rectime,
+                                        "data": {"launcher_page_stay": [item], "home_item_click": [
+                                            {"time": "x", "position": "1,1", "title": "t"}]}}
+    write_raw(root, D0, "a.gz", [
+        one("int", ms, time=1, enter=s, exit=s + 60), one("text-time", ms, time="12:30", enter=s, exit=s + 60),
+        one("fraction", ms + 0.5, time=1.5, enter=s + 0.25, exit=s + 60.75),
+        one("quoted", str(ms), time=1, enter=str(s), exit=str(s + 60)),
+        one("junk", ms, time=1, enter=10**18, exit="soon"), one("no-time", ms, enter=s, exit=s + 60)])
+    with gzip.open(os.path.join(root, iso(D0), "h99", "b.gz"), "wt") as fh:
+        fh.write("{broken\n")
+    counts = jobs.ingest_page_stay(spark, root, table, D0)
+    assert counts == {"records": 7, "malformed": 1, "bad_rectime": 0, "items": 5, "bad_enter": 1, "bad_exit": 1}
+    got = {r.custom_uuid: (r.dt, r.staySeconds, r.enter is None) for r in tables.read_page_stay(spark, table).collect()}
+    assert got == {"int": (iso(D0), 60, False), "text-time": (iso(D0), 60, False), "fraction": (iso(D0), 60, False),
+                   "quoted": (iso(D0), 60, False), "junk": (iso(D0), None, True)}
+    assert {r.log_day for r in logs.read_logs(spark, root, [D0]).collect()} == {iso(D0)}
+    clicks = heatmap.click_rows(logs.read_logs(spark, root, [D0]), day_col="log_day")
+    assert clicks.count() == 6 and clicks.where("category is null").count() == 6
+
+
+def test_stays_across_dst_changes_keep_their_length(spark):
+    zone = "America/New_York"
+    instants = {"spring": 1710053940, "autumn": 1730611740}    # 01:59 before the gap and the overlap
+    for name, start in instants.items():
+        record = [(name, str(start * 1000), "ALI", [("1", str(start), str(start + 120), "t")])]
+        df = spark.createDataFrame(record, "custom_uuid string, rectime string, site string, "
+                                   "items array<struct<time:string,enter:string,exit:string,title:string>>")
+        df = df.selectExpr("*", "'a' account", "'v' vercode", "'v' vername", "'d' device_name",
+                           "named_struct('launcher_page_stay', items) data")
+        stays = exposure.page_stay_rows(df, tz=zone)
+        assert [r.staySeconds for r in stays.collect()] == [120]
+        day = stays.first().dt
+        assert exposure.exposure_cube(stays, [day]).where("id_1 = 0").first().playNum == 1
+
+
 def test_append_mode_duplicates(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", 1)], "dt string, v int")
@@ -150,14 +224,14 @@ def test_streaming_ingest_is_incremental_and_exactly_once(spark, log_root, tmp_p
     d0, d1, d7 = report_days(D0).values()
     src = str(tmp_path / "src")
     sink = str(tmp_path / "sink")
-    ckpt = str(tmp_path / "ckpt")
     write_log_days(spark, src, [d7, d1])
     glob = f"{src}/*/*/*.gz"
-    page_stay_stream(spark, glob, sink, checkpoint=ckpt).awaitTermination()
+    page_stay_stream(spark, glob, sink).awaitTermination()
     first = tables.read_table(spark, sink, PAGE_STAY).count()
     write_log_days(spark, src, [d0])
-    page_stay_stream(spark, glob, sink, checkpoint=ckpt).awaitTermination()
-    page_stay_stream(spark, glob, sink, checkpoint=ckpt).awaitTermination()   # nothing new
+    # a restart elsewhere: another session, no checkpoint named
+    page_stay_stream(spark.newSession(), glob, sink).awaitTermination()
+    page_stay_stream(spark, glob, sink).awaitTermination()   # nothing new
     got = tables.read_table(spark, sink, PAGE_STAY)   # declared schema: dt stays a string
     want = exposure.page_stay_rows(fx.launcher_logs(spark, SMALL, [d7, d1, d0]))
     assert got.count() == want.count() > first > 0
