@@ -77,13 +77,13 @@ class Codec:
         for r, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             x, y, z = vocab[a], vocab[b], vocab[a + b]
-            if max(born.get(x, -1), born.get(y, -1)) >= r:
-                raise ValueError("a merge comes before those that make its parts")
             born.setdefault(z, r)
             self.left.append(x)
             self.right.append(y)
             self.made.append(z)
             self.rank[x << 32 | y] = r
+        if any(max(born.get(x, -1), born.get(y, -1)) >= r for r, (x, y) in enumerate(zip(self.left, self.right, strict=True))):
+            raise ValueError("a merge comes before those that make its parts")
         characters = byte_characters()
         self.inner = [vocab[c] for c in characters]
         self.final = [vocab[c + suffix] for c in characters]
