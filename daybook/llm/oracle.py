@@ -1,9 +1,80 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express, written as plain definitions.
+
+The others (hashed n-gram model, BPE, evidence fusion, surrogates, rule signatures,
+byte suffixes, hash-ordered template seeds) are tested against brute force in
+``tests/llm`` instead.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from daybook.llm import decontaminate, hyperminhash
+
+_FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def op1_near_duplicates() -> str:
+    """All pairs that share a shingle, linked by the exact similarity; components by recursion."""
+    size, percent = hyperminhash.SHINGLE_WORDS, hyperminhash.THRESHOLD_PERCENT
+    return f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= {size} THEN list_transform(range(1, len(ws) - {size} + 2), lambda i: array_to_string(ws[i:i + {size - 1}], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * k >= {percent} * (nx.n + ny.n - k)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION
+  SELECT edge.x, reach.other FROM reach JOIN edge ON edge.y = reach.doc_id),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id,
+       c.doc_id = c.component_id AS kept
+FROM component c LEFT JOIN n USING (doc_id)"""
+
+
+def op7_decontaminate() -> str:
+    """Windows that agree on two blocks of words, verified by counting the words that differ."""
+    window, most, least = decontaminate.WINDOW, decontaminate.SUBSTITUTIONS, decontaminate.MIN_WORDS
+    masks = ", ".join(f"({k}, [{', '.join(str(p + 1) for p in m)}])" for k, m in enumerate(decontaminate.MASKS))
+    words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""WITH d AS (SELECT doc_id, {words.format(_FOLD.format('text'))} AS ws FROM documents),
+b AS (SELECT item_id, {words.format(_FOLD.format('text'))} AS ws FROM benchmark),
+bw AS (
+  SELECT item_id, least(len(ws), {window}) AS n, unnest(list_transform(range(1, len(ws) - least(len(ws), {window}) + 2),
+         lambda i: ws[i:i + least(len(ws), {window}) - 1])) AS win
+  FROM b WHERE len(ws) >= {least}),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, p, ws[p:p + n - 1] AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d, sizes WHERE len(ws) >= n)),
+mask(id, places) AS (VALUES {masks}),
+bm AS (
+  SELECT item_id, n, win, id, list_transform(places, lambda i: win[i]) AS k FROM bw, mask WHERE n = {window}
+  UNION ALL SELECT item_id, n, win, -1, win FROM bw WHERE n < {window}),
+dm AS (
+  SELECT doc_id, n, p, win, id, list_transform(places, lambda i: win[i]) AS k FROM dw, mask WHERE n = {window}
+  UNION ALL SELECT doc_id, n, p, win, -1, win FROM dw WHERE n < {window}),
+hit AS (
+  SELECT DISTINCT dm.doc_id, dm.p, bm.item_id
+  FROM dm JOIN bm ON dm.n = bm.n AND dm.id = bm.id AND dm.k = bm.k
+  WHERE len(list_filter(range(1, dm.n + 1), lambda i: dm.win[i] <> bm.win[i])) <= {most}),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, count(DISTINCT p) AS n_windows, min(p) - 1 AS first_word
+  FROM hit GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, found.doc_id IS NOT NULL AS contaminated, found.doc_id IS NULL AS kept,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(item_ids, '') AS item_ids,
+       CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, CAST(first_word AS BIGINT) AS first_word
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
 def all_sql() -> dict[str, str]:
-    return dict(SQL)
+    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate)}
