@@ -80,7 +80,11 @@ def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, f
     report only, what a scheduler that never reruns an exported day wants. Report
     tables hold aggregates (groups x days), so the full export stays small.
     """
-    if report_day is not None:
+    if report_day is not None and tables.is_catalog_name(table_path):
+        tables.replace_table_partition(report, table_path, ("date", date_key(report_day)), fmt=fmt)
+    elif tables.is_catalog_name(table_path):
+        report.write.format(fmt).mode("overwrite").saveAsTable(table_path)
+    elif report_day is not None:
         tables.replace_partition(report, table_path, ("date", date_key(report_day)), fmt=fmt)
     else:
         report.write.format(fmt).mode("overwrite").save(table_path)

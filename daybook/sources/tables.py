@@ -17,6 +17,7 @@ that dies while it writes leaves its own partition incomplete until it is rerun:
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +66,45 @@ def replace_partition(df: DataFrame, path: str, owned: tuple[str, object], parti
     writer.save(f"{path.rstrip('/')}/{column}={value}")
 
 
+def _literal(encoded: str) -> str:
+    """A partition value of SHOW PARTITIONS as a SQL literal."""
+    if encoded == "__HIVE_DEFAULT_PARTITION__":
+        return "NULL"
+    return "'" + unquote(encoded).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def is_catalog_name(target: str) -> bool:
+    """``db.table`` or ``table``, not a path."""
+    return "/" not in target and "\\" not in target
+
+
+def replace_table_partition(df: DataFrame, name: str, owned: tuple[str, object], partition_cols: Sequence[str] = (), *,
+                            fmt: str = "parquet") -> None:
+    """``replace_partition`` for a catalog table, which the first run creates.
+
+    The partitions owned are dropped from the catalog with their files, then the rows
+    are inserted; the catalog knows every partition, so reads list only those they need.
+    """
+    spark = df.sparkSession
+    column, value = owned
+    rows = df.withColumn(column, F.lit(value))
+    if not spark.catalog.tableExists(name):
+        rows.write.format(fmt).partitionBy(column, *partition_cols).saveAsTable(name)
+        return
+    # a partial specification drops nothing in some catalogs, so each inner partition is named
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        spec = dict(part.split("=", 1) for part in row[0].split("/"))
+        if unquote(spec[column]) == str(value):
+            parts = ", ".join(f"{c} = {_literal(v)}" for c, v in spec.items())
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({parts})")
+    rows.select(*spark.table(name).columns).write.insertInto(name)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet") -> DataFrame:
-    """A partitioned file table with a declared schema (partition columns keep
-    their declared types instead of being inferred as DATE/INT)."""
+    """A catalog table, or a partitioned file table with a declared schema (partition
+    columns keep their declared types instead of being inferred as DATE/INT)."""
+    if is_catalog_name(path):
+        return spark.table(path)
     return spark.read.format(fmt).schema(schema).load(path)
 
 
@@ -76,11 +113,13 @@ DAILY_FACT_TABLE = DAILY_FACT
 
 
 def store_page_stay(rows: DataFrame, path: str, load_day, *, fmt: str = "orc", mode: str = "replace") -> None:
-    """R6 sink: page-stay rows of one load (``load_day``) into ``load_date=/dt=`` partitions.
+    """R6 sink (a path or a catalog table name): page-stay rows of one load (``load_day``) into ``load_date=/dt=`` partitions.
 
     ``mode="replace"`` replaces everything an earlier run of the load stored.
     """
-    if mode == "replace":
+    if mode == "replace" and is_catalog_name(path):
+        replace_table_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt)
+    elif mode == "replace":
         replace_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt)
     else:
         write_partitions(rows.withColumn("load_date", F.lit(iso(load_day))), path, ["load_date", "dt"],
@@ -98,7 +137,9 @@ def read_page_stay(spark: SparkSession, path: str, days: Iterable | None = None,
 
 def store_daily_fact(fact: DataFrame, path: str, day=None, *, fmt: str = "parquet", mode: str = "replace") -> None:
     """R4 sink: replaces the partition of ``day``, or without one those present in ``fact`` (a backfill)."""
-    if day is not None and mode == "replace":
+    if day is not None and mode == "replace" and is_catalog_name(path):
+        replace_table_partition(fact, path, ("date", str(date_key(day))), fmt=fmt)
+    elif day is not None and mode == "replace":
         replace_partition(fact, path, ("date", date_key(day)), fmt=fmt)
     else:
         write_partitions(fact, path, ["date"], fmt=fmt, mode=mode)
@@ -111,5 +152,5 @@ def read_daily_fact(spark: SparkSession, path: str, *, fmt: str = "parquet") ->
 def read_report(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *,
                 fmt: str = "parquet") -> DataFrame:
     """The stored report table (``date`` read back as the int ``yyyyMMdd`` key)."""
-    df = spark.read.format(fmt).load(path)
+    df = spark.table(path) if is_catalog_name(path) else spark.read.format(fmt).load(path)
     return df.select(*columns) if columns else df

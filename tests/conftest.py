@@ -16,7 +16,8 @@ def spark():
 
     # tests only: a fresh scratch checkpoint folder (clusters set spark.checkpoint.dir)
     ckpt = tempfile.mkdtemp(prefix="daybook-test-ckpt-")
-    session = local_session(shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    session = local_session(shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt,
+                                                          "spark.sql.warehouse.dir": f"{ckpt}/warehouse"})
     yield session
 
 

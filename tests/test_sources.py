@@ -161,6 +161,27 @@ def test_reruns_leave_no_stale_rows(spark, tmp_path):
     assert tables.read_daily_fact(spark, facts).count() == 0
 
 
+def test_catalog_tables_are_pruned_and_replaced(spark, log_root):
+    d0, d1, _ = report_days(D0).values()
+    try:
+        for day in (d1, d0, d0):
+            jobs.ingest_page_stay(spark, log_root, "stays", day, fmt="parquet")
+        want = exposure.page_stay_rows(fx.launcher_logs(spark, SMALL, [d0, d1]))
+        assert rows(tables.read_page_stay(spark, "stays").select(*want.columns)) == rows(want)
+        pruned = tables.read_page_stay(spark, "stays", [d0])
+        plan = pruned._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-30" in plan
+        tables.store_page_stay(want.where("false"), "stays", d0, fmt="parquet")
+        assert {r.dt for r in tables.read_page_stay(spark, "stays").select("dt").distinct().collect()} == {iso(d1)}
+        report = spark.createDataFrame([(20240130, "a", 1)], "date int, k string, v long")
+        for again in (report, report, report.where("false")):
+            jobs.publish_report(spark, again, "daily_report", report_day=D0)
+        assert tables.read_report(spark, "daily_report").count() == 0
+    finally:
+        for name in ("stays", "daily_report"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_log_scalars_may_be_text_fractions_or_junk(spark, tmp_path):
     """Whatever type the producer chose, a valid stay is stored whole; junk is NULL and counted."""
     root, table = str(tmp_path / "2023-12-31" / "logs"), str(tmp_path / "t")     # a dated root
