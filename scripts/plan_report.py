@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from daybook.plans import catalog  # noqa: E402
 from daybook.session import local_session  # noqa: E402
 
 def tree(plan: str) -> list[str]:
@@ -51,9 +51,9 @@ def shuffles_without_broadcast(spark, queries_, sf):
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(call_site_context=False)
-    at_scale = shuffles_without_broadcast(spark, queries(), sf)
+    at_scale = shuffles_without_broadcast(spark, catalog.QUERIES, sf)
     lines = ["# PLANS", "",
-             f"Executed physical plans (AQE final plans) of every registered query at `{sf}`, `local[*]`,",
+             f"Executed physical plans (AQE final plans) of every report query at `{sf}`, `local[*]`,",
              "8 shuffle partitions. Generated by `scripts/plan_report.py`; exchanges are shuffles (or broadcasts",
              "where AQE measured a small side). The last two columns repeat the count with broadcasting disabled,",
              "i.e. the join strategy when no side is small, as at 100 TB.", "",
@@ -62,16 +62,16 @@ def main():
              "  aggregation exchange(s) (exposure: two, for the exact distinct count keyed by group + user; sales:",
              "  one), then one small exchange for the pivot; no join.",
              "- Member reports: the pull (orders ⋈ accounts, then the entitlements, each side shuffled once when",
-             "  nothing is broadcast), one map-combined exchange per member key (`first_seen_groups`), the cube and",
-             "  the pivot. The row-level first-seen queries add the report-day pull and the join back.",
-             "- Heat map: one scan and one aggregation (grouping sets plus a title level), a window over that",
-             "  aggregate for the top titles, one pivot; no join. The standalone top-titles queries show",
-             "  `WindowGroupLimit` before the window exchange.",
+             "  nothing is broadcast) of the accounts with an order on a report day (a semi-join, so orders and",
+             "  accounts are read twice and the entitlements once), a map-combined exchange and a window per member",
+             "  key, the cube and the pivot.",
+             "- Heat map: the grouping sets over the report days and the title counts of one day, which show",
+             "  `WindowGroupLimit` before the window exchange, joined as small aggregates.",
              "- A regression shows up as a new Exchange or scan in this table.", "",
              "| query | scans | shuffle exchanges | broadcast exchanges | joins | Expand | windows | shuffles, no broadcast | joins, no broadcast |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     details = []
-    for name, q in queries().items():
+    for name, q in catalog.QUERIES.items():
         df = q(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
