@@ -49,7 +49,8 @@ SHARD_BYTES = 1 << 18
 BATCH_BYTES = 1 << 21
 WIDE_CLASS = 2_000
 PIECE = 16
-SALTS = 16
+KEY_SALTS = 4                # tables of minimizers and runs, many rows
+TEXT_SALTS = 8               # spans of texts, joined to whole texts
 
 _TABLE = tb.byte_table(4, fold_case=False)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -317,8 +318,8 @@ def pieces(contents: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(k1, k2, spans): the repeated byte ranges of every text that has any; ``docs`` has doc_id, text, k1, k2."""
     texts = docs.where(F.octet_length("text") >= LENGTH)
-    recurring = anchor_counts(texts).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = runs(texts).withColumn("salt", F.pmod(F.col("k1"), F.lit(SALTS)).cast("int"))
+    recurring = anchor_counts(texts).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1))))
+    found = runs(texts).withColumn("salt", F.pmod(F.col("k1"), F.lit(KEY_SALTS)).cast("int"))
     places = cut(found.join(recurring, ["m", "salt"]).groupBy("m", "c", "k1", "k2", "start", "windows")
                  .agg(F.count("*").alias("n")))
     reps = texts.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
@@ -339,8 +340,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     once = kinds.where("n = 1").select("m", "c").join(results, ["m", "c"]).select("m", "c", "shift", "spans")
     often = kinds.where("n > 1").select("m", "c", F.lit(0).alias("shift"), F.array(
         F.struct(F.lit(0).alias("a"), F.col("windows").alias("b"))).alias("spans"))
-    known = cut(once.union(often).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = places.withColumn("salt", F.pmod(F.col("k1"), F.lit(SALTS)).cast("int"))
+    known = cut(once.union(often)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1))))
+    salted = places.withColumn("salt", F.pmod(F.col("k1"), F.lit(KEY_SALTS)).cast("int"))
     absolute = F.transform("spans", lambda s: F.struct(
         (F.col("start") + F.col("shift") + s["a"]).alias("a"),
         (F.col("start") + F.col("shift") + s["b"] - 1 + LENGTH).alias("b")))
@@ -371,8 +372,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the remaining bytes."""
     texts = id_and_text(docs, id_col, text_col).select(
         "doc_id", "text", F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"))
-    spans = repeated_spans(texts).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    spans = repeated_spans(texts).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(TEXT_SALTS - 1))))
+    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_SALTS)).cast("int"))
     joined = salted.join(spans, ["k1", "k2", "salt"], "left").select("doc_id", "text", "spans")
 
     def run(batches):
