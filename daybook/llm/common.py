@@ -37,6 +37,16 @@ def salt(by: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(by), F.lit(n)).cast("int")
 
 
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, n: int = 4) -> DataFrame:
+    """Inner join of rows, which may be very many to a key, with a table of one row to a key.
+
+    The table is repeated for ``n`` salts drawn from ``by``; a hot key is spread, and as
+    both sides are dealt anew for the join, AQE can split what is still skewed.
+    """
+    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return rows.withColumn("_salt", salt(F.col(by), n)).join(spread, [*keys, "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (node, label), label the smallest node reachable.
 
