@@ -178,11 +178,11 @@ def _places(text: Column, pattern: Column) -> Column:
         return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(
             F.struct(start.alias("start"), stop.alias("stop")))).alias("out"))
     pairs = F.arrays_zip(hits.alias("hit"), F.slice(between, F.lit(1), F.size(hits)).alias("gap"))
-    return F.aggregate(pairs, first, step, lambda acc: acc["out"])
+    return F.when(F.size(hits) > 0, F.aggregate(pairs, first, step, lambda acc: acc["out"])).otherwise(empty)
 
 
 def _rule_array(rules: list[Rule]) -> Column:
-    return F.array(*(F.struct(F.lit(r.label).alias("label"), F.lit(" " + r.keyword).alias("keyword"),
+    return F.array(*(F.struct(F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
                               F.lit(_bound(r.pattern)).alias("pattern"), F.lit(r.priority).alias("priority"))
                      for r in rules))
 
@@ -193,16 +193,19 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``found`` holds the matches of the signature rules that were not suppressed.
     """
     texts = id_and_text(docs, id_col, text_col)
-    base = [Rule(label, phrase.split()[0], phrase, 0) for phrase, label in BASE_PHRASES.items()]
-    keywords = sorted({r.keyword for r in [*RULES, *base]})
+    base = [Rule(label, max(phrase.split(), key=len), phrase, 0) for phrase, label in BASE_PHRASES.items()]
+    # the longest keyword at a place; it stands for the shorter ones it begins with
+    keywords = sorted({r.keyword for r in [*RULES, *base]}, key=lambda k: (-len(k), k))
     gate = f"(?i)(?<!{WORD})(?:{'|'.join(keywords)})"
     count = F.regexp_count("text", F.lit(WORD + "++"))
     flat = F.trim(F.regexp_replace(F.translate("text", UPPER, LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
     rows = texts.select("doc_id", F.coalesce(count, F.lit(0)).cast("long").alias("n_words"),
-                        F.when(F.col("text").rlike(gate), flat).alias("flat"))
+                        F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(gate), F.lit(0))),
+                                    lambda h: F.translate(h, UPPER, LOWER)).alias("hits"), "text")
+    rows = rows.select("doc_id", "n_words", "hits", F.when(F.size("hits") > 0, flat).alias("flat"))
 
     def matches(rules: list[Rule]) -> Column:
-        gated = F.filter(_rule_array(rules), lambda r: F.contains(F.concat(F.lit(" "), F.col("flat")), r["keyword"]))
+        gated = F.filter(_rule_array(rules), lambda r: F.exists("hits", lambda h: F.startswith(h, r["keyword"])))
         return F.flatten(F.transform(gated, lambda r: F.transform(
             _places(F.col("flat"), r["pattern"]),
             lambda p: F.struct(r["label"].alias("label"), p["start"].alias("start"), p["stop"].alias("stop"),
