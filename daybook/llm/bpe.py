@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,24 @@ BYTE_LEVEL_PATTERN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{WHI
                       f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 
+def _ranges(points: Iterable[int]) -> str:
+    """Code points as the inside of a character class."""
+    return "".join(f"\\x{p:02x}" for p in points)
+
+
+_LATIN = {kind: _ranges(p for p in range(256) if unicodedata.category(chr(p)).startswith(kind)) for kind in "LN"}
+_LATIN_WHITE = "\\t-\\r\\x20\\x85\\xa0"
+
+
+def is_latin(text: str) -> bool:
+    """Whether a text has code points below 256 only."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -102,19 +122,27 @@ class Codec:
         for s in steps:
             if s["type"] == "Replace" and (s["pattern"], s["content"]) != ({"Regex": "\\s+"}, " "):
                 raise ValueError("unknown replacement")
-        self.folds_white = "Replace" in kinds
         pre = spec["pre_tokenizer"]
         split = next((s for s in pre.get("pretokenizers", []) if s["type"] == "Split"), None)
         if split is None:
             pattern = BYTE_LEVEL_PATTERN
         else:
             pattern = split["pattern"]["Regex"].replace("\\s", WHITE)
-        self.find = regex.compile(pattern).findall
+        # white space is folded before the split, which drops it: there is nothing to fold then
+        if "Replace" in kinds and split is None:
+            raise ValueError("folded white space needs a split that drops it")
+        self.find_any = regex.compile(pattern).findall
+        latin = pattern.replace(WHITE, _LATIN_WHITE)
+        for kind, inside in _LATIN.items():
+            latin = latin.replace(f"[\\p{{{kind}}}]", f"[{inside}]").replace(f" ?\\p{{{kind}}}", f" ?[{inside}]")
+            latin = latin.replace(f"\\p{{{kind}}}", inside)
+        self.find_latin = re.compile(latin).findall      # the same pattern for code points below 256, faster
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
 
+    def find(self, text: str) -> list[str]:
+        return self.find_latin(text) if is_latin(text) else self.find_any(text)
+
     def normalise(self, text: str) -> str:
-        if self.folds_white:
-            text = regex.sub(f"[{WHITE}]+", " ", text)
         for kind, _ in self.steps:
             if kind == "NFC":
                 text = unicodedata.normalize("NFC", text)
@@ -125,7 +153,7 @@ class Codec:
     def pre_tokens(self, text: str) -> list[str | int]:
         """The pre-tokens of a text; special tokens that stand in it as their ids."""
         if not self.special or not any(s in text for s in self.special):
-            return self.find(self.normalise(text) if self.steps or self.folds_white else text)
+            return self.find(self.normalise(text))
         out: list[str | int] = []
         at = 0
         for hit in self.specials.finditer(text):
@@ -183,7 +211,10 @@ class Codec:
         return [[s for s in symbol[a:b] if s >= 0] for a, b in zip(begins[:-1], begins[1:], strict=True)]
 
     def decode(self, ids: Iterable[int]) -> str:
-        tokens = [t for i in ids if (t := self.tokens.get(i)) is not None]
+        try:
+            tokens = list(map(self.tokens.__getitem__, ids))
+        except KeyError:
+            tokens = [t for i in ids if (t := self.tokens.get(i)) is not None]
         if not self.joins_bytes:
             return " ".join(tokens)
         out = bytearray()
@@ -228,16 +259,15 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                     known.clear()
                 pre = [bpe.pre_tokens(t) for t in texts]
                 new = [w for w in set().union(*pre) if w not in known and not isinstance(w, int)]
-                here = dict(zip(new, bpe.encode_words(new), strict=True))
-                known.update((w, i) for w, i in here.items() if len(w) <= CACHED_WORD_CHARS)
+                known.update(zip(new, bpe.encode_words(new), strict=True))
+                known.update((i, [i]) for i in bpe.special.values())
                 ids, ends = [], [0]
                 for words in pre:
-                    for w in words:
-                        got = known.get(w)
-                        if got is None:
-                            got = [w] if isinstance(w, int) else here[w]
-                        ids += got
+                    ids.extend(chain.from_iterable(map(known.__getitem__, words)))
                     ends.append(len(ids))
+                for w in new:
+                    if len(w) > CACHED_WORD_CHARS:
+                        del known[w]
                 lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(ids, pa.int32()))
                 yield pa.record_batch([batch.column(0).slice(first, len(texts)), lists], names=["doc_id", "ids"])
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")

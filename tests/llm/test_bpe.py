@@ -10,7 +10,7 @@ from daybook.llm import bpe, queries, tokencount
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 PIECES = ["a", "b", "'s", "'", "Σ", "ς", "İ", "é", "é", " ", "\t", "\n", "\x1c", "\x85", "​",
-          "<|endoftext|>", "<|startoftext|>", "1", "२", "中", "😀", "!!", "<|", "ſ", "ß", "　", "ﬁ", " ", "the"]
+          "²", "½", "ª", "µ", "\xa0", "ÿ", "<|endoftext|>", "<|startoftext|>", "1", "२", "中", "😀", "!!", "<|", "ſ", "ß", "　", "ﬁ", " ", "the"]
 
 
 @pytest.mark.parametrize("name", FILES)
