@@ -57,30 +57,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     checkpointed. Duplicate edges and loops are harmless; null ends are dropped;
     without edges the result is empty.
     """
-    both = (edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"))
+    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     live = cut(both.union(both.select("v", "u").toDF("u", "v")).distinct())
-    labels = None
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            break
+    steps = []
+    while not live.isEmpty():
+        if len(steps) == max_rounds:
+            raise RuntimeError("connected components did not converge")
         hook = live.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u").alias("node"), F.least("u", "m").alias("to"))
-        hook = cut(hook)
         up = hook.select(F.col("node").alias("mid"), F.col("to").alias("top"))
-        jumped = cut(hook.join(up, hook["to"] == up["mid"], "left")
-                     .select("node", F.coalesce("top", "to").alias("to")))
-        if labels is None:
-            labels = jumped.select("node", F.col("to").alias("label"))
-        else:
-            j = jumped.select(F.col("node").alias("label"), F.col("to").alias("new"))
-            labels = cut(labels.join(j, "label", "left")
-                         .select("node", F.coalesce("new", "label").alias("label")))
+        jumped = cut(hook.join(up, hook["to"] == up["mid"], "left").select("node", F.coalesce("top", "to").alias("to")))
+        steps.append(jumped)
         left = jumped.select(F.col("node").alias("u"), F.col("to").alias("nu"))
         right = jumped.select(F.col("node").alias("v"), F.col("to").alias("nv"))
         live = cut(live.join(left, "u").join(right, "v").where("nu <> nv")
                    .select(F.col("nu").alias("u"), F.col("nv").alias("v")).distinct())
-    else:
-        raise RuntimeError("connected components did not converge")
-    if labels is None:
-        labels = live.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return labels
+    if not steps:
+        return live.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    labels = steps[0].select("node", F.col("to").alias("label"))
+    for jumped in steps[1:]:
+        labels = relabelled(labels, jumped.select("node", F.col("to").alias("label")))
+    return labels if len(steps) == 1 else cut(labels)
+
+
+def relabelled(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """(node, label) with every label replaced by its own label in ``new``, where it has one."""
+    step = new.select(F.col("node").alias("_old"), F.col("label").alias("_new"))
+    return (labels.join(step, labels["label"] == step["_old"], "left")
+            .select("node", F.coalesce("_new", "label").alias("label")))
+
+
+def merged_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The component labels of all nodes after more edges (a, b) between them; ``labels`` has every node."""
+    a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = edges.join(a, "a").join(b, "b").where("la <> lb").select("la", "lb")
+    return cut(relabelled(labels, components(between, "la", "lb")))
