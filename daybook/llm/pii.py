@@ -13,9 +13,9 @@ Distinctness: surrogates of the distinct entities of a kind are grouped; where t
 entities share one, or a surrogate is itself a real entity, all but the smallest
 entity are derived again with the next attempt number, until there is none.
 
-The distinct entities are shuffled, not the texts; only documents with a mention
-are joined with their replacements, by a hash of the text and a salt, so copies
-and frequent entities are spread.
+Texts are searched once; the distinct mentions are shuffled for the surrogates, the
+texts once for the join with their replacements, by a hash of the text and a salt,
+so copies and frequent entities are spread.
 
 Edge cases: null text stays null, empty text empty, both with no entities. Null ids
 and repeated rows are each rewritten. Texts without any mention are returned as
@@ -195,21 +195,21 @@ def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
 
 def pseudonymised(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_entities) of every row, each mention replaced by its surrogate."""
-    texts = id_and_text(docs, id_col, text_col)
-    found = F.when(F.col("text").rlike(GATE), F.regexp_extract_all("text", F.lit(DETECT), F.lit(0)))
-    marked = texts.withColumn("hits", F.coalesce(found, F.array().cast("array<string>"))).select(
-        "doc_id", "text", "hits", F.xxhash64("text").alias("k"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    with_hits = marked.where(F.size("hits") > 0)
-    mentions = cut(with_hits.select("k", "salt", F.explode(F.array_distinct("hits")).alias("raw")).distinct())
+    texts = id_and_text(docs, id_col, text_col).select(
+        "doc_id", "text", F.xxhash64("text").alias("k"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    # detected once over all texts; the outer form keeps Spark from testing the array in a filter of its own first
+    hits = F.when(F.col("text").rlike(GATE), F.array_distinct(F.regexp_extract_all("text", F.lit(DETECT), F.lit(0))))
+    mentions = cut(texts.select("k", "salt", F.explode_outer(hits).alias("raw")).where("raw is not null").distinct())
     known = replacements(mentions.select("raw").distinct(), key)
     spread = known.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     table = (mentions.withColumn("turn", F.pmod(F.col("k"), F.lit(SALTS)).cast("int")).join(spread, ["raw", "turn"])
              .groupBy("k", "salt").agg(F.map_from_entries(F.collect_list(F.struct("raw", "surrogate"))).alias("known")))
+    joined = texts.join(table, ["k", "salt"], "left").select("doc_id", "text", "known", F.when(
+        F.col("known").isNotNull(), F.regexp_extract_all("text", F.lit(DETECT), F.lit(0))).alias("hits"))
     gaps = F.split("text", DETECT, -1)
     changed = F.concat(F.array_join(F.transform(F.arrays_zip(
         F.slice(gaps, F.lit(1), F.size("hits")).alias("gap"), F.col("hits").alias("hit")),
         lambda p: F.concat(p["gap"], F.element_at(F.col("known"), p["hit"]))), ""), F.element_at(gaps, -1))
-    rewritten = with_hits.join(table, ["k", "salt"]).select(
-        "doc_id", changed.alias("text"), F.size("hits").cast("long").alias("n_entities"))
-    plain = marked.where(F.size("hits") == 0).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"))
-    return plain.union(rewritten)
+    return joined.select(
+        "doc_id", F.when(F.col("hits").isNull(), F.col("text")).otherwise(changed).alias("text"),
+        F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).cast("long").alias("n_entities"))
