@@ -50,11 +50,10 @@ def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, n:
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (node, label), label the smallest node reachable.
 
-    Contraction: every node hooks to its smallest neighbour, one pointer jump
-    shortens the hooks, and the edges move to the hooked nodes; the rest is
-    repeated until no edge is left. Labels only ever get smaller, so there are
-    no cycles; a path of n nodes takes about log n rounds. Each round is
-    checkpointed. Duplicate edges and loops are harmless; null ends are dropped;
+    Contraction: every node hooks to its smallest neighbour, pointer doubling takes it
+    to the end of its chain of hooks, and the edges move to those ends; the rest is
+    repeated until no edge is left. Labels only ever get smaller, so there are no
+    cycles; a path of n nodes takes about log n jumps. Each step is checkpointed. Duplicate edges and loops are harmless; null ends are dropped;
     without edges the result is empty.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
@@ -63,10 +62,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     while not live.isEmpty():
         if len(steps) == max_rounds:
             raise RuntimeError("connected components did not converge")
-        hook = live.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("node"), F.least("u", "m").alias("to"))
-        up = hook.select(F.col("node").alias("mid"), F.col("to").alias("top"))
-        jumped = cut(hook.join(up, hook["to"] == up["mid"], "left").select("node", F.coalesce("top", "to").alias("to")))
+        jumped = cut(live.groupBy("u").agg(F.min("v").alias("m")).select(
+            F.col("u").alias("node"), F.least("u", "m").alias("to")))
+        moved = True
+        while moved:                 # pointer doubling: a chain of n hooks takes log n jumps
+            up = jumped.select(F.col("node").alias("mid"), F.col("to").alias("top"))
+            far = cut(jumped.join(up, jumped["to"] == up["mid"]).select("node", "to", "top"))
+            moved = not far.where("top <> to").isEmpty()
+            jumped = far.select("node", F.col("top").alias("to"))
         steps.append(jumped)
         left = jumped.select(F.col("node").alias("u"), F.col("to").alias("nu"))
         right = jumped.select(F.col("node").alias("v"), F.col("to").alias("nv"))
