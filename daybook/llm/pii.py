@@ -48,8 +48,8 @@ _NAME = rf"(?<!\p{{L}})(?:{_titles})\.? \p{{Lu}}\p{{L}}++(?: \p{{Lu}}\p{{L}}++)?
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "secret": (r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-               r"|(?<=(?:password|passwd|secret|api_key|apikey|token)[=:]{1,2})[^\s\x22'=:]{6,}+"
-               r"|(?<=(?:password|passwd|secret|api_key|apikey|token) ?[=:] ?[\x22'])[^\s\x22']{6,}+"),
+               r"|(?<=(?i:password|passwd|secret|api_key|apikey|token)[=:]{1,2})[^\s\x22'=:]{6,}+"
+               r"|(?<=(?i:password|passwd|secret|api_key|apikey|token) ?[=:] ?[\x22'])[^\s\x22']{6,}+"),
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ \-]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
@@ -60,7 +60,7 @@ PATTERNS = {
 }
 DETECT = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A cheap test that every text with a mention passes.
-GATE = rf"[0-9@]|(?<!\p{{L}})(?:{_titles})\.? \p{{Lu}}|(?:password|passwd|secret|api_key|apikey|token) ?[=:]"
+GATE = rf"[0-9@]|(?<!\p{{L}})(?:{_titles})\.? \p{{Lu}}|(?i:password|passwd|secret|api_key|apikey|token) ?[=:]"
 NUMBERS = ("card", "iban", "ssn", "phone")
 
 

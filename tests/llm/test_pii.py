@@ -37,6 +37,14 @@ def test_format_script_gender_and_coreference(spark):
             assert all(secret not in t for t in out.values())
 
 
+def test_keywords_of_any_case(spark):
+    rows = [(k, f"{word}{mark}") for k, (word, mark) in enumerate(
+        (w, m) for w in ("password", "PASSWORD", "Password", "DB_PASSWD", "Secret", "API_KEY", "ApiKey", "TOKEN")
+        for m in ("=hunterzwei", ' = "hunterzwei"'))]
+    out = op.pseudonymised(frame(spark, rows)).collect()
+    assert len(out) == len(rows) and all(r["n_entities"] == 1 and "hunterzwei" not in r["text"] for r in out)
+
+
 def test_other_key_other_surrogates(spark):
     a, b = rewritten(spark, ROWS[3:4]), rewritten(spark, ROWS[3:4], key="other")
     assert a != b
