@@ -11,7 +11,11 @@ format, so mentions of one entity agree in every format and document.
 
 Distinctness: surrogates of the distinct entities of a kind are grouped; where two
 entities share one, or a surrogate is itself a real entity, all but the smallest
-entity are derived again with the next attempt number, until there is none.
+entity are derived again with the next attempt number, until there is none. After
+``SAME_LENGTH`` attempts each further one lengthens the surrogate, so formats whose
+space the real entities fill (a phone number of five digits) come to an end too; network
+addresses then become addresses of the private IPv6 range. Entities without a letter
+or digit to redraw (``password=********``) get letters.
 
 Texts are searched once; the distinct mentions are shuffled for the surrogates, the
 texts once for the join with their replacements, by a hash of the text and a salt,
@@ -24,13 +28,15 @@ they are. An empty table gives an empty result. Only id and text are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import cut, id_and_text
 
 KEY = "daybook"            # the default key; a deployment passes its own
-MAX_ATTEMPTS = 40
+SAME_LENGTH = 8            # attempts in the entity's own length
 SALTS = 16
 
 #: Fixed: titles by gender, of Latin, Cyrillic and Greek script.
@@ -84,9 +90,9 @@ def _chars(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
-def _stream(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
+def _stream(key: str, kind: Column, canon: Column, attempt: Column, first: int = 0) -> Column:
     part = lambda n: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), F.lit(n)), 256)
-    return F.concat(part("0"), part("1"))
+    return F.concat(part(f"{first}"), part(f"{first + 1}"))
 
 
 def _draw(stream: Column, i: Column | int) -> Column:
@@ -111,30 +117,44 @@ def _redrawn(c: Column, n: Column) -> Column:
             .when(c.rlike(r"\p{L}"), _letter(ALPHABETS["latin"], n)).otherwise(c))
 
 
-def _pronounceable(stream: Column, script: str, ending: str) -> Column:
-    """A capitalised name of four drawn syllables."""
+def _longer(more: Column, attempt: Column, unit: Callable[[Column], Column]) -> Column:
+    """Two drawn units for every attempt after ``SAME_LENGTH``, none before."""
+    n = (attempt - (SAME_LENGTH - 1)) * 2
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), lambda j: unit(_draw(more, j))), "")).otherwise("")
+
+
+def _pronounceable(stream: Column, script: str, more: Column, attempt: Column, ending: str) -> Column:
+    """A capitalised name of four drawn syllables, and of further ones after ``SAME_LENGTH`` attempts."""
     letters = []
+    consonants = "".join(c for c in ALPHABETS[script] if c not in VOWELS[script])
     for k in range(4):
-        consonants = "".join(c for c in ALPHABETS[script] if c not in VOWELS[script])
         letters += [_letter(consonants, _draw(stream, 2 * k)), _letter(VOWELS[script], _draw(stream, 2 * k + 1))]
-    return F.concat(F.upper(letters[0]), *letters[1:], F.lit(ending))
+    syllable = lambda n: F.concat(_letter(consonants, n), _letter(VOWELS[script], F.floor(n / 64).cast("int")))
+    return F.concat(F.upper(letters[0]), *letters[1:], _longer(more, attempt, syllable), F.lit(ending))
 
 
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     """The surrogate of a canonical entity at an attempt."""
-    stream = _stream(key, kind, canon, attempt)
-    each = lambda fixed: F.array_join(F.transform(_chars(canon), lambda c, i: F.when(
-        fixed(i), c).otherwise(_redrawn(c, _draw(stream, i) + F.floor(i / 31).cast("int") * 7))), "")
+    stream, more = _stream(key, kind, canon, attempt), _stream(key, kind, canon, attempt, 2)
     domain = F.length(canon) - F.length(F.substring_index(canon, ".", -1))
+    drawable = F.when(kind == "email", F.substring(canon, F.lit(1), domain)).otherwise(canon).rlike(r"[0-9\p{L}]")
+    drawn = lambda c, n: F.when(drawable | ((kind == "email") & c.isin("@", ".")), _redrawn(c, n)).otherwise(
+        _letter(ALPHABETS["latin"], n))
+    each = lambda fixed: F.array_join(F.transform(_chars(canon), lambda c, i: F.when(
+        fixed(i), c).otherwise(drawn(c, _draw(stream, i) + F.floor(i / 31).cast("int") * 7))), "")
+    letters = _longer(more, attempt, lambda n: _letter(ALPHABETS["latin"], n))
+    digits = _longer(more, attempt, lambda n: F.pmod(n, F.lit(10)).cast("string"))
+    six = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(more, 1, 2)), *(F.substring(more, 4 * k + 1, 4) for k in range(1, 8)))
     octet = lambda k, low, n: (F.pmod(_draw(stream, k), F.lit(n)) + low).cast("string")
-    out = (F.when(kind == "email", each(lambda i: i >= domain))
-           .when(kind.isin(*NUMBERS), each(lambda i: i < 1))
+    out = (F.when(kind == "email", F.concat(letters, each(lambda i: i >= domain)))
+           .when(kind.isin(*NUMBERS), F.concat(each(lambda i: i < 1), digits))
+           .when((kind == "ip") & (attempt >= SAME_LENGTH), six)
            .when(kind == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))))
     for script, (male, female) in ENDINGS.items():
         for gender, ending in (("m", male), ("f", female)):
-            out = out.when(kind == f"given-{gender}-{script}", _pronounceable(stream, script, ending))
-        out = out.when(kind == f"family-{script}", _pronounceable(stream, script, ""))
-    return out.otherwise(each(lambda i: F.lit(False)))
+            out = out.when(kind == f"given-{gender}-{script}", _pronounceable(stream, script, more, attempt, ending))
+        out = out.when(kind == f"family-{script}", _pronounceable(stream, script, more, attempt, ""))
+    return out.otherwise(F.concat(each(lambda i: F.lit(False)), letters))
 
 
 def entity_parts(mentions: DataFrame) -> DataFrame:
@@ -158,13 +178,14 @@ def entity_parts(mentions: DataFrame) -> DataFrame:
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(part_kind, canon, surrogate) of distinct (part_kind, canon), without collisions."""
     current = entities.withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ATTEMPTS):
+    while True:                  # ends: the space of longer surrogates grows with every attempt
         current = cut(current.withColumn("surrogate", surrogate(key, F.col("part_kind"), F.col("canon"), F.col("attempt"))))
         shared = (current.groupBy("part_kind", "surrogate").agg(F.count("*").alias("n"), F.min("canon").alias("owner"))
                   .where("n > 1").select("part_kind", "surrogate", "owner"))
         losers = current.join(shared, ["part_kind", "surrogate"]).where("canon <> owner").select("part_kind", "canon")
         real = entities.select("part_kind", F.col("canon").alias("surrogate"))
-        lower = current.withColumn("surrogate", F.lower("surrogate"))
+        lower = current.withColumn("surrogate", F.when(F.col("part_kind").rlike("^(given|family)-"), F.lower("surrogate"))
+                                   .otherwise(F.col("surrogate")))
         posing = lower.join(real, ["part_kind", "surrogate"], "left_semi").select("part_kind", "canon")
         again = cut(losers.union(posing).distinct())
         if again.isEmpty():
@@ -172,7 +193,6 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         bump = again.withColumn("more", F.lit(1))
         current = current.join(bump, ["part_kind", "canon"], "left").select(
             "part_kind", "canon", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt"))
-    raise RuntimeError("the surrogates of a kind are exhausted")
 
 
 def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
@@ -186,8 +206,11 @@ def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
     at = lambda i: F.length(F.regexp_replace(F.substring(F.col("raw"), F.lit(1), i + 1), "[^0-9A-Za-z]", ""))
     number = F.array_join(F.transform(_chars(F.col("raw")), lambda c, i: F.when(
         c.rlike("[0-9A-Za-z]"), F.get(own, at(i) - 1)).otherwise(c)), "")
-    mail = F.array_join(F.transform(_chars(F.col("raw")), lambda c, i: F.when(
-        c.rlike("[A-Z]"), F.upper(F.get(own, i))).otherwise(F.get(own, i))), "")
+    # a lengthened number goes on behind its last digit, a lengthened address begins earlier
+    number = F.concat(number, F.substring("first", F.length(F.regexp_replace("raw", "[^0-9A-Za-z]", "")) + 1, F.length("first")))
+    head = F.length("first") - F.length("raw")
+    mail = F.concat(F.substring("first", F.lit(1), head), F.array_join(F.transform(_chars(F.col("raw")), lambda c, i: F.when(
+        c.rlike("[A-Z]"), F.upper(F.get(own, i + head))).otherwise(F.get(own, i + head))), ""))
     named = F.concat_ws(" ", F.substring_index("raw", " ", 1), F.col("second"), F.col("first"))
     return joined.select("raw", F.when(F.col("kind").isin(*NUMBERS), number).when(F.col("kind") == "email", mail)
                          .when(F.col("kind") == "name", named).otherwise(F.col("first")).alias("surrogate"))

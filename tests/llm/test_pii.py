@@ -65,6 +65,31 @@ def test_small_spaces_collide_and_are_resolved(spark):
     assert len(out) == 40 == len(set(made)) and not set(made) & {r["canon"] for r in out}
 
 
+def test_full_spaces_and_nothing_to_redraw(spark):
+    """The real numbers fill their format; masked passwords and addresses of marks have no letter or digit."""
+    full = [("card", f"9{k}") for k in range(10)] + [("ip", "1.2.3.4"), ("secret", "A!!!!!"), ("secret", "!A!!!!")]
+    out = op.surrogates(spark.createDataFrame(full, "part_kind string, canon string")).collect()
+    made = [r["surrogate"] for r in out]
+    assert len(out) == len(full) == len(set(made)) and not set(made) & {c for _, c in full}
+    rows = [(1, "password=******** secret=!!!!!!!! write to _@-.com"), (2, "PASSWORD=********")]
+    rows += [(10 + k, f"call +1 {k // 100:02d}-{k % 100:02d} now") for k in range(10_000)]
+    got = {r["doc_id"]: r["text"] for r in op.pseudonymised(frame(spark, rows)).collect()}
+    assert re.fullmatch(r"password=[a-z]{8} secret=[a-z]{8} write to [a-z]@[a-z]\.com", got[1])
+    assert got[2] == "PASSWORD=" + got[1][9:17]
+    calls = [got[10 + k] for k in range(10_000)]
+    assert len(set(calls)) == 10_000 and all(re.fullmatch(r"call \+1 \d\d-\d{4,} now", t) for t in calls)
+    assert not set(calls) & {t for _, t in rows}
+
+
+def test_longer_forms_keep_the_format(spark):
+    kinds = [("email", "a@b.co", r"[a-z]{2}[a-z]@[a-z]\.co"), ("phone", "12345", r"1\d{6}"), ("ip", "1.2.3.4", r"fd..(:[0-9a-f]{4}){7}"),
+             ("secret", "ab12cd", r"[a-z]{2}\d\d[a-z]{4}"), ("given-m-latin", "bob", r"[A-Z][a-z]{11}o")]
+    made = spark.createDataFrame([(k, c) for k, c, _ in kinds], "k string, c string").select(
+        "k", op.surrogate("key", F.col("k"), F.col("c"), F.lit(op.SAME_LENGTH)).alias("s"))
+    made = dict(made.collect())
+    assert all(re.fullmatch(want, made[k]) for k, _, want in kinds)
+
+
 def test_whole_table_leaks_nothing_and_keeps_the_rest(spark):
     docs = table(spark, "documents")
     pairs = docs.join(op.pseudonymised(docs).withColumnRenamed("text", "new"), "doc_id").select("text", "new", "n_entities").collect()
