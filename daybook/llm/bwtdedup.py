@@ -21,8 +21,11 @@ cross documents and are judged on the input.
    is not separated after ``LENGTH / BLOCK`` iterations is a repeated interval.
 
 Runs of a very frequent minimizer with many different surroundings (over
-``WIDE_CLASS`` of them) are cut to pieces of ``PIECE`` windows, named by all bytes that
-the windows of a piece share, and counted again; so no task gets such a class whole.
+``WIDE_CLASS`` of them, or over ``WIDE_BYTES`` bytes) are cut to pieces of ``PIECE`` windows, named by all bytes that
+the windows of a piece share, and counted again. Where more than ``WIDE_ROUTE`` distinct
+pieces have one name (many documents go on differently behind one passage), their
+windows are counted one by one, by the hash of a whole window. So no task solves more
+than a bounded number of strings, whatever the size of a class.
 
 Edge cases: null or empty text counts as empty; shorter texts than ``LENGTH`` lose
 nothing. Null ids and repeated rows are documents of their own, repeated rows lose
@@ -38,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
-from daybook.llm.common import cut, id_and_text
+from daybook.llm.common import cut, id_and_text, salted_join
 
 LENGTH = 400
 GRAM = 128
@@ -48,6 +51,9 @@ SLICE = 1 << 20
 SHARD_BYTES = 1 << 18
 BATCH_BYTES = 1 << 21
 WIDE_CLASS = 2_000
+WIDE_BYTES = 1 << 22
+WIDE_ROUTE = 2_000
+PIECES_AT_ONCE = 4_096
 PIECE = 16
 KEY_SALTS = 4                # tables of minimizers and runs, many rows
 TEXT_SALTS = 8               # spans of texts, joined to whole texts
@@ -306,15 +312,46 @@ def pieces(contents: DataFrame) -> DataFrame:
                 low = anchor - offset[first] // PIECE * PIECE                  # the begin all windows of the group reach
                 route = tb.span_hash(prefix, low, low - PIECE + 1 + LENGTH) + (offset[first] // PIECE).astype(np.uint64)
                 whole = tb.span_hash(prefix, first, last + LENGTH) + (last - first).astype(np.uint64)
-                yield pa.record_batch([
-                    pa.array(route.view(np.int64)), pa.array([m] * len(first), pa.int64()),
-                    pa.array([c] * len(first), pa.int64()), pa.array(first.astype(np.int32)),
-                    pa.array([content[a:b + LENGTH] for a, b in zip(first, last, strict=True)], pa.binary()),
-                    pa.array(whole.view(np.int64))], names=["route", "m", "c", "shift", "content", "piece"])
+                for k in range(0, len(first), PIECES_AT_ONCE):
+                    some = slice(k, k + PIECES_AT_ONCE)
+                    n = len(first[some])
+                    yield pa.record_batch([
+                        pa.array(route[some].view(np.int64)), pa.array([m] * n, pa.int64()),
+                        pa.array([c] * n, pa.int64()), pa.array(first[some].astype(np.int32)),
+                        pa.array([content[a:b + LENGTH] for a, b in zip(first[some], last[some], strict=True)], pa.binary()),
+                        pa.array(whole[some].view(np.int64))], names=["route", "m", "c", "shift", "content", "piece"])
     return contents.select("m", "c", "content").mapInArrow(
         run, "route long, m long, c long, shift int, content binary, piece long")
 
 
+def single_windows(contents: DataFrame) -> DataFrame:
+    """(w, m, c, shift, at): the hash and the place of every window of every piece."""
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1024):
+                part = batch.slice(low, 1024)
+                raw = part.column(3).to_pylist()
+                size = np.array([len(x) for x in raw])
+                windows = size - LENGTH + 1
+                row = np.repeat(np.arange(len(raw)), windows)
+                at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+                first = (np.cumsum(size) - size)[row] + at
+                prefix = tb.prefix_hash(np.frombuffer(b"".join(raw), np.uint8), _TABLE)
+                w = tb.span_hash(prefix, first, first + LENGTH)
+                yield pa.record_batch([pa.array(w.view(np.int64)), *(part.column(k).take(pa.array(row)) for k in range(3)),
+                                       pa.array(at.astype(np.int32))], names=["w", "m", "c", "shift", "at"])
+    return contents.select("m", "c", "shift", "content").mapInArrow(run, "w long, m long, c long, shift int, at int")
+
+
+def counted(contents: DataFrame) -> DataFrame:
+    """(m, c, shift, spans): as ``compared``, by a grouped count of single windows; for routes of any size."""
+    windows = cut(single_windows(contents))
+    repeated = windows.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
+    found = salted_join(windows, repeated, ["w"], "c")
+    return found.groupBy("m", "c", "shift").agg(F.array_sort(F.collect_set(F.struct(
+        F.col("at").alias("a"), (F.col("at") + 1).cast("int").alias("b")))).alias("spans"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(k1, k2, spans): the repeated byte ranges of every text that has any; ``docs`` has doc_id, text, k1, k2."""
     texts = docs.where(F.octet_length("text") >= LENGTH)
@@ -326,9 +363,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     kinds = places.groupBy("m", "c").agg(
         F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "start", "windows")).alias("p"))
     kinds = cut(kinds.select("m", "c", "n", "p.*"))
-    classes = (kinds.groupBy("m").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"))
-               .where("fewest = 1").select("m", (F.col("kinds") > WIDE_CLASS).alias("wide")))
-    needed = kinds.join(classes, "m").join(reps, ["k1", "k2"]).select(
+    classes = (kinds.groupBy("m").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"),
+                                      F.sum(F.col("windows").cast("long") + LENGTH - 1).alias("bytes"))
+               .where("fewest = 1").select("m", ((F.col("kinds") > WIDE_CLASS) | (F.col("bytes") > WIDE_BYTES)).alias("wide")))
+    needed = salted_join(kinds, classes, ["m"], "c").join(reps, ["k1", "k2"]).select(
         "m", "c", "wide", "k1", "k2", "rep", "start", "windows")
     contents = cut(fetched(needed, texts))
 
@@ -354,9 +392,13 @@ def _wide_results(wide: DataFrame) -> DataFrame:
     cutup = cut(pieces(wide))
     same = cutup.groupBy("route", "piece").agg(F.count("*").alias("n"), F.min(F.struct("m", "c", "shift")).alias("p"))
     same = cut(same.select("route", "piece", "n", "p.*"))
-    alone = same.groupBy("route").agg(F.count("*").alias("pieces")).where("pieces > 1").select("route")
-    chosen = same.join(alone, "route").select("route", "m", "c", "shift")
-    solved = compared(cutup.drop("piece").join(chosen, ["route", "m", "c", "shift"]))
+    shared = same.groupBy("route").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    chosen = salted_join(same, shared, ["route"], "c").select("route", "m", "c", "shift", "pieces")
+    chosen = cut(cutup.drop("piece").join(chosen, ["route", "m", "c", "shift"]))
+    solved = compared(chosen.where(F.col("pieces") <= WIDE_ROUTE))
+    large = chosen.where(F.col("pieces") > WIDE_ROUTE)
+    if not large.isEmpty():
+        solved = solved.union(counted(large))
     # what holds for the chosen piece holds for every equal one; equal pieces are repeated whole
     of_piece = same.join(solved, ["m", "c", "shift"]).select("route", "piece", "spans")
     whole = cutup.join(same.where("n > 1").select("route", "piece"), ["route", "piece"]).select(

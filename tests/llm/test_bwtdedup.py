@@ -49,6 +49,24 @@ def test_shared_passages_match_brute_force(spark, monkeypatch, wide):
     assert result(frame(spark, rows)) == brute_force(rows)
 
 
+@pytest.mark.parametrize("by_bytes", [False, True])
+def test_a_passage_that_goes_on_differently_is_not_solved_whole(spark, monkeypatch, by_bytes):
+    """Pieces at the edges of one passage share their name; none of more than WIDE_ROUTE reaches one solve."""
+    rng = random.Random(6)
+    passage = prose(rng, 200)[:450]
+    rows = [(k, f"{prose(rng, 12)} {passage}{prose(rng, 12)}") for k in range(40)] + [(90, "ab" * 400), (91, "x" + "ab" * 300)]
+    monkeypatch.setattr(op, "WIDE_BYTES" if by_bytes else "WIDE_CLASS", 1)
+    monkeypatch.setattr(op, "WIDE_ROUTE", 5)
+    whole, seen = op.compared, []
+
+    def watched(contents):
+        seen.append(max([r["count"] for r in contents.groupBy("route").count().collect()], default=0))
+        return whole(contents)
+    monkeypatch.setattr(op, "compared", watched)
+    assert result(frame(spark, rows)) == brute_force(rows)
+    assert seen and max(seen) <= 5
+
+
 def test_smallest_table_matches_brute_force(spark):
     docs = table(spark, "documents")
     assert result(docs) == brute_force(texts_of(docs))
