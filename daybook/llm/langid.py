@@ -3,7 +3,8 @@
 Four pieces of evidence about a page are multiplied:
 
 * text: a multinomial over hashed byte trigrams of the visible text per language,
-  trained on a bounded sample of labelled documents. Trigrams of one text are far
+  trained on a bounded sample of each language that any labelled document has, so
+  rare languages are in it too, however many there are. Trigrams of one text are far
   from independent, so its log likelihood counts as at most ``TEXT_WEIGHT`` of them;
 * declared markup language: how often each value is declared on pages of a language;
 * address suffix: likewise for the language code in the path or the country suffix;
@@ -37,8 +38,7 @@ from daybook.llm import textbytes as tb
 from daybook.llm.common import cut
 
 BUCKETS = 1 << 13
-MAX_TRAIN = 4_000            # labelled documents, the smallest by a hash of the id
-MAX_LANGUAGES = 64
+TRAIN_EACH = 1_000           # about so many labelled texts of each language, drawn by a hash; all of a rarer one
 TEXT_WEIGHT = 60
 MICRO = 1_000_000            # soft counts are whole millionths
 SMOOTHING = 0.5
@@ -66,12 +66,21 @@ def visible_text(source: str) -> str:
     return markup.unescape(_HIDDEN.sub(" ", source))
 
 
-def training_table(docs: DataFrame, most: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
-    """Languages, and fixed-point log probabilities (languages x buckets), from a bounded labelled sample."""
-    chosen = (docs.select(F.col("doc_id").alias("own"), F.lower("lang").alias("language"))
-              .where("own is not null and language is not null and language <> ''")
-              .orderBy(F.xxhash64("own"), "own", "language").limit(most).dropDuplicates(["own"]))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("own"))
+def training_texts(docs: DataFrame, most: int = TRAIN_EACH) -> DataFrame:
+    """(text, language): about ``most`` labelled documents of each language, all where there are fewer.
+
+    The languages and their counts come from all documents; a hash of id and text decides.
+    """
+    known = (docs.select("doc_id", "text", F.lower("lang").alias("language"))
+             .where("doc_id is not null and language is not null and language <> ''"))
+    sizes = known.groupBy("language").agg(F.count("*").alias("n"))          # one row per language
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    return known.join(F.broadcast(sizes), "language").where(share < F.lit(float(most)) / F.col("n")).select("text", "language")
+
+
+def training_table(docs: DataFrame, most: int = TRAIN_EACH) -> tuple[list[str], np.ndarray]:
+    """Languages, and fixed-point log probabilities (languages x buckets), from a bounded sample of each language."""
+    texts = training_texts(docs, most)
 
     def run(batches):
         counts: dict[str, np.ndarray] = {}
@@ -85,8 +94,7 @@ def training_table(docs: DataFrame, most: int = MAX_TRAIN) -> tuple[list[str], n
                                   names=["language", "bucket", "n"])
     counted = (texts.select("text", "language").mapInArrow(run, "language string, bucket long, n long")
                .groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    total = counted.groupby("language")["n"].sum().sort_values(ascending=False, kind="stable")
-    languages = sorted(total.index[:MAX_LANGUAGES])
+    languages = sorted(counted["language"].unique())
     table = np.full((len(languages), BUCKETS), SMOOTHING)
     for k, language in enumerate(languages):
         mine = counted[counted["language"] == language]
@@ -124,7 +132,8 @@ def evidence(pages: DataFrame, languages: list[str], table: np.ndarray) -> DataF
                         declared = "other"
                     grams = trigrams(visible_text(source))
                     weight = min(len(grams), TEXT_WEIGHT) / max(len(grams), 1)
-                    loglik = shared.value[:, grams].sum(axis=1) / 65536 * weight
+                    loglik = (shared.value[:, grams].sum(axis=1) if len(grams) < BUCKETS else
+                              shared.value @ np.bincount(grams, minlength=BUCKETS)) / 65536 * weight
                     rows.append((host, domain, declared, address, loglik))
                 logliks = np.array([r[4] for r in rows])
                 soft = np.rint(_softmax(logliks) * MICRO).astype(np.int64)

@@ -39,6 +39,21 @@ def test_evidence_matters_where_text_is_missing(spark):
     assert all(0 < r["confidence"] <= 1 for x in got.values() for r in x)
 
 
+def test_more_than_64_languages_and_a_rare_one(spark):
+    """Seventy languages of two documents beside one of 6,000: all are known, and the large one is sampled."""
+    code = lambda k: "q" + chr(97 + k // 26) + chr(97 + k % 26)
+    words = lambda k: " ".join(f"{chr(0x4E00 + 40 * k + j)}{chr(0x4E07 + 40 * k + j)}" for j in range(30))
+    rows = [(2 * k + j, words(k), code(k)) for k in range(70) for j in range(2)]
+    rows += [(1000 + k, f"the common words of text {k}", "en") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sampled = dict(op.training_texts(docs).groupBy("language").count().collect())
+    assert len(sampled) == 71 and 800 < sampled.pop("en") < 1200 and set(sampled.values()) == {2}
+    pages = spark.createDataFrame([(k, f"http://a{k}.example.org/{code(k)}/x", f"<html lang='{code(k)}'><p>{words(k)}</p></html>")
+                                   for k in range(70)], "page_id long, url string, html string")
+    for r in op.page_languages(pages, docs).collect():
+        assert r["lang"] == r["declared"] == r["address"] == r["text_lang"] == code(r["page_id"])
+
+
 def test_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     pages = spark.read.parquet(f"{SF}/pages.parquet")
