@@ -7,7 +7,7 @@ byte suffixes, hash-ordered template seeds) are tested against brute force in
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, hyperminhash
+from daybook.llm import decontaminate, filteraudit, hyperminhash
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -76,5 +76,43 @@ SELECT d.doc_id, found.doc_id IS NOT NULL AS contaminated, found.doc_id IS NULL
 FROM d LEFT JOIN found USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
+def op11_filter_audit() -> str:
+    """Every document walks through every order; a filter's first place in the order decides."""
+    return f"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM t),
+least_id AS (SELECT text, min(doc_id) AS least_id FROM t GROUP BY text),
+known AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(ws) < {filteraudit.MIN_WORDS} THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < {filteraudit.MIN_DISTINCT_PERCENT} * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > {filteraudit.MAX_CAPITALS_PERCENT} * length(text)
+            THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN w.doc_id > least_id THEN 'E' ELSE '' END AS failed
+  FROM w JOIN least_id USING (text) LEFT JOIN known ON known.doc_id = w.doc_id),
+f(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS f FROM orders, range(1, 6) r(step)),
+gone_by AS (
+  SELECT part, good, toxic, filter_order, step, s.f, failed = s.f AS alone, contains(failed, s.f) AS fails,
+         len(list_filter(range(1, step), lambda k: contains(failed, filter_order[k]))) > 0 AS gone
+  FROM d, steps s),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+         count(*) FILTER (NOT gone AND NOT fails) AS kept, count(*) FILTER (fails AND NOT gone) AS removed,
+         count(*) FILTER (fails AND gone) AS redundant, count(*) FILTER (alone) AS unique_fails,
+         count(*) FILTER (fails AND NOT gone AND good) AS good_lost,
+         count(*) FILTER (fails AND NOT gone AND toxic) AS toxic_lost
+  FROM gone_by GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""
+
+
 def all_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate)}
+    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate, op11_filter_audit)}

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, bwtdedup, decontaminate, hyperminhash, langid, licenses, linetemplates, pii, quality, tokencount
+from daybook.llm import (
+    bpe, bwtdedup, decontaminate, filteraudit, hyperminhash, langid, licenses, linetemplates, pii, quality, tokencount)
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -58,6 +59,11 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts,
-    op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings)}
+    op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings,
+    op11_filter_audit)}
