@@ -47,6 +47,13 @@ def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, n:
     return rows.withColumn("_salt", salt(F.col(by), n)).join(spread, [*keys, "_salt"]).drop("_salt")
 
 
+def salted_left_join(rows: DataFrame, table: DataFrame, keys: list[str], n: int = 4) -> DataFrame:
+    """Left join of rows, which may be very many to a key or have null keys, with a table of one row to a key."""
+    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return rows.withColumn("_salt", salt(F.monotonically_increasing_id(), n)).join(
+        spread, [*keys, "_salt"], "left").drop("_salt")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (node, label), label the smallest node reachable.
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, salt
+from daybook.llm.common import cut, salted_left_join
 
 FILTERS = "ABCDE"
 MIN_WORDS = 200
@@ -81,13 +81,6 @@ def text_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(batches, "doc_id long, part string, mask int, digest binary")
 
 
-def _salted_left(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join with a table of one row to a key; the rows of a hot key, or of none, are spread over salts."""
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt(F.monotonically_increasing_id(), SALTS)).join(
-        spread, [key, "_salt"], "left").drop("_salt")
-
-
 def cells(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
     """(part, mask, n, good, toxic): the documents of each part that fail the same filters."""
     masks = cut(text_masks(docs, **columns))
@@ -98,7 +91,7 @@ def cells(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
              .where("doc_id is not null").groupBy("doc_id")
              .agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("is_good"),
                   F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("is_toxic")))
-    rows = _salted_left(_salted_left(masks, first, "digest"), known, "doc_id")
+    rows = salted_left_join(salted_left_join(masks, first, ["digest"], SALTS), known, ["doc_id"], SALTS)
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return (rows.groupBy("part", (F.col("mask") + F.when(copy, 1 << 4).otherwise(0)).alias("mask"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_good").alias("good"),

@@ -7,7 +7,7 @@ byte suffixes, hash-ordered template seeds) are tested against brute force in
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, filteraudit, hyperminhash
+from daybook.llm import decontaminate, filteraudit, hyperminhash, projections
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -114,5 +114,28 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted"""
 
 
+def op12_near_vectors() -> str:
+    """All pairs of one label by the cosine, components by recursion."""
+    return f"""WITH RECURSIVE t AS (
+  SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT row_number() OVER () AS k, * FROM t),
+link AS (
+  SELECT a.k AS x, b.k AS y FROM n a JOIN n b ON a.label = b.label AND len(a.v) = len(b.v) AND a.k <> b.k
+  WHERE list_cosine_similarity(a.v, b.v) >= {projections.THRESHOLD}),
+reach(k, other) AS (
+  SELECT k, k FROM n UNION SELECT link.x, reach.other FROM reach JOIN link ON link.y = reach.k),
+found AS (
+  SELECT n.vec_id, n.label, n.v, min(o.vec_id) AS component_id,
+         (SELECT count(*) FROM link WHERE link.x = n.k) AS n_links
+  FROM n JOIN reach USING (k) JOIN n o ON o.k = reach.other GROUP BY n.k, n.vec_id, n.label, n.v)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+       coalesce(e.vec_id = coalesce(component_id, e.vec_id), true) AS kept
+FROM embeddings e LEFT JOIN found f
+  ON f.vec_id = e.vec_id AND f.label = e.label AND f.v = CAST(e.embedding AS DOUBLE[])"""
+
+
 def all_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate, op11_filter_audit)}
+    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate, op11_filter_audit, op12_near_vectors)}

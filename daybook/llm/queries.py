@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    bpe, bwtdedup, decontaminate, filteraudit, hyperminhash, langid, licenses, linetemplates, pii, quality, tokencount)
+    bpe, bwtdedup, decontaminate, filteraudit, hyperminhash, langid, licenses, linetemplates, pii, projections,
+    quality, tokencount)
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -63,7 +64,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts,
     op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings,
-    op11_filter_audit)}
+    op11_filter_audit, op12_near_vectors)}
