@@ -7,7 +7,7 @@ byte suffixes, hash-ordered template seeds) are tested against brute force in
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, filteraudit, hyperminhash, projections
+from daybook.llm import covertree, decontaminate, filteraudit, hyperminhash, projections
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -137,5 +137,32 @@ FROM embeddings e LEFT JOIN found f
   ON f.vec_id = e.vec_id AND f.label = e.label AND f.v = CAST(e.embedding AS DOUBLE[])"""
 
 
+def op13_hard_negatives() -> str:
+    """All scores of each anchor, ranked."""
+    return f"""WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT row_number() OVER () AS k, * FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.k, a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id,
+         CAST(CASE WHEN len(a.x) = 0 THEN 0 ELSE list_inner_product(a.x, v.x) END AS BIGINT) AS score
+  FROM a JOIN v ON len(a.x) = len(v.x)),
+p AS (
+  SELECT k, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS slot
+  FROM s WHERE same AND vec_id <> anchor_id QUALIFY slot <= {covertree.POSITIVES}),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.k, p.slot ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.k = p.k AND NOT s.same
+    AND {covertree.LOW_PERCENT} * p.positive_score <= 100 * s.score
+    AND 100 * s.score <= {covertree.HIGH_PERCENT} * p.positive_score
+  QUALIFY rank <= {covertree.NEGATIVES})
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n"""
+
+
 def all_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op1_near_duplicates, op7_decontaminate, op11_filter_audit, op12_near_vectors)}
+    return {f.__name__: f() for f in (
+        op1_near_duplicates, op7_decontaminate, op11_filter_audit, op12_near_vectors, op13_hard_negatives)}

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    bpe, bwtdedup, decontaminate, filteraudit, hyperminhash, langid, licenses, linetemplates, pii, projections,
-    quality, tokencount)
+    bpe, bwtdedup, covertree, decontaminate, filteraudit, hyperminhash, langid, licenses, linetemplates, pii,
+    projections, quality, tokencount)
 from daybook.llm.common import documents
 
 #: Names of the public vocabulary files; the library resolves their place on each machine.
@@ -68,7 +68,21 @@ def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_vectors(documents(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are moved on, components are scaled to whole numbers, every hundredth row asks."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+
+    def scaled(x: Column) -> Column:
+        y = x.cast("double") * 256
+        return F.when(F.abs(y) < 2.0 ** 52, F.floor(y).cast("double")).otherwise(y)   # beyond, y is whole or not finite
+
+    rows = documents(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform("embedding", scaled).alias("embedding"))
+    return covertree.hard_negatives(rows, vec_id % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts,
     op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings,
-    op11_filter_audit, op12_near_vectors)}
+    op11_filter_audit, op12_near_vectors, op13_hard_negatives)}
