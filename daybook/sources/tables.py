@@ -3,8 +3,10 @@
 Plain ``append`` (what a blind daily job does) duplicates a day when the job is
 rerun or a task is retried after a partial commit. The writers here replace the one
 partition directory a run owns as a whole, also when the run has no rows, so a rerun
-leaves exactly its own rows: none twice, and none that the rerun no longer has. A job
-that dies while it writes leaves its own partition incomplete until it is rerun:
+leaves exactly its own rows: none twice, and none that the rerun no longer has. Catalog
+tables are committed by location (``sources.commits``): a job that dies while it writes
+leaves the former partition. A table that is only a path has no such switch; there the
+job's own partition is incomplete until it is rerun:
 
 * daily order fact and daily reports: partitioned by ``date``; one run owns one date.
 * page-stay rows: ``dt`` comes from each record, so a run for day D also
@@ -17,13 +19,13 @@ that dies while it writes leaves its own partition incomplete until it is rerun:
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_key, iso
+from .commits import commit_partitions
 from .schemas import DAILY_FACT, PAGE_STAY
 
 
@@ -66,13 +68,6 @@ def replace_partition(df: DataFrame, path: str, owned: tuple[str, object], parti
     writer.save(f"{path.rstrip('/')}/{column}={value}")
 
 
-def _literal(encoded: str) -> str:
-    """A partition value of SHOW PARTITIONS as a SQL literal."""
-    if encoded == "__HIVE_DEFAULT_PARTITION__":
-        return "NULL"
-    return "'" + unquote(encoded).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def is_catalog_name(target: str) -> bool:
     """``db.table`` or ``table``, not a path."""
     return "/" not in target and "\\" not in target
@@ -80,24 +75,9 @@ def is_catalog_name(target: str) -> bool:
 
 def replace_table_partition(df: DataFrame, name: str, owned: tuple[str, object], partition_cols: Sequence[str] = (), *,
                             fmt: str = "parquet") -> None:
-    """``replace_partition`` for a catalog table, which the first run creates.
-
-    The partitions owned are dropped from the catalog with their files, then the rows
-    are inserted; the catalog knows every partition, so reads list only those they need.
-    """
-    spark = df.sparkSession
-    column, value = owned
-    rows = df.withColumn(column, F.lit(value))
-    if not spark.catalog.tableExists(name):
-        rows.write.format(fmt).partitionBy(column, *partition_cols).saveAsTable(name)
-        return
-    # a partial specification drops nothing in some catalogs, so each inner partition is named
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        spec = dict(part.split("=", 1) for part in row[0].split("/"))
-        if unquote(spec[column]) == str(value):
-            parts = ", ".join(f"{c} = {_literal(v)}" for c, v in spec.items())
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({parts})")
-    rows.select(*spark.table(name).columns).write.insertInto(name)
+    """``replace_partition`` for a catalog table, which the first run creates: committed by location,
+    so a run that fails leaves the partitions it owns as they were."""
+    commit_partitions(df, name, [owned[0], *partition_cols], owned=owned, fmt=fmt)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet") -> DataFrame:

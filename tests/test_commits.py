@@ -1,0 +1,129 @@
+"""Commits by location: what a reader sees when runs fail, repeat, shrink or read their own table."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from daybook.functions.presets import fixture_packages
+from daybook.plans import jobs, sales
+from daybook.sources import commits, tables
+from daybook.sources import fixtures as fx
+
+D0 = dt.date(2024, 1, 30)
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def name(spark):
+    table = "commit_test"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    yield table
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def frame(spark, *values):
+    return spark.createDataFrame(list(values), "load string, day string, v long")
+
+
+def content(spark, name):
+    return rows(spark.table(name).select("load", "day", "v"))
+
+
+def test_runs_add_replace_and_drop_partitions(spark, name):
+    commits.commit_partitions(frame(spark, ("a", "1", 1), ("a", "2", 2)), name, ["load", "day"], owned=("load", "a"))
+    commits.commit_partitions(frame(spark, ("b", "1", 3)), name, ["load", "day"], owned=("load", "b"))
+    got = commits.commit_partitions(frame(spark, ("a", "2", 5), ("a", "3", 6)), name, ["load", "day"], owned=("load", "a"))
+    assert sorted(v["day"] for v in got) == ["2", "3"]
+    assert content(spark, name) == [("a", "2", 5), ("a", "3", 6), ("b", "1", 3)]
+    commits.commit_partitions(frame(spark), name, ["load", "day"], owned=("load", "a"))
+    assert content(spark, name) == [("b", "1", 3)]
+    pruned = spark.table(name).where("load = 'b'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load" in pruned
+
+
+def test_a_run_that_dies_while_writing_changes_nothing(spark, name):
+    commits.commit_partitions(frame(spark, ("a", "1", 1), ("a", "2", 2)), name, ["load", "day"], owned=("load", "a"))
+    before, folders = content(spark, name), commits.live_folders(spark, name)
+    dies = (spark.range(4000).repartition(8).select(
+        F.lit("a").alias("load"), F.lit("1").alias("day"),
+        F.when(F.col("id") == 3999, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("v")))
+    with pytest.raises(PySparkException):
+        commits.commit_partitions(dies, name, ["load", "day"], owned=("load", "a"))
+    assert content(spark, name) == before and commits.live_folders(spark, name) == folders
+    commits.commit_partitions(frame(spark, ("a", "1", 9)), name, ["load", "day"], owned=("load", "a"))
+    assert content(spark, name) == [("a", "1", 9)]
+
+
+def test_a_run_that_dies_between_two_statements_leaves_whole_partitions(spark, name, monkeypatch):
+    commits.commit_partitions(frame(spark, ("a", "1", 1), ("a", "2", 2)), name, ["load", "day"], owned=("load", "a"))
+    sql, seen = spark.sql, []
+
+    def dying(text, *args, **kw):
+        if "SET LOCATION" in text:
+            seen.append(text)
+            if len(seen) == 2:
+                raise RuntimeError("driver lost")
+        return sql(text, *args, **kw)
+    monkeypatch.setattr(spark, "sql", dying)
+    new = frame(spark, ("a", "1", 11), ("a", "1", 12), ("a", "2", 21), ("a", "2", 22))
+    with pytest.raises(RuntimeError):
+        commits.commit_partitions(new, name, ["load", "day"], owned=("load", "a"))
+    monkeypatch.undo()
+    spark.catalog.refreshTable(name)
+    by_day = {day: {v for _, d, v in content(spark, name) if d == day} for day in "12"}
+    assert by_day["1"] in ({1}, {11, 12}) and by_day["2"] in ({2}, {21, 22}) and by_day != {"1": {1}, "2": {2}}
+    commits.commit_partitions(new, name, ["load", "day"], owned=("load", "a"))
+    assert content(spark, name) == rows(new)
+
+
+def test_a_reader_of_the_former_version_finishes(spark, name):
+    """A query that is under way when the partition is turned reads the rows it began with."""
+    old = spark.range(2000).select(F.lit("a").alias("load"), F.lit("1").alias("day"), "id").withColumnRenamed("id", "v")
+    commits.commit_partitions(old.repartition(20), name, ["load", "day"], owned=("load", "a"))
+    reader = spark.table(name).select("v").toLocalIterator()
+    seen = [next(reader).v]
+    commits.commit_partitions(frame(spark, ("a", "1", -1)), name, ["load", "day"], owned=("load", "a"))
+    assert sorted(seen + [r.v for r in reader]) == list(range(2000))
+    assert rows(spark.table(name).select("v")) == [(-1,)]
+
+
+def test_a_run_may_read_its_own_table(spark, name):
+    commits.commit_partitions(frame(spark, ("a", "1", 1), ("a", "2", 2)), name, ["load", "day"])
+    for _ in range(2):
+        commits.commit_partitions(spark.table(name).withColumn("v", F.col("v") * 10), name, ["load", "day"])
+    assert content(spark, name) == [("a", "1", 100), ("a", "2", 200)]
+
+
+def test_partition_values_with_odd_characters_and_null(spark, name):
+    odd = ["a b", "x/y=z", "50%", "it's", "é:ü"]
+    df = frame(spark, *[("l", o, k) for k, o in enumerate(odd)])
+    for _ in range(2):
+        commits.commit_partitions(df, name, ["load", "day"], owned=("load", "l"))
+        assert content(spark, name) == rows(df)
+    with pytest.raises(ValueError, match="NULL"):
+        commits.commit_partitions(frame(spark, ("l", None, 1)), name, ["load", "day"])
+    assert content(spark, name) == rows(df)
+
+
+def test_stored_facts_and_reports_survive_a_failed_rerun(spark, name):
+    """The sinks of R4 and of reports: a rerun that fails leaves the stored day."""
+    fact = sales.daily_order_fact(fx.sales_orders(spark, SMALL, [D0]), D0, preset=fixture_packages())
+    tables.store_daily_fact(fact, name, D0)
+    want = rows(tables.read_daily_fact(spark, name).select(*fact.columns))
+    assert want == rows(fact)
+    broken = fact.withColumn("sellCount", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(PySparkException):
+        tables.store_daily_fact(broken, name, D0)
+    assert rows(tables.read_daily_fact(spark, name).select(*fact.columns)) == want
+    report = "commit_report"
+    try:
+        one = spark.createDataFrame([(20240130, "a", 1)], "date int, k string, v long")
+        jobs.publish_report(spark, one, report, report_day=D0)
+        with pytest.raises(PySparkException):
+            jobs.publish_report(spark, one.withColumn("v", F.raise_error(F.lit("lost")).cast("long")), report, report_day=D0)
+        assert rows(tables.read_report(spark, report, one.columns)) == rows(one)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {report}")
