@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.dates import report_days
+from ..functions.dates import DAY, iso, report_days
 from ..functions.presets import fixture_fact_packages, fixture_packages
+from ..operators.firststate import state_rows
+from ..session import cut
 from ..sources import fixtures as fx
-from . import exposure, heatmap, members, sales
+from . import exposure, heatmap, members, memberstate, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +107,31 @@ def new_members_report_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _members_report(spark, sf_dir, members.BY_ACCOUNT)
 
 
+# ------------------------------------------- membership from a state (V1)
+def _member_state(spark: SparkSession, sf_dir: str, keys) -> DataFrame:
+    """The state of the day before yesterday, then brought to the report day by two daily merges."""
+    rows = memberstate.member_rows(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir, fx.MEMBERS_DAY),
+                                   fx.accounts(spark, sf_dir), until=fx.MEMBERS_DAY, preset=fixture_packages())
+    d2, d1, d0 = (iso(fx.MEMBERS_DAY - n * DAY) for n in (2, 1, 0))
+    rows = cut(rows.where(F.col("visible_day") <= d0))
+    state = cut(state_rows(rows.where(F.col("visible_day") <= d2), keys, "order_day", memberstate.CARRY))
+    for day in (d1, d0):
+        state = memberstate.applied(state, memberstate.merged_state(state, rows.where(F.col("visible_day") == day), keys))
+    return state
+
+
+def member_first_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _member_state(spark, sf_dir, members.BY_CHANNEL)
+
+
+def new_members_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memberstate.state_report(_member_state(spark, sf_dir, members.BY_CHANNEL), fx.MEMBERS_DAY)
+
+
+def new_members_incremental_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memberstate.state_report(_member_state(spark, sf_dir, members.BY_ACCOUNT), fx.MEMBERS_DAY)
+
+
 # ------------------------------------------------------------ heat map (V4)
 def _clicks(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     return heatmap.click_rows(fx.launcher_logs(spark, sf_dir, days))
@@ -147,6 +175,9 @@ QUERIES: dict[str, Query] = {
     "new_members_cube": new_members_cube,
     "new_members_report": new_members_report,
     "new_members_report_v2": new_members_report_v2,
+    "member_first_state": member_first_state,
+    "new_members_incremental": new_members_incremental,
+    "new_members_incremental_v2": new_members_incremental_v2,
     "daily_order_fact": daily_order_fact,
     "daily_sales_cube": daily_sales_cube,
     "daily_sales_report": daily_sales_report,

@@ -374,6 +374,14 @@ def new_members_report(keys: str) -> str:
                           {"totalUserCount": ("totalUserCount", "userCount")}))
 
 
+def member_first_state() -> str:
+    """Every key's first day over the whole pull, with that day's label combinations."""
+    return f"""WITH {member_views(MEMBERS_DAY)},
+tagged AS (SELECT *, min(order_addtime) OVER (PARTITION BY {BY_CHANNEL}) AS first_day FROM labeled)
+SELECT DISTINCT account_name, order_type, channelName, packageName, strftime(first_day, '%Y-%m-%d') AS first_day
+FROM tagged WHERE order_addtime = first_day"""
+
+
 # ---------------------------------------------------------------- heat map (V4)
 CLICKS = f"""{EV},
 clicks AS (
@@ -465,6 +473,9 @@ def all_sql() -> dict[str, str]:
         "new_members_cube": new_members_cube(),
         "new_members_report": new_members_report(BY_CHANNEL),
         "new_members_report_v2": new_members_report(BY_ACCOUNT),
+        "member_first_state": member_first_state(),
+        "new_members_incremental": new_members_report(BY_CHANNEL),
+        "new_members_incremental_v2": new_members_report(BY_ACCOUNT),
         "daily_order_fact": daily_order_fact(),
         "daily_sales_cube": daily_sales_cube(),
         "daily_sales_report": daily_sales_report(),
