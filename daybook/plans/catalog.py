@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DAY, iso, report_days
 from ..functions.presets import fixture_fact_packages, fixture_packages
+from ..operators.distinct import empty_codes, new_codes
 from ..operators.firststate import state_rows
 from ..session import cut
 from ..sources import fixtures as fx
-from . import exposure, heatmap, members, memberstate, sales
+from . import audience, exposure, heatmap, members, memberstate, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,27 @@ def page_exposure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exposure.page_exposure_report(stays, fx.EVENTS_DAY)
 
 
+# ------------------------------------------------- stored audiences (V3)
+def _audience(spark: SparkSession, sf_dir: str, days) -> DataFrame:
+    """The audiences of the days, as a load would store them, with a dictionary of their users."""
+    stays = exposure.page_stay_rows(fx.launcher_logs(spark, sf_dir, days)).where(F.col("dt").isin([iso(d) for d in days]))
+    codes = cut(new_codes(stays, audience.USER, empty_codes(stays, audience.USER)))
+    return cut(audience.audience_rows(stays, codes))
+
+
+def page_audience_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audience.exposure_cube(_audience(spark, sf_dir, _event_days()), _event_days())
+
+
+def page_audience_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audience.exposure_report(_audience(spark, sf_dir, _event_days()), fx.EVENTS_DAY)
+
+
+def weekly_exposure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = [fx.EVENTS_DAY - n * DAY for n in range(14)]
+    return audience.weekly_exposure_report(_audience(spark, sf_dir, days), fx.EVENTS_DAY)
+
+
 # ---------------------------------------------------------------- sales (V2)
 def daily_order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.sales_orders(spark, sf_dir, [fx.EVENTS_DAY])
@@ -185,4 +207,7 @@ QUERIES: dict[str, Query] = {
     "page_stay_flatten": page_stay_flatten,
     "page_exposure_cube": page_exposure_cube,
     "page_exposure_report": page_exposure_report,
+    "page_audience_cube": page_audience_cube,
+    "page_audience_report": page_audience_report,
+    "weekly_exposure_report": weekly_exposure_report,
 }

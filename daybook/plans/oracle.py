@@ -210,6 +210,26 @@ def page_exposure_report() -> str:
                           EXPOSURE_METRICS))
 
 
+def weekly_exposure_report() -> str:
+    """Two weeks of raw stays, each user counted once a week, joined."""
+    d0 = EVENTS_DAY
+    ends = [d0, d0 - dt.timedelta(days=7)]
+    cubes = [f"""SELECT {qs(end)} AS period, site, title, CAST(GROUPING(site, title) AS BIGINT) AS id_1,
+         COUNT(custom_uuid) AS playNum, {r2('SUM(secs) / 3600')} AS playTime, COUNT(DISTINCT custom_uuid) AS users,
+         {r2('COUNT(custom_uuid) / NULLIF(COUNT(DISTINCT custom_uuid), 0)')} AS avgPlayNum,
+         {r2('SUM(secs) / NULLIF(COUNT(DISTINCT custom_uuid), 0) / 60')} AS avgPlayTime
+  FROM stay WHERE date BETWEEN {qd(end - dt.timedelta(days=6))} AND {qd(end)} AND exit >= enter AND secs <= {MAX_STAY_SECONDS}
+  GROUP BY CUBE(site, title)""" for end in ends]
+    changes = ", ".join(
+        f"""t0.{m} AS {total}, {java_double(pct_value(f't0.{m}', f't7.{m}'))} || '%' AS {prefix}CompareWeek"""
+        for m, (total, prefix) in EXPOSURE_METRICS.items())
+    return f"""WITH {STAY},
+weeks AS ({" UNION ALL ".join(cubes)}),
+t0 AS (SELECT * FROM weeks WHERE period = {qs(ends[0])}), t7 AS (SELECT * FROM weeks WHERE period = {qs(ends[1])})
+SELECT {date_key(d0)} AS date, t0.site AS channelName, t0.title AS typeName, t0.id_1 AS id_1, {changes}
+FROM t0 LEFT JOIN t7 ON {nsafe('t0', 't7', ['site', 'title', 'id_1'])}"""
+
+
 # ------------------------------------------------------------------- sales (V2)
 def r0_bigint(x: str) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,24)), 0) AS BIGINT)"
@@ -483,4 +503,7 @@ def all_sql() -> dict[str, str]:
         "page_stay_flatten": page_stay_flatten(),
         "page_exposure_cube": page_exposure_cube(),
         "page_exposure_report": page_exposure_report(),
+        "page_audience_cube": page_exposure_cube(),
+        "page_audience_report": page_exposure_report(),
+        "weekly_exposure_report": weekly_exposure_report(),
     }
