@@ -17,9 +17,9 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from .plans import jobs, members, sales
+from .plans import audience, jobs, launcher, members, memberstate, sales
 from .sources import jdbc
 
 
@@ -38,12 +38,18 @@ def _properties(path: str | None) -> dict[str, str]:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m daybook", description=__doc__.split("\n\n")[0])
-    p.add_argument("job", choices=["ingest-page-stay", "page-exposure", "heatmap", "daily-sales",
-                                   "daily-fact", "monthly-sales", "new-members"])
+    p.add_argument("job", choices=["ingest-page-stay", "ingest-logs", "page-exposure", "weekly-exposure", "heatmap",
+                                   "update-audience", "daily-sales", "daily-fact", "monthly-sales", "update-members",
+                                   "new-members"])
     p.add_argument("--date", required=True, help="report date (yyyy-MM-dd)")
     p.add_argument("--tz", default="UTC", help="zone of the report days")
     p.add_argument("--logs", help="root of the launcher log day folders")
-    p.add_argument("--page-stay", help="page-stay table path")
+    p.add_argument("--page-stay", help="page-stay table path or name")
+    p.add_argument("--clicks", help="catalog table of clicks (ingest-logs writes it, heatmap reads it instead of logs)")
+    p.add_argument("--runs", help="shared folder for the files of ingest-logs")
+    p.add_argument("--audience", help="catalog table of stored audiences (update-audience writes it, the exposure reports read it)")
+    p.add_argument("--state", help="catalog table of the first-seen state (update-members writes it, new-members reads it)")
+    p.add_argument("--order-days", default="", help="update-members: further order days to read, yyyy-MM-dd,yyyy-MM-dd")
     p.add_argument("--orders"), p.add_argument("--rights"), p.add_argument("--accounts")
     p.add_argument("--fact", help="daily order fact table path")
     p.add_argument("--by", choices=["channel", "account"], default="channel", help="new-member cohort key")
@@ -90,19 +96,43 @@ def read_input(args: argparse.Namespace, spark: SparkSession, name: str) -> Data
     return spark.read.format(args.input_format).load(source)
 
 
+def _say(counts: dict) -> None:
+    print(" ".join(f"{k}={v}" for k, v in counts.items()), file=sys.stderr)
+
+
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
     read = lambda name: read_input(args, spark, name)
     if args.job == "ingest-page-stay":
         counts = jobs.ingest_page_stay(spark, args.logs, args.page_stay, args.date, tz=args.tz)
-        print(" ".join(f"{k}={v}" for k, v in counts.items()), file=sys.stderr)
+        _say(counts)
+        return
+    keys = members.BY_ACCOUNT if args.by == "account" else members.BY_CHANNEL
+    if args.job == "ingest-logs":
+        _say(launcher.ingest_logs(spark, args.logs, args.page_stay, args.clicks, args.runs, args.date, tz=args.tz))
+        return
+    if args.job == "update-audience":
+        audience.update_audience(spark, args.page_stay, args.audience, args.date)
+        return
+    if args.job == "update-members":
+        days = memberstate.update_members(spark, read("rights"), read("orders"), read("accounts"), args.state, args.date,
+                                          keys=keys, order_days=[d for d in args.order_days.split(",") if d], tz=args.tz)
+        _say({"changed": ",".join(days)})
         return
-    day = args.date
-    if args.job == "page-exposure":
+    day, watch = args.date, None
+    if args.job == "page-exposure" and args.audience:
+        report = audience.exposure_report(spark.table(args.audience), args.date)
+    elif args.job == "weekly-exposure":
+        report = audience.weekly_exposure_report(spark.table(args.audience), args.date)
+    elif args.job == "page-exposure":
         report = jobs.page_exposure_job(spark, args.logs, args.page_stay, args.date, tz=args.tz)
     elif args.job == "heatmap":
         extra = {"min_count": args.min_count} if args.min_count is not None else {}
-        report = jobs.heatmap_job(spark, args.logs, args.date, title_min_count=args.title_min_count,
-                                  missing_category=args.missing_category, **extra)
+        extra |= {"title_min_count": args.title_min_count, "missing_category": args.missing_category}
+        if args.clicks:
+            report = launcher.stored_heatmap(spark, args.clicks, args.date, **extra)
+        else:
+            watch = Observation("records")
+            report = jobs.heatmap_job(spark, args.logs, args.date, watch=watch, **extra)
     elif args.job == "daily-sales":
         report = sales.daily_sales_report(read("orders"), args.date, tz=args.tz)
     elif args.job == "daily-fact":
@@ -110,12 +140,15 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
     elif args.job == "monthly-sales":
         report = jobs.monthly_sales_job(spark, read("orders"), args.fact, args.date, tz=args.tz)
         day = None
+    elif args.state:
+        report = memberstate.state_report(spark.table(args.state), args.date)
     else:
-        keys = members.BY_ACCOUNT if args.by == "account" else members.BY_CHANNEL
         report = members.new_members_report(read("rights"), read("orders"), read("accounts"),
                                             args.date, keys=keys, tz=args.tz)
     jobs.publish_report(spark, report, args.out, report_day=day, jdbc_url=args.jdbc_url, jdbc_table=args.jdbc_table,
                         jdbc_properties=_properties(args.jdbc_properties), jdbc_mode=args.jdbc_mode)
+    if watch is not None:
+        _say(watch.get)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -17,7 +17,7 @@ from ..operators.distinct import empty_codes, new_codes
 from ..operators.firststate import state_rows
 from ..session import cut
 from ..sources import fixtures as fx
-from . import audience, exposure, heatmap, members, memberstate, sales
+from . import audience, exposure, heatmap, launcher, members, memberstate, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,6 +154,11 @@ def new_members_incremental_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memberstate.state_report(_member_state(spark, sf_dir, members.BY_ACCOUNT), fx.MEMBERS_DAY)
 
 
+# ------------------------------------------------- both launcher arrays (V3/V4)
+def launcher_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return launcher.launcher_items(fx.launcher_logs(spark, sf_dir))
+
+
 # ------------------------------------------------------------ heat map (V4)
 def _clicks(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     return heatmap.click_rows(fx.launcher_logs(spark, sf_dir, days))
@@ -185,6 +190,7 @@ def click_heatmap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "launcher_items": launcher_items,
     "click_flatten": click_flatten,
     "click_grouping_sets": click_grouping_sets,
     "top_titles": top_titles,

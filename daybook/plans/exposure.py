@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import BASELINES, epoch_count, iso, report_days, wall_clock
@@ -26,17 +26,32 @@ EXPOSURE_METRICS = {
 }
 
 
-def page_stay_rows(logs: DataFrame, tz: str = "UTC") -> DataFrame:
+def unreadable(column: str, unit: str = "SECOND") -> Column:
+    """Rows whose epoch field holds something that is no epoch."""
+    return F.count_if(F.col(column).isNotNull() & epoch_count(column, unit).isNull())
+
+
+def watch_records(logs: DataFrame, watch: Observation, corrupt_column: str) -> DataFrame:
+    """Count records, malformed lines and unreadable record times while the logs pass by (no scan of their own)."""
+    return logs.observe(watch, F.count(F.lit(1)).alias("records"),
+                        F.count_if(F.col(corrupt_column).isNotNull()).alias("malformed"),
+                        unreadable("rectime", "MILLISECOND").alias("bad_rectime"))
+
+
+def page_stay_rows(logs: DataFrame, tz: str = "UTC", watch: Observation | None = None) -> DataFrame:
     """Flatten ``data.launcher_page_stay`` into the stored page-stay rows.
 
     ``date``/``dt`` come from each record's ``rectime`` (so a late record lands
     on its own day), ``enter``/``exit`` become local wall-clock timestamps, the
     site code becomes a channel. Items without ``time`` are dropped. Epoch fields may
-    be numbers or text; one that can't be read is NULL (counted by
-    ``unreadable_fields``). ``staySeconds`` is the difference of the two instants.
+    be numbers or text; one that can't be read is NULL, and counted by ``watch``.
+    ``staySeconds`` is the difference of the two instants.
     """
     flat = flatten_events(logs, "data.launcher_page_stay", ["enter", "exit", "title"],
                           keep=RECORD_FIELDS, not_null=["time"])
+    if watch is not None:
+        flat = flat.observe(watch, F.count(F.lit(1)).alias("items"), unreadable("enter").alias("bad_enter"),
+                            unreadable("exit").alias("bad_exit"))
     day = F.to_date(wall_clock(epoch_count("rectime", "MILLISECOND"), "MILLISECOND", tz))
     flat = flat.withColumns({"enter": epoch_count("enter"), "exit": epoch_count("exit")})
     return flat.select(
@@ -51,17 +66,6 @@ def page_stay_rows(logs: DataFrame, tz: str = "UTC") -> DataFrame:
     )
 
 
-def unreadable_fields(logs: DataFrame, corrupt_column: str | None = None) -> DataFrame:
-    """One row of counts: records, malformed lines, and epoch fields that hold something unreadable."""
-    bad = lambda c, unit: F.count_if(F.col(c).isNotNull() & epoch_count(c, unit).isNull())
-    malformed = F.count_if(F.col(corrupt_column).isNotNull()) if corrupt_column else F.lit(0).cast("bigint")
-    records = logs.agg(F.count("*").alias("records"), malformed.alias("malformed"),
-                       bad("rectime", "MILLISECOND").alias("bad_rectime"))
-    items = flatten_events(logs, "data.launcher_page_stay", ["enter", "exit"], not_null=["time"])
-    return records.crossJoin(items.agg(F.count("*").alias("items"), bad("enter", "SECOND").alias("bad_enter"),
-                                       bad("exit", "SECOND").alias("bad_exit")))
-
-
 def exposure_cube(page_stay: DataFrame, days: Iterable, max_stay: int = MAX_STAY_SECONDS) -> DataFrame:
     """``GROUP BY dt, CUBE(site, title)`` over valid stays of ``days`` (A5).
 

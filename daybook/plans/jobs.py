@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import BASELINES, as_day, date_key, report_days
@@ -25,12 +25,14 @@ def ingest_page_stay(spark: SparkSession, log_root: str, table_path: str, load_d
     """Flatten one day folder of launcher logs into the page-stay table.
 
     Fails with ``MissingInputError`` when the folder has no log file. Rerunning
-    the same ``load_day`` replaces that load whole. Returns the counts of
-    ``exposure.unreadable_fields``: records, malformed lines and unreadable epochs.
+    the same ``load_day`` replaces that load whole. The folder is read once: records,
+    malformed lines and unreadable epochs are counted by the write and returned.
     """
+    records, items = Observation("records"), Observation("items")
     logs = log_source.read_logs(spark, log_root, [load_day], corrupt_column="_malformed")
-    tables.store_page_stay(exposure.page_stay_rows(logs, tz=tz), table_path, load_day, fmt=fmt)
-    return exposure.unreadable_fields(logs, "_malformed").first().asDict()
+    rows = exposure.page_stay_rows(exposure.watch_records(logs, records, "_malformed"), tz=tz, watch=items)
+    tables.store_page_stay(rows, table_path, load_day, fmt=fmt)
+    return {**records.get, **items.get}
 
 
 def page_exposure_job(spark: SparkSession, log_root: str, table_path: str, report_day, *,
@@ -46,15 +48,21 @@ def page_exposure_job(spark: SparkSession, log_root: str, table_path: str, repor
 
 def heatmap_job(spark: SparkSession, log_root: str, report_day, *, min_count: int = MIN_GROUP_COUNT,
                 title_min_count: int | None = None, missing_category: str | None = None,
-                baselines: Mapping[str, int] = BASELINES) -> DataFrame:
+                baselines: Mapping[str, int] = BASELINES, watch: Observation | None = None) -> DataFrame:
     """R8 from the log folders of the report and baseline days (every folder checked
     first; a row's day is its folder's day). A click without a category stays NULL;
-    ``missing_category`` labels it instead, for logs that lack the field."""
+    ``missing_category`` labels it instead, for logs that lack the field.
+
+    ``watch`` counts records, malformed lines and unreadable record times of all folders while the
+    report is made; the report then takes the form that reads every log once. A site that
+    reports daily loads clicks with ``launcher.ingest_logs`` instead and never reads a log again."""
     days = report_days(report_day, baselines)
-    logs = log_source.read_logs(spark, log_root, days.values())
+    logs = log_source.read_logs(spark, log_root, days.values(), corrupt_column="_malformed" if watch else None)
+    if watch is not None:
+        logs = exposure.watch_records(logs, watch, "_malformed")
     clicks = heatmap.click_rows(logs, day_col="log_day", missing_category=missing_category)
-    return heatmap.click_heatmap_report(clicks, report_day, min_count=min_count,
-                                        title_min_count=title_min_count, baselines=baselines)
+    report = heatmap.click_heatmap_report if watch is None else heatmap.click_heatmap_report_one_pass
+    return report(clicks, report_day, min_count=min_count, title_min_count=title_min_count, baselines=baselines)
 
 
 def monthly_sales_job(spark: SparkSession, orders: DataFrame, fact_path: str, report_day, *,

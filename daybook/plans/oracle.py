@@ -417,6 +417,14 @@ clicks AS (
   WHERE k % 13 <> 0)"""
 
 
+def launcher_items() -> str:
+    stays = """SELECT 'stay' AS kind, custom_uuid, account, date, site, vercode, vername, device_name, enter, exit,
+       CAST(secs AS BIGINT) AS "staySeconds", title, NULL AS category, NULL AS position, NULL AS type, dt FROM stay"""
+    clicks = """SELECT 'click', custom_uuid, NULL, NULL, site, NULL, NULL, NULL, NULL, NULL, NULL, title, category, position, type, dt
+FROM clicks"""
+    return f"WITH {STAY}, {CLICKS.removeprefix(EV).lstrip(',').strip()} {stays} UNION ALL {clicks}"
+
+
 def gsets_cte(d0: dt.date, min_count: int) -> str:
     days = ", ".join(qs(d) for d in days_of(d0))
     return f"""gsets AS (
@@ -481,6 +489,7 @@ def click_heatmap_report() -> str:
 
 def all_sql() -> dict[str, str]:
     return {
+        "launcher_items": launcher_items(),
         "click_flatten": click_flatten(),
         "click_grouping_sets": click_grouping_sets(),
         "top_titles": top_titles(),

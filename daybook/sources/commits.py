@@ -66,10 +66,10 @@ def live_folders(spark: SparkSession, name: str) -> list[str]:
 
 
 def ensure_table(spark: SparkSession, name: str, like: DataFrame, partition_cols: Sequence[str], fmt: str) -> None:
-    """The first run creates the table, empty, with the columns of its rows."""
+    """The first run creates the table, empty, with the columns of its rows (whose plan is not run)."""
     if not spark.catalog.tableExists(name):
-        empty = like.select(*[c for c in like.columns if c not in partition_cols], *partition_cols).limit(0)
-        empty.write.format(fmt).partitionBy(*partition_cols).saveAsTable(name)
+        empty = like.select(*[c for c in like.columns if c not in partition_cols], *partition_cols)
+        spark.createDataFrame([], empty.schema).write.format(fmt).partitionBy(*partition_cols).saveAsTable(name)
 
 
 def write_run(df: DataFrame, folder: str, partition_cols: Sequence[str], *, fmt: str = "parquet",
@@ -93,8 +93,6 @@ def turn_to(spark: SparkSession, name: str, written: Sequence[tuple[dict[str, st
 
     With ``owned`` = (column, value), partitions of that value that the run doesn't have go.
     """
-    if any(v is None for values, _ in written for v in values.values()):
-        raise ValueError("a partition value is NULL")
     key = lambda values: tuple(sorted(values.items()))
     known = {key(values) for values in partitions(spark, name)}
     new = [(values, folder) for values, folder in written if key(values) not in known]
