@@ -19,8 +19,9 @@ import sys
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from .functions.dates import iso
 from .plans import audience, jobs, launcher, members, memberstate, sales
-from .sources import jdbc
+from .sources import jdbc, tables
 
 
 def _properties(path: str | None) -> dict[str, str]:
@@ -39,7 +40,7 @@ def _properties(path: str | None) -> dict[str, str]:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m daybook", description=__doc__.split("\n\n")[0])
     p.add_argument("job", choices=["ingest-page-stay", "ingest-logs", "page-exposure", "weekly-exposure", "heatmap",
-                                   "update-audience", "daily-sales", "daily-fact", "monthly-sales", "update-members",
+                                   "update-audience", "refresh-exposures", "daily-sales", "daily-fact", "monthly-sales", "update-members",
                                    "new-members"])
     p.add_argument("--date", required=True, help="report date (yyyy-MM-dd)")
     p.add_argument("--tz", default="UTC", help="zone of the report days")
@@ -49,7 +50,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--runs", help="shared folder for the files of ingest-logs")
     p.add_argument("--audience", help="catalog table of stored audiences (update-audience writes it, the exposure reports read it)")
     p.add_argument("--state", help="catalog table of the first-seen state (update-members writes it, new-members reads it)")
-    p.add_argument("--order-days", default="", help="update-members: further order days to read, yyyy-MM-dd,yyyy-MM-dd")
+    p.add_argument("--order-days", default="", help="update-members, monthly-sales of catalog tables: further order days "
+                   "to read (late or corrected orders), yyyy-MM-dd,yyyy-MM-dd")
     p.add_argument("--orders"), p.add_argument("--rights"), p.add_argument("--accounts")
     p.add_argument("--fact", help="daily order fact table path")
     p.add_argument("--by", choices=["channel", "account"], default="channel", help="new-member cohort key")
@@ -118,6 +120,13 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
                                           keys=keys, order_days=[d for d in args.order_days.split(",") if d], tz=args.tz)
         _say({"changed": ",".join(days)})
         return
+    if args.job == "refresh-exposures":
+        _say({"built": ",".join(map(iso, audience.refresh_exposures(spark, args.audience, args.out, args.date)))})
+        return
+    if args.job == "monthly-sales" and tables.is_catalog_name(args.fact) and tables.is_catalog_name(args.out):
+        days = [args.date, *(d for d in args.order_days.split(",") if d)]
+        _say({"months": ",".join(jobs.update_monthly_sales(spark, read("orders"), args.fact, args.out, days, tz=args.tz))})
+        return
     day, watch = args.date, None
     if args.job == "page-exposure" and args.audience:
         report = audience.exposure_report(spark.table(args.audience), args.date)

@@ -13,13 +13,13 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import BASELINES, DAY, as_day, iso, report_days
+from ..functions.dates import BASELINES, DAY, as_day, date_key, iso, report_days
 from ..functions.metrics import ratio, round2
 from ..functions.presets import MAX_STAY_SECONDS
 from ..operators.compare import compare_periods
 from ..operators.distinct import CODE, bitmap_rows, empty_codes, merged_counts, new_codes
-from ..sources import tables
-from ..sources.commits import commit_partitions, new_run
+from ..sources import changes, tables
+from ..sources.commits import commit_partitions, new_run, partitions
 from .exposure import EXPOSURE_METRICS
 
 USER = "custom_uuid"
@@ -92,4 +92,29 @@ def update_audience(spark: SparkSession, page_stay: str, name: str, load_day, *,
     run = new_run()
     commit_partitions(new_codes(stays, USER, codes).withColumn("run", F.lit(run)), codes_name, ["run"], run=run)
     rows = audience_rows(stays, spark.table(codes_name).select(USER, CODE))
-    commit_partitions(rows, name, ["load_date", "dt"], owned=("load_date", iso(load_day)))
+    commit_partitions(rows, name, ["load_date", "dt"], owned=("load_date", iso(load_day)), track="dt")
+
+
+def affected_reports(days: Iterable, baselines: Mapping[str, int] = BASELINES) -> list:
+    """The report days that read one of ``days``: the days themselves, and those they are a baseline of."""
+    lags = [0, *baselines.values()]
+    return sorted({as_day(d) + n * DAY for d in days for n in lags})
+
+
+def refresh_exposures(spark: SparkSession, name: str, reports: str, report_day=None, *,
+                      baselines: Mapping[str, int] = BASELINES) -> list:
+    """Build the report of ``report_day`` and rebuild the stored reports that late records have changed.
+
+    ``reports`` is the catalog table of R7 (``date`` partitions). Days of the audience table ``name`` that
+    changed since the last refresh give the affected report days; of those the stored ones are
+    rebuilt, and no other. Returns the report days built.
+    """
+    todo = changes.pending(spark, name, reports)
+    stored = {p["date"] for p in partitions(spark, reports)} if spark.catalog.tableExists(reports) else set()
+    build = {d for d in affected_reports(todo.days, baselines) if str(date_key(d)) in stored}
+    build |= {as_day(report_day)} if report_day is not None else set()
+    for day in sorted(build):
+        report = exposure_report(spark.table(name), day, baselines=baselines)
+        tables.replace_table_partition(report, reports, ("date", date_key(day)))
+    changes.taken_in(spark, name, reports, todo.runs)
+    return sorted(build)

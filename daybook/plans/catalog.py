@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import DAY, iso, report_days
+from ..functions.dates import DAY, date_key, iso, report_days
 from ..functions.presets import fixture_fact_packages, fixture_packages
 from ..operators.distinct import empty_codes, new_codes
 from ..operators.firststate import state_rows
@@ -84,6 +84,15 @@ def monthly_sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.monthly_sales_cube(fact)
 
 
+def monthly_sales_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube of a fact that lacked orders of some days, after those days were corrected and their months refreshed."""
+    fact = sales.daily_order_fact(fx.fact_orders(spark, sf_dir), None, preset=fixture_packages())
+    changed = [fx.MEMBERS_DAY - n * DAY for n in (0, 1, 40)]
+    before = fact.where(~F.col("date").isin([str(date_key(d)) for d in changed]) | (F.col("channelName") == "iqiyi"))
+    stored = cut(sales.monthly_sales_cube(before))
+    return sales.refreshed_cube(stored, fact, {str(date_key(d))[:6] for d in changed})
+
+
 # ----------------------------------------------------------- membership (V1)
 def _pull(spark: SparkSession, sf_dir: str, with_right_days: bool = True, cohort: bool = False) -> DataFrame:
     return members.member_pull(fx.rights(spark, sf_dir), fx.member_orders(spark, sf_dir, fx.MEMBERS_DAY),
@@ -210,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "daily_sales_cube": daily_sales_cube,
     "daily_sales_report": daily_sales_report,
     "monthly_sales_cube": monthly_sales_cube,
+    "monthly_sales_refreshed": monthly_sales_refreshed,
     "page_stay_flatten": page_stay_flatten,
     "page_exposure_cube": page_exposure_cube,
     "page_exposure_report": page_exposure_report,

@@ -7,16 +7,16 @@ date is always a parameter (never the wall clock inside a query).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import BASELINES, as_day, date_key, report_days
 from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
-from ..sources import jdbc
+from ..sources import changes, jdbc, tables
 from ..sources import logs as log_source
-from ..sources import tables
+from ..sources.commits import commit_partitions, drop_partition, partitions
 from . import exposure, heatmap, sales
 
 
@@ -74,6 +74,34 @@ def monthly_sales_job(spark: SparkSession, orders: DataFrame, fact_path: str, re
     return sales.monthly_sales_cube(tables.read_daily_fact(spark, fact_path))
 
 
+def refresh_monthly_sales(spark: SparkSession, fact_name: str, cube_name: str) -> list[str]:
+    """R5 kept up to date: rebuild the months of the fact days that changed since the last refresh.
+
+    Both are catalog tables, the cube partitioned by ``month``. The first refresh builds every month. A
+    month whose last fact row has gone is dropped. Returns the months rebuilt.
+    """
+    first = not spark.catalog.tableExists(cube_name)
+    todo = changes.pending(spark, fact_name, cube_name)
+    fact = tables.read_daily_fact(spark, fact_name)
+    months = sorted({d[:6] for d in todo.days})
+    if first:
+        commit_partitions(sales.monthly_sales_cube(fact), cube_name, ["month"])
+    elif months:
+        written = commit_partitions(sales.cube_of_months(fact, months), cube_name, ["month"])
+        for month in set(months) - {p["month"] for p in written}:
+            drop_partition(spark, cube_name, {"month": month})
+    changes.taken_in(spark, fact_name, cube_name, todo.runs)
+    return sorted(p["month"] for p in partitions(spark, cube_name)) if first else months
+
+
+def update_monthly_sales(spark: SparkSession, orders: DataFrame, fact_name: str, cube_name: str, days: Iterable, *,
+                         preset: LabelPreset = PACKAGES_DAILY_FACT, tz: str = "UTC") -> list[str]:
+    """R4 for each of ``days`` (the report day and days with late or corrected orders), then the refresh of R5."""
+    for day in sorted({as_day(d) for d in days}):
+        tables.store_daily_fact(sales.daily_order_fact(orders, day, preset=preset, tz=tz), fact_name, day)
+    return refresh_monthly_sales(spark, fact_name, cube_name)
+
+
 def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, fmt: str = "parquet",
                    report_day=None, jdbc_url: str | None = None, jdbc_table: str | None = None,
                    jdbc_properties: Mapping[str, str] | None = None, jdbc_mode: str = "overwrite") -> None:

@@ -86,7 +86,7 @@ def ingest_logs(spark: SparkSession, log_root: str, stays: str, clicks: str, run
         like = rows.select(*columns).withColumn("load_date", F.lit(day))
         ensure_table(spark, name, like, ["load_date", "dt"], fmt)
         turn_to(spark, name, [({"load_date": day, "dt": values["dt"]}, folder) for values, folder in written
-                              if values["kind"] == kind], owned=("load_date", day))
+                              if values["kind"] == kind], owned=("load_date", day), track="dt", run=run)
     return {**records.get, **items.get}
 
 

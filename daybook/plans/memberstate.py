@@ -25,7 +25,7 @@ from ..functions.presets import PACKAGES, PAID_STATUS, LabelPreset
 from ..operators.compare import compare_periods
 from ..operators.firststate import FIRST_DAY, StateChange, correct_first_seen, merge_first_seen
 from ..session import cut
-from ..sources.commits import commit_partitions
+from ..sources.commits import commit_partitions, drop_partition
 from .members import BY_CHANNEL, MEMBER_ORDER_TYPES, label_members, new_members_cube
 
 CARRY = ("channelName", "packageName")
@@ -89,7 +89,7 @@ def _store(change: StateChange, name: str) -> None:
     spread = change.rows.repartition(F.col(FIRST_DAY), F.pmod(F.xxhash64("account_name"), F.lit(8)))
     written = commit_partitions(spread, name, [FIRST_DAY])
     for day in set(change.days) - {p[FIRST_DAY] for p in written}:      # every key of the day has moved
-        change.rows.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({FIRST_DAY} = '{day}')")
+        drop_partition(change.rows.sparkSession, name, {FIRST_DAY: day})
 
 
 def update_members(spark: SparkSession, rights: DataFrame, orders: DataFrame, accounts: DataFrame, name: str, day, *,

@@ -509,6 +509,7 @@ def all_sql() -> dict[str, str]:
         "daily_sales_cube": daily_sales_cube(),
         "daily_sales_report": daily_sales_report(),
         "monthly_sales_cube": monthly_sales_cube(),
+        "monthly_sales_refreshed": monthly_sales_cube(),
         "page_stay_flatten": page_stay_flatten(),
         "page_exposure_cube": page_exposure_cube(),
         "page_exposure_report": page_exposure_report(),

@@ -106,3 +106,14 @@ def monthly_sales_cube(fact: DataFrame) -> DataFrame:
     metrics = [F.sum("sellCount").alias("sellCount"),
                cents_to_amount(F.sum("_cents")).alias("moneyCount")]
     return rollup(rows, ["channelName", "vipType", "packageName"], metrics, always=["month"])
+
+
+def cube_of_months(fact: DataFrame, months: Iterable[str]) -> DataFrame:
+    """R5 of some months only; where ``date`` is a partition column, only their partitions are read."""
+    return monthly_sales_cube(fact.where(F.substring("date", 1, 6).isin(sorted(months))))
+
+
+def refreshed_cube(cube: DataFrame, fact: DataFrame, months: Iterable[str]) -> DataFrame:
+    """The month cube after ``months`` of the fact have changed: theirs built anew, the others as they are."""
+    months = sorted(months)
+    return cube.where(~F.col("month").isin(months)).unionByName(cube_of_months(fact, months))

@@ -26,6 +26,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import changes
+
 
 def new_run() -> str:
     """A fresh name for a run's folder; names sort by the time of the run."""
@@ -65,6 +67,10 @@ def live_folders(spark: SparkSession, name: str) -> list[str]:
     return sorted(folders)
 
 
+def drop_partition(spark: SparkSession, name: str, values: dict[str, str | None]) -> None:
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(values)})")
+
+
 def ensure_table(spark: SparkSession, name: str, like: DataFrame, partition_cols: Sequence[str], fmt: str) -> None:
     """The first run creates the table, empty, with the columns of its rows (whose plan is not run)."""
     if not spark.catalog.tableExists(name):
@@ -88,11 +94,17 @@ def write_run(df: DataFrame, folder: str, partition_cols: Sequence[str], *, fmt:
 
 
 def turn_to(spark: SparkSession, name: str, written: Sequence[tuple[dict[str, str | None], str]],
-            owned: tuple[str, object] | None = None) -> None:
+            owned: tuple[str, object] | None = None, *, track: str | None = None, run: str | None = None) -> None:
     """Make the table's partitions name the folders of a finished run.
 
-    With ``owned`` = (column, value), partitions of that value that the run doesn't have go.
+    With ``owned`` = (column, value), partitions of that value that the run doesn't have go. ``track``
+    names a partition column; its values among the partitions that change are noted for derived tables.
     """
+    if track is not None:
+        touched = [values[track] for values, _ in written]
+        touched += [values[track] for values in partitions(spark, name, owned)] if owned is not None else []
+        run = run or new_run()
+        changes.note(spark, name, run, touched, changes.BEGUN)
     key = lambda values: tuple(sorted(values.items()))
     known = {key(values) for values in partitions(spark, name)}
     new = [(values, folder) for values, folder in written if key(values) not in known]
@@ -106,26 +118,28 @@ def turn_to(spark: SparkSession, name: str, written: Sequence[tuple[dict[str, st
         mine = {key(values) for values, _ in written}
         for values in partitions(spark, name, owned):
             if key(values) not in mine:
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(values)})")
+                drop_partition(spark, name, values)
     spark.catalog.refreshTable(name)
+    if track is not None:
+        changes.note(spark, name, run, touched, changes.ENDED)
 
 
 def commit_partitions(df: DataFrame, name: str, partition_cols: Sequence[str], *,
                       owned: tuple[str, object] | None = None, fmt: str = "parquet", run: str | None = None,
-                      max_records_per_file: int | None = None) -> list[dict[str, str | None]]:
+                      track: str | None = None, max_records_per_file: int | None = None) -> list[dict[str, str | None]]:
     """Replace the partitions of a catalog table that ``df`` has rows of, and return them.
 
     With ``owned`` the run owns every partition of that (column, value), also those it has no
     rows of. ``df`` may read the table itself: its partitions stay what they are until
-    the run has been written. The first run creates the table.
+    the run has been written. The first run creates the table. ``track``: see ``sources.changes``.
     """
-    spark = df.sparkSession
+    spark, run = df.sparkSession, run or new_run()
     if owned is not None:
         df = df.withColumn(owned[0], F.lit(owned[1]))
     ensure_table(spark, name, df, partition_cols, fmt)
-    folder = f"{table_folder(spark, name).rstrip('/')}/_runs/{run or new_run()}"
+    folder = f"{table_folder(spark, name).rstrip('/')}/_runs/{run}"
     columns = [c for c in spark.table(name).columns if c not in partition_cols]
     written = write_run(df.select(*columns, *partition_cols), folder, partition_cols, fmt=fmt,
                         max_records_per_file=max_records_per_file)
-    turn_to(spark, name, written, owned)
+    turn_to(spark, name, written, owned, track=track, run=run)
     return [values for values, _ in written]

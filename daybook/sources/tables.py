@@ -74,10 +74,10 @@ def is_catalog_name(target: str) -> bool:
 
 
 def replace_table_partition(df: DataFrame, name: str, owned: tuple[str, object], partition_cols: Sequence[str] = (), *,
-                            fmt: str = "parquet") -> None:
+                            fmt: str = "parquet", track: str | None = None) -> None:
     """``replace_partition`` for a catalog table, which the first run creates: committed by location,
-    so a run that fails leaves the partitions it owns as they were."""
-    commit_partitions(df, name, [owned[0], *partition_cols], owned=owned, fmt=fmt)
+    so a run that fails leaves the partitions it owns as they were. ``track``: see ``sources.changes``."""
+    commit_partitions(df, name, [owned[0], *partition_cols], owned=owned, fmt=fmt, track=track)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet") -> DataFrame:
@@ -98,7 +98,7 @@ def store_page_stay(rows: DataFrame, path: str, load_day, *, fmt: str = "orc", m
     ``mode="replace"`` replaces everything an earlier run of the load stored.
     """
     if mode == "replace" and is_catalog_name(path):
-        replace_table_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt)
+        replace_table_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt, track="dt")
     elif mode == "replace":
         replace_partition(rows, path, ("load_date", iso(load_day)), ["dt"], fmt=fmt)
     else:
@@ -118,7 +118,9 @@ def read_page_stay(spark: SparkSession, path: str, days: Iterable | None = None,
 def store_daily_fact(fact: DataFrame, path: str, day=None, *, fmt: str = "parquet", mode: str = "replace") -> None:
     """R4 sink: replaces the partition of ``day``, or without one those present in ``fact`` (a backfill)."""
     if day is not None and mode == "replace" and is_catalog_name(path):
-        replace_table_partition(fact, path, ("date", str(date_key(day))), fmt=fmt)
+        replace_table_partition(fact, path, ("date", str(date_key(day))), fmt=fmt, track="date")
+    elif mode == "replace" and is_catalog_name(path):
+        commit_partitions(fact, path, ["date"], fmt=fmt, track="date")
     elif day is not None and mode == "replace":
         replace_partition(fact, path, ("date", date_key(day)), fmt=fmt)
     else:
