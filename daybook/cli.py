@@ -68,8 +68,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input-jdbc-bounds", default=None, help="LOWER:UPPER of the id column")
     p.add_argument("--out", help="report table path (replaced per date)")
     p.add_argument("--jdbc-url"), p.add_argument("--jdbc-table")
-    p.add_argument("--jdbc-mode", choices=["overwrite", "append"], default="overwrite",
-                   help="rewrite the exported table, or append the report day to it")
+    p.add_argument("--jdbc-mode", choices=["overwrite", "append", "swap"], default="overwrite",
+                   help="rewrite the exported table, append the report day to it, or replace the day "
+                        "(monthly-sales: all rows) from a staging table in one transaction")
     p.add_argument("--jdbc-properties", help="file with user=, password=, driver= lines")
     return p
 

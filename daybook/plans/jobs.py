@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import BASELINES, as_day, date_key, report_days
 from ..functions.presets import MIN_GROUP_COUNT, PACKAGES_DAILY_FACT, LabelPreset
-from ..sources import changes, jdbc, tables
+from ..sources import changes, export, jdbc, tables
 from ..sources import logs as log_source
 from ..sources.commits import commit_partitions, drop_partition, partitions
 from . import exposure, heatmap, sales
@@ -113,8 +113,10 @@ def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, f
     ``jdbc_mode="overwrite"`` rewrites the JDBC table from the whole file table
     (truncate + overwrite), so a rerun never duplicates a day there; a failure in
     between leaves it part filled until the rerun. ``"append"`` adds the rows of this
-    report only, what a scheduler that never reruns an exported day wants. Report
-    tables hold aggregates (groups x days), so the full export stays small.
+    report only, what a scheduler that never reruns an exported day wants. ``"swap"`` loads a
+    staging table and replaces the report day (or the whole table) from it in one transaction, so
+    readers never see a part (``sources.export``). Report tables hold aggregates (groups x
+    days), so the full export stays small.
     """
     if report_day is not None and tables.is_catalog_name(table_path):
         tables.replace_table_partition(report, table_path, ("date", date_key(report_day)), fmt=fmt)
@@ -128,6 +130,9 @@ def publish_report(spark: SparkSession, report: DataFrame, table_path: str, *, f
         if not jdbc_table:
             raise ValueError("jdbc_table is required with jdbc_url")
         stored = tables.read_report(spark, table_path, report.columns, fmt=fmt)
+        if jdbc_mode == "swap":
+            export.staged_export(stored, jdbc_url, jdbc_table, day=report_day, properties=jdbc_properties)
+            return
         if jdbc_mode == "append" and report_day is not None:
             stored = stored.where(F.col("date") == date_key(report_day))
         jdbc.jdbc_sink(stored, jdbc_url, jdbc_table, mode=jdbc_mode, properties=jdbc_properties)

@@ -1,0 +1,102 @@
+"""Staged exports: statements, transactions and what is loaded. No database is started; the connection is a stand-in."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+
+from daybook.plans import jobs
+from daybook.sources import export
+
+D0 = dt.date(2024, 1, 30)
+
+
+class Connection:
+    """Records the calls that reach a java.sql.Connection; ``fails`` raises at that statement."""
+
+    def __init__(self, fails=None):
+        self.calls, self.fails = [], fails
+
+    def setAutoCommit(self, on):
+        self.calls.append(f"autocommit {on}")
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, text):
+        if self.fails and self.fails in text:
+            raise RuntimeError("deadlock")
+        self.calls.append(text)
+
+    def commit(self):
+        self.calls.append("commit")
+
+    def rollback(self):
+        self.calls.append("rollback")
+
+    def close(self):
+        self.calls.append("close")
+
+
+def report(spark):
+    return spark.createDataFrame([(20240130, "a", 1), (20240129, "b", 2)], "date int, k string, v long")
+
+
+def run(spark, connection, **how):
+    loaded = []
+    load = lambda df, url, table, **kw: loaded.append((table, kw["mode"], rows(df)))
+    export.staged_export(report(spark), "jdbc:x://h/db", "bi.daily", load=load,
+                         open_connection=lambda *a: connection, **how)
+    return loaded
+
+
+def test_a_day_is_loaded_and_swapped_in_one_transaction(spark):
+    db = Connection()
+    assert run(spark, db, day=D0) == [("bi.daily_staging", "overwrite", [(20240130, "a", 1)])]
+    assert db.calls == ["autocommit False", "DELETE FROM bi.daily WHERE date = 20240130", "close",
+                        "INSERT INTO bi.daily (date, k, v) SELECT date, k, v FROM bi.daily_staging WHERE date = 20240130", "close",
+                        "commit", "close"]
+
+
+def test_the_whole_table(spark):
+    db = Connection()
+    assert run(spark, db, staging="bi.s") == [("bi.s", "overwrite", rows(report(spark)))]
+    assert db.calls[1] == "DELETE FROM bi.daily" and db.calls[3].endswith("FROM bi.s")
+
+
+@pytest.mark.parametrize("fails", ["DELETE", "INSERT"])
+def test_a_failed_swap_is_rolled_back(spark, fails):
+    db = Connection(fails)
+    with pytest.raises(RuntimeError, match="deadlock"):
+        run(spark, db, day=D0)
+    assert db.calls[-2:] == ["rollback", "close"] and "commit" not in db.calls
+
+
+def test_a_failed_load_opens_no_connection(spark):
+    def load(*args, **kw):
+        raise RuntimeError("lost")
+
+    def connect(*args):
+        raise AssertionError("the report table must not be touched")
+    with pytest.raises(RuntimeError, match="lost"):
+        export.staged_export(report(spark), "jdbc:x://h/db", "daily", load=load, open_connection=connect)
+
+
+@pytest.mark.parametrize("name", ["a b", "a;DROP TABLE x", "a--", "", "1a", "a.b.", "a\n"])
+def test_names_are_checked_before_anything_is_loaded(spark, name):
+    with pytest.raises(ValueError, match="plain"):
+        export.swap_statements(name, "s", ["k"])
+    with pytest.raises(ValueError, match="plain"):
+        export.swap_statements("t", "s", [name])
+    with pytest.raises(ValueError, match="plain"):
+        export.staged_export(report(spark), "jdbc:x://h/db", name or " ", load=lambda *a, **k: pytest.fail("loaded"))
+
+
+def test_publish_report_swaps_the_report_day(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(export, "staged_export", lambda df, url, table, **kw: seen.append((rows(df), table, kw["day"])))
+    one = report(spark).where("date = 20240130")
+    for _ in range(2):
+        jobs.publish_report(spark, one, str(tmp_path / "r"), report_day=D0, jdbc_url="jdbc:x://h/db", jdbc_table="daily",
+                            jdbc_mode="swap")
+    assert seen == [([(20240130, "a", 1)], "daily", D0)] * 2
