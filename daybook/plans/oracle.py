@@ -331,7 +331,7 @@ rgt AS (
          {ems('l_shipdate')} AS right_starttime,
          {ems('l_shipdate')} + CAST(l_quantity AS BIGINT) * {MS_PER_DAY} AS right_limitdate
   FROM lineitem),
-pull AS (
+pull AS MATERIALIZED (
   SELECT DISTINCT a.account_name, o.order_type, o.package_id, r.package_provide,
          CAST(epoch_ms(r.right_starttime) AS DATE) AS right_starttime,
          CAST(epoch_ms(r.right_limitdate) AS DATE) AS right_limittime,
@@ -340,7 +340,7 @@ pull AS (
   JOIN ord o ON r.order_id = o.order_id AND CAST(epoch_ms(o.order_addtime) AS DATE) <= {qd(d0)}
             AND o.order_type IN (1, 2) AND o.order_status = 4
   JOIN acc a ON o.account_id = a.account_id AND CAST(epoch_ms(a.account_addtime) AS DATE) <= {qd(d0)}),
-labeled AS (
+labeled AS MATERIALIZED (
   SELECT account_name, order_type, {CHANNEL_OF_PROVIDER.format(x='package_provide')} AS channelName,
          {package_label('package_id')} AS package,
          CASE WHEN order_type = 1 THEN '{GIFT}' ELSE {package_label('package_id')} END AS packageName,
@@ -357,10 +357,10 @@ def first_seen_cte(d0: dt.date, keys: str) -> str:
   FROM (SELECT *, min(order_addtime) OVER (PARTITION BY {keys}) AS first_day
         FROM labeled WHERE order_addtime <= {qd(d)}) w
   WHERE first_day = {qd(d)}""")
-    return "fs AS (\n  " + "\n  UNION ALL\n  ".join(parts) + ")"
+    return "fs AS MATERIALIZED (\n  " + "\n  UNION ALL\n  ".join(parts) + ")"
 
 
-MEMBER_CUBE = """members_cube AS (
+MEMBER_CUBE = """members_cube AS MATERIALIZED (
   SELECT registtime, channelName, packageName,
          CAST(GROUPING(registtime, channelName, packageName) AS BIGINT) AS id_1,
          COUNT(DISTINCT account_name) AS totalUserCount
