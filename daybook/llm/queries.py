@@ -56,8 +56,10 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest columns, and the remaining text (a character that a removed span cuts shows as U+FFFD)."""
     out = bwtdedup.without_repeats(documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
