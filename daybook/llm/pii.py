@@ -5,9 +5,12 @@ security and telephone numbers, network addresses, access keys and passwords, an
 names behind a title. A *canonical entity* (an address in lower case, a number
 without its separators, one given or family name) gets a surrogate from a keyed
 hash: letters become letters of the same script and case, digits digits, other
-characters and the top-level domain stay; network addresses stay valid; given
-names get the ending of the title's gender. Every mention is written in its own
-format, so mentions of one entity agree in every format and document.
+characters, the top-level domain and an account's country stay; card and account
+numbers whose check digits are right get surrogates whose check digits are right;
+network addresses stay valid; given names get the ending of the title's gender. Every
+mention is written in its own format, so mentions of one entity agree in every format
+and document. A name that stands behind a title is replaced wherever its words
+stand again, in the same case, in the same text.
 
 Distinctness: surrogates of the distinct entities of a kind are grouped; where two
 entities share one, or a surrogate is itself a real entity, all but the smallest
@@ -21,6 +24,9 @@ Texts are searched once; the distinct mentions are shuffled for the surrogates,
 texts once for the join with their replacements, by a hash of the text and a salt,
 so copies and frequent entities are spread.
 
+Time is linear in a text, whatever its tokens: no pattern matches by recursion or
+backtracks over more than a bounded length.
+
 Edge cases: null text stays null, empty text empty, both with no entities. Null ids
 and repeated rows are each rewritten. Texts without any mention are returned as
 they are. An empty table gives an empty result. Only id and text are read.
@@ -35,7 +41,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import cut, id_and_text
 
-KEY = "daybook"            # the default key; a deployment passes its own
+KEY = "daybook"            # the key of tests; a deployment sets its own, see queries.PII_KEY
 SAME_LENGTH = 8            # attempts in the entity's own length
 SALTS = 16
 
@@ -50,9 +56,12 @@ RANGES = {"cyrillic": r"[\x{400}-\x{4FF}]", "greek": r"[\x{370}-\x{3FF}]"}
 
 _titles = "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True))
 _NAME = rf"(?<!\p{{L}})(?:{_titles})\.? \p{{Lu}}\p{{L}}++(?: \p{{Lu}}\p{{L}}++)?"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: What is detected, in order of precedence at one place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+    # possessive throughout: Java matches such a group in a loop, any other one by recursion, a frame per label
+    "email": (r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++"
+              r"(?<=\.[A-Za-z][A-Za-z0-9\-]{1,62})"),
     "secret": (r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
                r"|(?<=(?i:password|passwd|secret|api_key|apikey|token)[=:]{1,2})[^\s\x22'=:]{6,}+"
                r"|(?<=(?i:password|passwd|secret|api_key|apikey|token) ?[=:] ?[\x22'])[^\s\x22']{6,}+"),
@@ -61,7 +70,7 @@ PATTERNS = {
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "phone": (r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,4}(?![0-9])"
               r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])"),
-    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
+    "ip": (rf"(?<!(?i:version|ver|ver\.|release|build) )(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z])(?!\.[0-9])"),
     "name": _NAME,
 }
 DETECT = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -133,21 +142,63 @@ def _pronounceable(stream: Column, script: str, more: Column, attempt: Column, e
     return F.concat(F.upper(letters[0]), *letters[1:], _longer(more, attempt, syllable), F.lit(ending))
 
 
+def _digits(text: Column) -> Column:
+    return F.transform(_chars(text), lambda c: c.cast("int"))
+
+
+def luhn(digits: Column) -> Column:
+    """The check sum of a card number, modulo 10: 0 where its last digit is right."""
+    n = F.length(digits)
+    return F.aggregate(F.transform(_digits(digits), lambda d, i: F.when(F.pmod(n - i, F.lit(2)) == 1, d).otherwise(
+        F.when(d > 4, 2 * d - 9).otherwise(2 * d))), F.lit(0), lambda acc, d: acc + d) % 10
+
+
+def iban_rest(account: Column) -> Column:
+    """The remainder modulo 97 of an account number in its check order: 1 where its check digits are right."""
+    turned = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+    value = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.transform(_chars(turned), value), F.lit(0),
+                       lambda acc, v: (acc * F.when(v > 9, 100).otherwise(10) + v) % 97)
+
+
+def _checked(kind: Column, canon: Column, made: Column) -> Column:
+    """``made`` with the check digits of its kind where those of the real number are right."""
+    body = F.substring(made, F.lit(1), F.length(made) - 1)
+    card = F.concat(body, F.pmod(10 - luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
+    unchecked = F.concat(F.substring(made, 1, 2), F.lit("00"), F.substring(made, F.lit(5), F.length(made)))
+    account = F.concat(F.substring(made, 1, 2), F.lpad((98 - iban_rest(unchecked)).cast("string"), 2, "0"),
+                       F.substring(made, F.lit(5), F.length(made)))
+    return (F.when((kind == "card") & canon.rlike("^[0-9]+$") & (luhn(canon) == 0), card)
+            .when((kind == "iban") & canon.rlike("^[A-Z]{2}[0-9]{2}") & (iban_rest(canon) == 1), account).otherwise(made))
+
+
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    """The surrogate of a canonical entity at an attempt."""
-    stream, more = _stream(key, kind, canon, attempt), _stream(key, kind, canon, attempt, 2)
+    """The surrogate of a canonical entity at an attempt; linear in its length."""
     domain = F.length(canon) - F.length(F.substring_index(canon, ".", -1))
     drawable = F.when(kind == "email", F.substring(canon, F.lit(1), domain)).otherwise(canon).rlike(r"[0-9\p{L}]")
-    drawn = lambda c, n: F.when(drawable | ((kind == "email") & c.isin("@", ".")), _redrawn(c, n)).otherwise(
+    # what every character needs is bound once, as the one element of an array: a lambda would work it out each time
+    bound = F.array(F.struct(
+        _stream(key, kind, canon, attempt).alias("stream"), _stream(key, kind, canon, attempt, 2).alias("more"),
+        domain.alias("domain"), drawable.alias("drawable"), kind.alias("kind"), attempt.alias("attempt"), canon.alias("canon")))
+    return F.transform(bound, _made)[0]
+
+
+def _made(s: Column) -> Column:
+    kind, attempt, stream, more = s["kind"], s["attempt"], s["stream"], s["more"]
+    drawn = lambda c, n: F.when(s["drawable"] | ((kind == "email") & c.isin("@", ".")), _redrawn(c, n)).otherwise(
         _letter(ALPHABETS["latin"], n))
-    each = lambda fixed: F.array_join(F.transform(_chars(canon), lambda c, i: F.when(
+    each = lambda fixed: F.array_join(F.transform(_chars(s["canon"]), lambda c, i: F.when(
         fixed(i), c).otherwise(drawn(c, _draw(stream, i) + F.floor(i / 31).cast("int") * 7))), "")
     letters = _longer(more, attempt, lambda n: _letter(ALPHABETS["latin"], n))
     digits = _longer(more, attempt, lambda n: F.pmod(n, F.lit(10)).cast("string"))
     six = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(more, 1, 2)), *(F.substring(more, 4 * k + 1, 4) for k in range(1, 8)))
     octet = lambda k, low, n: (F.pmod(_draw(stream, k), F.lit(n)) + low).cast("string")
-    out = (F.when(kind == "email", F.concat(letters, each(lambda i: i >= domain)))
-           .when(kind.isin(*NUMBERS), F.concat(each(lambda i: i < 1), digits))
+    number = F.concat(each(lambda i: i < F.when(kind == "iban", 2).otherwise(1)), digits)
+    checked = lambda t: _checked(t["kind"], t["canon"], t["made"])
+    out = (F.when(kind == "email", F.concat(letters, each(lambda i: i >= s["domain"])))
+           .when(kind.isin("card", "iban"), F.transform(F.array(F.struct(
+               kind.alias("kind"), s["canon"].alias("canon"), number.alias("made"))), checked)[0])
+           .when(kind.isin(*NUMBERS), number)
            .when((kind == "ip") & (attempt >= SAME_LENGTH), six)
            .when(kind == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))))
     for script, (male, female) in ENDINGS.items():
@@ -196,7 +247,7 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
-    """(raw, surrogate) of distinct mentions, each in its own format."""
+    """(raw, surrogate, words) of distinct mentions, each in its own format; ``words``: (word, new) of a name."""
     parts = cut(entity_parts(mentions))
     known = surrogates(cut(parts.select("part_kind", "canon").distinct()), key)
     joined = (parts.join(known, ["part_kind", "canon"]).groupBy("raw", "kind")
@@ -209,11 +260,23 @@ def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
     # a lengthened number goes on behind its last digit, a lengthened address begins earlier
     number = F.concat(number, F.substring("first", F.length(F.regexp_replace("raw", "[^0-9A-Za-z]", "")) + 1, F.length("first")))
     head = F.length("first") - F.length("raw")
-    mail = F.concat(F.substring("first", F.lit(1), head), F.array_join(F.transform(_chars(F.col("raw")), lambda c, i: F.when(
-        c.rlike("[A-Z]"), F.upper(F.get(own, i + head))).otherwise(F.get(own, i + head))), ""))
-    named = F.concat_ws(" ", F.substring_index("raw", " ", 1), F.col("second"), F.col("first"))
+    rest = _chars(F.substring("first", head + 1, F.length("first")))
+    mail = F.concat(F.substring("first", F.lit(1), head), F.array_join(F.zip_with(
+        _chars(F.col("raw")), rest, lambda c, d: F.when(c.rlike("[A-Z]"), F.upper(d)).otherwise(d)), ""))
+    words, is_name = F.split("raw", " "), F.col("kind") == "name"
+    named = F.concat_ws(" ", words[0], F.col("second"), F.col("first"))
+    pair = lambda word, new: F.struct(word.alias("word"), new.alias("new"))
+    of_name = F.filter(F.array(pair(F.element_at(words, -1), F.col("first")), pair(words[1], F.col("second"))),
+                       lambda p: p["new"].isNotNull())
     return joined.select("raw", F.when(F.col("kind").isin(*NUMBERS), number).when(F.col("kind") == "email", mail)
-                         .when(F.col("kind") == "name", named).otherwise(F.col("first")).alias("surrogate"))
+                         .when(is_name, named).otherwise(F.col("first")).alias("surrogate"),
+                         F.when(is_name, of_name).alias("words"))
+
+
+def _renamed(gap: Column, names: Column) -> Column:
+    """Text between mentions with the bare names of its text replaced: its words, and what lies between them."""
+    return F.transform(F.regexp_extract_all(gap, F.lit(r"\p{L}++|[^\p{L}]++"), F.lit(0)),
+                       lambda w: F.coalesce(F.element_at(names, w), w))
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,16 +286,26 @@ def pseudonymised(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_
     # detected once over all texts; the outer form keeps Spark from testing the array in a filter of its own first
     hits = F.when(F.col("text").rlike(GATE), F.array_distinct(F.regexp_extract_all("text", F.lit(DETECT), F.lit(0))))
     mentions = cut(texts.select("k", "salt", F.explode_outer(hits).alias("raw")).where("raw is not null").distinct())
-    known = replacements(mentions.select("raw").distinct(), key)
+    known = cut(replacements(mentions.select("raw").distinct(), key))
     spread = known.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    table = (mentions.withColumn("turn", F.pmod(F.col("k"), F.lit(SALTS)).cast("int")).join(spread, ["raw", "turn"])
-             .groupBy("k", "salt").agg(F.map_from_entries(F.collect_list(F.struct("raw", "surrogate"))).alias("known")))
-    joined = texts.join(table, ["k", "salt"], "left").select("doc_id", "text", "known", F.when(
+    found = mentions.withColumn("turn", F.pmod(F.col("k"), F.lit(SALTS)).cast("int")).join(spread, ["raw", "turn"])
+    table = found.groupBy("k", "salt").agg(F.map_from_entries(F.collect_list(F.struct("raw", "surrogate"))).alias("known"))
+    # a word that is the name of two entities in one text (a given and a family name) gets one of their surrogates
+    names = (found.where("words is not null").select("k", "salt", F.explode("words").alias("p"))
+             .groupBy("k", "salt", "p.word").agg(F.min("p.new").alias("new"))
+             .groupBy("k", "salt").agg(F.map_from_entries(F.collect_list(F.struct("word", "new"))).alias("names")))
+    table = table.join(names, ["k", "salt"], "left")
+    joined = texts.join(table, ["k", "salt"], "left").select("doc_id", "text", "known", "names", F.when(
         F.col("known").isNotNull(), F.regexp_extract_all("text", F.lit(DETECT), F.lit(0))).alias("hits"))
-    gaps = F.split("text", DETECT, -1)
+    # a text without mentions is not split at all
+    gaps = F.when(F.col("hits").isNotNull(), F.split("text", DETECT, -1))
+    joined = joined.select("doc_id", "text", "known", "names", "hits", gaps.alias("gaps"))
+    gap = lambda g: F.when(F.col("names").isNull(), g).otherwise(F.array_join(_renamed(g, F.col("names")), ""))
     changed = F.concat(F.array_join(F.transform(F.arrays_zip(
-        F.slice(gaps, F.lit(1), F.size("hits")).alias("gap"), F.col("hits").alias("hit")),
-        lambda p: F.concat(p["gap"], F.element_at(F.col("known"), p["hit"]))), ""), F.element_at(gaps, -1))
+        F.slice("gaps", F.lit(1), F.size("hits")).alias("gap"), F.col("hits").alias("hit")),
+        lambda p: F.concat(gap(p["gap"]), F.element_at(F.col("known"), p["hit"]))), ""), gap(F.element_at("gaps", -1)))
+    bare = F.when(F.col("names").isNull(), 0).otherwise(F.aggregate("gaps", F.lit(0), lambda acc, g: acc + F.size(F.filter(
+        F.regexp_extract_all(g, F.lit(r"\p{L}++"), F.lit(0)), lambda w: F.array_contains(F.map_keys("names"), w)))))
     return joined.select(
         "doc_id", F.when(F.col("hits").isNull(), F.col("text")).otherwise(changed).alias("text"),
-        F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).cast("long").alias("n_entities"))
+        F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits") + bare).cast("long").alias("n_entities"))

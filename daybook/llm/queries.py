@@ -14,6 +14,8 @@ from daybook.llm.common import documents
 #: Names of the public vocabulary files; the library resolves their place on each machine.
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+#: The session setting that holds the key of the surrogates.
+PII_KEY = "spark.daybook.pii.key"
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymised(documents(spark, sf_dir))
+    return pii.pseudonymised(documents(spark, sf_dir), key=spark.conf.get(PII_KEY, pii.KEY))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+import regex
 from helpers_llm import edge_rows, frame, table
 from pyspark.sql import functions as F
 
@@ -100,6 +102,147 @@ def test_whole_table_leaks_nothing_and_keeps_the_rest(spark):
         assert n or text == new
 
 
+TITLES = "|".join(sorted(op.MALE_TITLES + op.FEMALE_TITLES, key=len, reverse=True))
+#: The definition of each kind, written for a matcher with a stack of its own; in order of precedence.
+KINDS = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?![A-Za-z0-9-]|\.[A-Za-z0-9-])",
+    "key": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
+    "assigned": r"(?<=(?i:password|passwd|secret|api_key|apikey|token)[=:]{1,2})[^\s\x22'=:]{6,}"
+                r"|(?<=(?i:password|passwd|secret|api_key|apikey|token) ?[=:] ?[\x22'])[^\s\x22']{6,}",
+    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}(?![0-9])"
+             r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "ip": r"(?<!(?i:version|ver|ver\.|release|build) )(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])",
+    "name": rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})",
+}
+FORMS = {"email": r"[^@\s]+@[^@\s]+", "key": r"[A-Z0-9]{20}", "card": r"[0-9]{4}([ -]?[0-9]{4}){3}", "ssn": r"\d{3}-\d{2}-\d{4}",
+         "ip": r"\d+\.\d+\.\d+\.\d+"}
+
+
+def mentions(text):
+    """(start, end, kind) of every mention, by trying each kind at each place."""
+    out, at = [], 0
+    while at < len(text):
+        for kind, pattern in KINDS.items():
+            hit = regex.compile(pattern).match(text, at)
+            if hit and kind == "ip" and any(int(x) > 255 or x != str(int(x)) for x in hit.group().split(".")):
+                hit = None
+            if hit and kind == "email" and not regex.fullmatch(r"[A-Za-z][A-Za-z0-9-]{1,62}", hit.group().rsplit(".", 1)[1]):
+                hit = None
+            if hit:
+                out.append((at, hit.end(), kind))
+                at = hit.end()
+                break
+        else:
+            at += 1
+    return out
+
+
+def check_against_brute_force(pairs):
+    """Every mention and every bare name, and nothing else, is replaced; equal entities alike, others apart, in their format."""
+    made = {}
+    for text, new, n in pairs:
+        if text is None:
+            assert new is None and n == 0
+            continue
+        found = mentions(text)
+        names = {w for a, b, k in found if k == "name" for w in text[a:b].split(" ")[1:]}
+        spots, done = [], 0
+        for a, b, kind in [*found, (len(text), len(text), None)]:
+            spots += [(done + m.start(), done + m.end(), "word") for m in regex.finditer(r"\p{L}+", text[done:a]) if m.group() in names]
+            spots += [(a, b, kind)] if kind else []
+            done = b
+        assert n == len(spots)
+        form, done = "", 0
+        for a, b, _ in spots:
+            form, done = form + regex.escape(text[done:a]) + "(.+?)", b
+        got = regex.fullmatch(form + regex.escape(text[done:]), new, regex.DOTALL)
+        assert got, (text, new)
+        for (a, b, kind), value in zip(spots, got.groups(), strict=True):
+            raw = text[a:b]
+            assert regex.fullmatch(FORMS.get(kind, "(?s).+"), value), (kind, raw, value)
+            if kind == "name":
+                assert value.split(" ")[0] == raw.split(" ")[0] and len(value.split(" ")) == len(raw.split(" "))
+            elif kind != "word":
+                canon = raw.lower() if kind == "email" else regex.sub("[^0-9A-Za-z]", "", raw) if kind in ("card", "iban", "ssn", "phone") else raw
+                same = value.lower() if kind == "email" else regex.sub("[^0-9A-Za-z]", "", value) if kind in ("card", "iban", "ssn", "phone") else value
+                assert made.setdefault((kind, canon), same) == same != canon
+    kinds = {}
+    for (kind, canon), value in made.items():
+        assert kinds.setdefault((kind, value), canon) == canon
+    assert not {(k, v) for (k, _), v in made.items()} & set(made)
+
+
+def luhn_ok(number):
+    digits = [int(c) for c in re.sub(r"\D", "", number)][::-1]
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+
+
+def iban_ok(account):
+    a = re.sub(" ", "", account)
+    return int("".join(str(int(c, 36)) for c in a[4:] + a[:4])) % 97 == 1
+
+
+PROBES = [
+    (20, "Mr John Smith and John Smith phoned; Smith too, SMITH not, Smithson not, smith not"),
+    (21, "card 4111 1111 1111 1111 and 4111111111111112"), (22, "pay DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432 or FR0012345678901234567"),
+    (23, "version 1.2.3.4 and v1.2.3.4 and 10.300.400.500 and 10.30.40.50 and 1.2.3.4.5 and 01.2.3.4"),
+    (24, "x@y.com. A@B.CO, a.b+c%d@sub.mail-x.example.org; n@x y@z.c q@w.c0m @a.com"), (25, "Mrs Anna Braun, Mr Braun: Anna Braun met Anna; г-н Иванов и Иванов"),
+    (26, "Mr James Smith, Mrs Smith James, James Smith"), (27, ""), (28, None),
+]
+
+
+def test_replacements_match_brute_force(spark):
+    rows = ROWS + PROBES + [(1000 + r["doc_id"], r["text"]) for r in table(spark, "documents").select("doc_id", "text").collect()]
+    out = op.pseudonymised(frame(spark, rows)).collect()
+    made = {r["doc_id"]: r for r in out if r["doc_id"] is not None}
+    check_against_brute_force([(t, made[i]["text"], made[i]["n_entities"]) for i, t in rows if i is not None])
+    assert not re.search(r"John|\bSmith\b", made[20]["text"]) and made[20]["text"].endswith("too, SMITH not, Smithson not, smith not".split("too")[1])
+    cards = re.findall(r"\d[\d ]{14,}\d", made[21]["text"])
+    assert luhn_ok(cards[0]) and cards[0] != "4111 1111 1111 1111" and len(cards) == 2
+    accounts = re.fullmatch(r"pay (DE.{25}) or (GB\w{20}) or (FR\w+)", made[22]["text"]).groups()
+    assert iban_ok(accounts[0]) and iban_ok(accounts[1]) and re.fullmatch(r"GB\d\d[A-Z]{4}\d{14}", accounts[1])
+    assert re.fullmatch(r"version 1.2.3.4 and v1.2.3.4 and 10.300.400.500 and (?!10.30.40.50)\S+ and 1.2.3.4.5 and 01.2.3.4", made[23]["text"])
+    assert made[24]["text"].endswith("; n@x y@z.c q@w.c0m @a.com".replace("q@w.c0m", made[24]["text"].split(" ")[-2]))
+
+
+def test_valid_check_digits_stay_valid_and_distinct(spark):
+    cards = [f"4{k:014d}" for k in range(300)]
+    cards = [c + str(next(d for d in range(10) if luhn_ok(c + str(d)))) for c in cards]
+    accounts = [f"NL00BANK{k:010d}" for k in range(300)]
+    accounts = [f"NL{next(f'{c:02d}' for c in range(2, 99) if iban_ok(f'NL{c:02d}' + a[4:]))}{a[4:]}" for a in accounts]
+    both = [("card", c) for c in cards] + [("iban", a) for a in accounts]
+    out = {(r["part_kind"], r["canon"]): r["surrogate"] for r in op.surrogates(spark.createDataFrame(both, "part_kind string, canon string")).collect()}
+    assert len(set(out.values())) == 600 and not set(out.values()) & {c for _, c in both}
+    assert all(luhn_ok(out["card", c]) and out["card", c][0] == "4" for c in cards)
+    assert all(iban_ok(out["iban", a]) and re.fullmatch(r"NL\d\d[A-Z]{4}\d{10}", out["iban", a]) for a in accounts)
+
+
+LONG = {
+    "labels": lambda n: "a@" + "b." * n + "com", "broken labels": lambda n: "a@" + "b." * n + "!", "dashes": lambda n: "a@" + "b-.-" * n,
+    "local part": lambda n: "a." * n + "@x.com", "no address": lambda n: "a.b+" * n, "ats": lambda n: "a@" * n, "digits": lambda n: "1" * 2 * n,
+    "groups of digits": lambda n: "1234 " * n, "short groups": lambda n: "+1 " + "22 " * n, "dotted": lambda n: "1.2.3.4." * n,
+    "capitals": lambda n: "AB12" * n, "capital groups": lambda n: "AB12 CD34 " * n, "secret": lambda n: "password=" + "x1" * n,
+    "keywords": lambda n: "password=" * n, "brackets": lambda n: "+1(22)" * n, "name": lambda n: "Mr " + "A" + "b" * 2 * n,
+    "names": lambda n: "Mr Ab Cd " * n, "quotes": lambda n: "token = \"" * n, "dashed numbers": lambda n: "123-45-6789-" * n,
+}
+
+
+@pytest.mark.parametrize("n", [20_000, 1_000_000])
+def test_very_long_tokens_of_every_class(spark, n):
+    """10**6 labels, digits or words in one text: a result, with the text around it as it was."""
+    chosen = LONG if n < 10 ** 6 else {k: LONG[k] for k in ("labels", "broken labels", "local part", "digits", "secret", "capitals", "name")}
+    rows = [(k, f"before {make(n)} after") for k, make in enumerate(chosen.values())]
+    out = {r["doc_id"]: (r["text"], r["n_entities"]) for r in op.pseudonymised(frame(spark, rows).repartition(4)).collect()}
+    assert len(out) == len(rows) and all(t.startswith("before ") and t.endswith(" after") for t, _ in out.values())
+    by_name = {name: out[k] for k, name in enumerate(chosen)}
+    assert by_name["labels"][1] == 1 and len(by_name["labels"][0]) == len(rows[0][1]) and by_name["labels"][0].endswith(".com after")
+    assert by_name["broken labels"][1] == by_name["digits"][1] == 0
+    assert by_name["secret"][1] == by_name["local part"][1] == by_name["name"][1] == 1
+
+
 def test_no_python_in_the_plan(spark):
     plan = op.pseudonymised(table(spark, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
