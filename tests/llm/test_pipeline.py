@@ -42,5 +42,5 @@ def test_stages_return_the_columns_of_documents(spark):
 
 def test_registered_queries():
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
-    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
