@@ -155,30 +155,58 @@ def signature_rules() -> list[Rule]:
 RULES = signature_rules()
 
 
-def _words(text: Column) -> Column:
-    """Number of words of a text with single spaces."""
-    t = F.trim(text)
-    return F.when(F.length(t) == 0, F.lit(0)).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1)
+def numbered(flat: Column) -> Column:
+    """Every word of a text with single spaces, followed by ``#`` and its number: matches then know their place."""
+    return F.array_join(F.transform(F.split(flat, " "), lambda w, i: F.concat(w, F.lit("#"), i.cast("string"))), " ")
 
 
 def _bound(pattern: str) -> str:
-    return f"(?<![^ ])(?:{pattern})(?![^ ])"
+    """A pattern of words as one over numbered words."""
+    return f"(?<![^ ])(?:{pattern.replace(' ', '(?:#[0-9]++ )')})#[0-9]++(?![^ ])"
 
 
-def _places(text: Column, pattern: Column) -> Column:
-    """[start, end) in words of every match of ``pattern`` in a text with single spaces."""
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+def _place(hit: Column) -> Column:
+    """[start, stop) in words of a match in a numbered text."""
+    start = F.substring_index(F.substring_index(hit, " ", 1), "#", -1).cast("int")
+    return F.struct(start.alias("start"), (F.substring_index(hit, "#", -1).cast("int") + 1).alias("stop"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + _words(pair["gap"])
-        stop = start + _words(pair["hit"])
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(
-            F.struct(start.alias("start"), stop.alias("stop")))).alias("out"))
-    pairs = F.arrays_zip(hits.alias("hit"), F.slice(between, F.lit(1), F.size(hits)).alias("gap"))
-    return F.when(F.size(hits) > 0, F.aggregate(pairs, first, step, lambda acc: acc["out"])).otherwise(empty)
+
+#: The priorities in use, highest first.
+PRIORITIES = sorted({r.priority for r in RULES}, reverse=True)
+BLOCK = 256
+
+
+def unsuppressed(found: Column) -> Column:
+    """The matches that no match of a higher priority contains, by one sweep in the order of their starts.
+
+    The sweep knows, for each priority, how far a match of that or a higher one has reached. It keeps
+    its verdicts in blocks, as an array that grows by one element copies itself each time.
+    """
+    ranked = F.array_sort(F.transform(found, lambda d: F.struct(
+        d["start"].alias("start"), (-d["stop"]).alias("minus"), F.array_position(F.lit(PRIORITIES), d["priority"]).alias("rank"),
+        d["label"].alias("label"), d["priority"].alias("priority"))))
+    in_blocks = lambda r: F.transform(F.sequence(F.lit(0), F.floor((F.size(r) - 1) / BLOCK).cast("int")),
+                                      lambda k: F.slice(r, k * BLOCK + 1, BLOCK))
+
+    def sweep(acc: Column, d: Column) -> Column:
+        stop = -d["minus"]
+        inside = F.coalesce(F.get(acc["reach"], (d["rank"] - 2).cast("int")) >= stop, F.lit(False))
+        return F.struct(
+            F.transform(acc["reach"], lambda r, j: F.when(j >= d["rank"] - 1, F.greatest(r, stop)).otherwise(r)).alias("reach"),
+            F.concat(acc["stays"], F.array(~inside)).alias("stays"))
+
+    def block(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["reach"].alias("reach"), F.array().cast("array<boolean>").alias("stays"))
+        return F.aggregate(part, start, sweep, lambda r: F.struct(
+            r["reach"].alias("reach"), F.concat(acc["stays"], F.array(r["stays"])).alias("stays")))
+    start = F.struct(F.array_repeat(F.lit(-1), len(PRIORITIES)).alias("reach"), F.array().cast("array<array<boolean>>").alias("stays"))
+    # bound as the element of an array each, as a lambda would work out the expression again for every element
+    bound = lambda name, value, body: F.transform(F.array(F.struct(value.alias(name))), lambda b: body(b[name]))[0]
+    kept = bound("ranked", ranked, lambda r: bound("blocks", in_blocks(r), lambda b: F.flatten(F.zip_with(
+        b, F.aggregate(b, start, block, lambda acc: acc["stays"]),
+        lambda part, stays: F.filter(part, lambda d, i: F.get(stays, i))))))
+    return F.when(F.size(found) == 0, found).otherwise(F.transform(kept, lambda d: F.struct(
+        d["label"].alias("label"), d["start"].alias("start"), (-d["minus"]).alias("stop"), d["priority"].alias("priority"))))
 
 
 def _rule_array(rules: list[Rule]) -> Column:
@@ -203,19 +231,18 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(gate), F.lit(0))),
                                     lambda h: F.translate(h, UPPER, LOWER)).alias("hits"), "text")
     rows = rows.select("doc_id", "n_words", "hits", F.when(F.size("hits") > 0, flat).alias("flat"))
+    rows = rows.select("doc_id", "n_words", "hits", numbered(F.col("flat")).alias("flat"))
 
     def matches(rules: list[Rule]) -> Column:
         gated = F.filter(_rule_array(rules), lambda r: F.exists("hits", lambda h: F.startswith(h, r["keyword"])))
         return F.flatten(F.transform(gated, lambda r: F.transform(
-            _places(F.col("flat"), r["pattern"]),
+            F.transform(F.regexp_extract_all("flat", r["pattern"], F.lit(0)), _place),
             lambda p: F.struct(r["label"].alias("label"), p["start"].alias("start"), p["stop"].alias("stop"),
                                r["priority"].alias("priority")))))
     none = F.array().cast("array<struct<label:string,start:int,stop:int,priority:int>>")
     rows = rows.select("doc_id", "n_words", F.coalesce(matches(base), none).alias("base"),
                        F.coalesce(matches(RULES), none).alias("all"))
-    stays = F.filter("all", lambda d: ~F.exists("all", lambda e: (
-        (e["priority"] > d["priority"]) & (e["start"] <= d["start"]) & (e["stop"] >= d["stop"]))))
-    return rows.select("doc_id", "n_words", "base", stays.alias("found"))
+    return rows.select("doc_id", "n_words", "base", unsuppressed(F.col("all")).alias("found"))
 
 
 def license_labels(scan: DataFrame) -> DataFrame:
