@@ -9,22 +9,26 @@ mask are joined between the benchmark's windows and those of every document, and
 every hit is verified word by word around it.
 
 The benchmark's distinct windows go to the tasks as sorted hash arrays in parts
-of at most ``PART_WINDOWS`` windows (a proven size); a larger benchmark takes
-several passes over the documents. Documents are never shuffled.
+of at most ``PART_WINDOWS`` windows (a proven size). A benchmark of one part is looked
+up in one pass, without a shuffle. A larger one takes a pass for each part, one after
+the other, which writes the hits only; they are joined to the documents at the end.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, with A-Z
 lower-cased. Items of ``MIN_WORDS`` to ``WINDOW - 1`` words match whole and without
-substitutions; shorter items are no evidence and match nothing.
+substitutions. Shorter items, which any text may hold, match whole as well but are weak
+evidence: they are reported apart and contaminate nothing.
 
 Edge cases: null or empty text or item text has no words and matches nothing; null
-ids are kept as they are. Repeated documents are each returned, repeated items are
+document ids are kept as they are. An item with a null id contaminates like any other;
+it has no id to list, so it is neither listed nor counted. Repeated documents are each returned, repeated items are
 each reported (an id once). An empty benchmark contaminates nothing, an empty
 table gives an empty result. Other columns of both tables are not read.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
-from daybook.llm.common import cut, id_and_text, rest_type
+from daybook.llm.common import cut, id_and_text, rest_type, salted_left_join
 
 WINDOW = 13
 SUBSTITUTIONS = 2
@@ -70,7 +74,7 @@ class Windows:
     def __init__(self, words: np.ndarray, items: list[list[int]], masks: list[tuple[int, ...]], most_wrong: int):
         self.words, self.items, self.masks, self.most_wrong = words, items, masks, most_wrong
         self.length = words.shape[1]
-        bits = max(16, int(len(words) * len(masks)).bit_length() + 6)
+        bits = max(16, int(len(words) * len(masks)).bit_length() + 4)      # at most 2**25 bytes for a part
         self.slot = np.uint64(64 - bits)
         self.filled = np.zeros(1 << bits, bool)
         self.index = []
@@ -122,7 +126,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
                 out_id, out = [], []
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
                     n = min(b - a, WINDOW)
-                    if n < MIN_WORDS or not ids[block.first + i].is_valid:
+                    if not n:
                         continue
                     for p in range(a, b - n + 1):
                         out_id.append(ids[block.first + i].as_py())
@@ -130,7 +134,9 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
                 yield pa.record_batch([pa.array(out_id, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
                                       names=["item_id", "words"])
     rows = id_and_text(benchmark, id_col, text_col).mapInArrow(run, "item_id long, words array<long>")
-    return rows.groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    # a null id stands as a null element, behind the others
+    unnamed = F.when(F.count_if(F.col("item_id").isNull()) > 0, F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>"))
+    return rows.groupBy("words").agg(F.concat(F.sort_array(F.collect_set("item_id")), unnamed).alias("items"))
 
 
 def _parts(windows: DataFrame) -> list[list[Windows]]:
@@ -152,52 +158,85 @@ def _parts(windows: DataFrame) -> list[list[Windows]]:
         yield out
 
 
+def _sorted(ids: set) -> list:
+    return sorted(x for x in ids if x is not None) + [None] * (None in ids)
+
+
+def _hits(shared):
+    """For a block of texts: the sets of items, of the windows' first words, and of weak items of each text."""
+    def hits(block: tb.Block) -> tuple[list[set], list[set], list[set]]:
+        word, doc = tb.word_hashes(block, _TABLE, SEPARATORS)
+        begin = np.searchsorted(doc, np.arange(len(block.start)))
+        items, words, weak = ([set() for _ in block.start] for _ in range(3))
+        for index in shared.value:
+            strong = index.length >= MIN_WORDS
+            for p, w in zip(*(x.tolist() for x in index.hits(word, doc)), strict=True):
+                d = int(doc[p])
+                (items if strong else weak)[d].update(index.items[w])
+                if strong:
+                    words[d].add(p - int(begin[d]))
+        return items, words, weak
+    return hits
+
+
+_IDS = pa.list_(pa.int64())
+_FOUND = "items array<long>, words array<long>, weak array<long>"
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, items, words) of every row: the items that contaminate it, and the first
-    word of every window that does (words counted from 0). With ``carry`` also the text
-    and a struct ``rest`` of the named columns."""
+    """(doc_id, items, words, weak) of every row: the items that contaminate it (null for one without an id), the
+    first word of every window that does (words counted from 0), and the short items that it holds. With
+    ``carry`` also the text and a struct ``rest`` of the named columns."""
     spark = docs.sparkSession
-    kind = "array<long>"
-    frame = id_and_text(docs, id_col, text_col, carry)
     kept = ["text", "rest"] if carry else []
-    rest = f", rest {rest_type(frame)}" if carry else ""
-    frame = frame.select("doc_id", "text", F.array().cast(kind).alias("items"), F.array().cast(kind).alias("words"),
-                         *kept[1:])
-    windows = benchmark_windows(benchmark, item_col, item_text_col)
-    for part in _parts(cut(windows)):
-        shared = spark.sparkContext.broadcast(part)
-
-        def run(batches, shared=shared):
+    frame = id_and_text(docs, id_col, text_col, carry)
+    carried = f", text string, rest {rest_type(frame)}" if carry else ""
+    parts = _parts(cut(benchmark_windows(benchmark, item_col, item_text_col)))
+    first, second = next(parts, []), next(parts, None)
+    if second is None:
+        hits = _hits(spark.sparkContext.broadcast(first))
+
+        def run(batches):
             for batch in batches:
-                before = batch.column(2), batch.column(3)
                 for block in tb.blocks(batch.column(1)):
-                    word, doc = tb.word_hashes(block, _TABLE, SEPARATORS)
-                    begin = np.searchsorted(doc, np.arange(len(block.start)))
-                    n = len(block.start)
-                    items: list[set] = [set(before[0][block.first + i].as_py()) for i in range(n)]
-                    words: list[set] = [set(before[1][block.first + i].as_py()) for i in range(n)]
-                    for index in shared.value:
-                        for p, w in zip(*(x.tolist() for x in index.hits(word, doc)), strict=True):
-                            d = int(doc[p])
-                            items[d].update(index.items[w])
-                            words[d].add(p - int(begin[d]))
-                    own = slice(block.first, block.first + n)
-                    yield pa.record_batch([
-                        batch.column(0)[own], batch.column(1)[own],
-                        pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-                        pa.array([sorted(x) for x in words], pa.list_(pa.int64())),
-                        *(x[own] for x in batch.columns[4:])],
-                        names=["doc_id", "text", "items", "words", *kept[1:]])
-        frame = frame.mapInArrow(run, f"doc_id long, text string, items {kind}, words {kind}{rest}")
-    return frame.select("doc_id", "items", "words", *kept)
+                    found = hits(block)
+                    own = slice(block.first, block.first + len(block.start))
+                    yield pa.record_batch(
+                        [batch.column(0)[own], *(pa.array([_sorted(x) for x in f], _IDS) for f in found),
+                         *(x[own] for x in batch.columns[1:] if carry)], names=["doc_id", "items", "words", "weak", *kept])
+        return frame.mapInArrow(run, f"doc_id long, {_FOUND}{carried}")
+
+    # one pass for each part, written before the next begins: (k1, k2) stands for a text
+    keyed = frame.select("text", F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"))
+    found = []
+    for part in chain([first, second], parts):
+        hits = _hits(spark.sparkContext.broadcast(part))
+
+        def run(batches, hits=hits):
+            for batch in batches:
+                for block in tb.blocks(batch.column(0)):
+                    sets = hits(block)
+                    at = [i for i in range(len(block.start)) if any(f[i] for f in sets)]
+                    rows = pa.array([block.first + i for i in at], pa.int64())
+                    yield pa.record_batch([batch.column(1).take(rows), batch.column(2).take(rows),
+                                           *(pa.array([_sorted(f[i]) for i in at], _IDS) for f in sets)],
+                                          names=["k1", "k2", "items", "words", "weak"])
+        found.append(cut(keyed.mapInArrow(run, f"k1 long, k2 int, {_FOUND}").distinct()))
+    whole = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    texts = reduce(DataFrame.unionAll, found).groupBy("k1", "k2").agg(whole("items"), whole("words"), whole("weak"))
+    none = F.array().cast("array<long>")
+    return salted_left_join(frame.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text")}), texts, ["k1", "k2"]).select(
+        "doc_id", *(F.coalesce(c, none).alias(c) for c in ("items", "words", "weak")), *kept)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
-    """(doc_id, contaminated, kept, n_items, item_ids, n_windows, first_word) of every row."""
+    """(doc_id, contaminated, kept, n_items, item_ids, n_windows, first_word, weak_item_ids) of every row."""
     found = overlaps(docs, benchmark, **columns)
+    named = F.filter("items", lambda x: x.isNotNull())
     return found.select(
         "doc_id", (F.size("items") > 0).alias("contaminated"), (F.size("items") == 0).alias("kept"),
-        F.size("items").cast("long").alias("n_items"),
-        F.array_join(F.col("items").cast("array<string>"), ",").alias("item_ids"),
-        F.size("words").cast("long").alias("n_windows"), F.array_min("words").alias("first_word"))
+        F.size(named).cast("long").alias("n_items"),
+        F.array_join(named.cast("array<string>"), ",").alias("item_ids"),
+        F.size("words").cast("long").alias("n_windows"), F.array_min("words").alias("first_word"),
+        F.array_join(F.col("weak").cast("array<string>"), ",").alias("weak_item_ids"))

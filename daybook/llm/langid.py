@@ -9,7 +9,7 @@ Four pieces of evidence about a page are multiplied:
 * declared markup language: how often each value is declared on pages of a language;
 * address suffix: likewise for the language code in the path or the country suffix;
 * host prior: the languages of the other pages of the host, smoothed towards its
-  registered domain, and that towards the whole collection.
+  registered domain (three labels under a public suffix such as co.uk), and that towards the whole collection.
 
 The last three are grouped sums of the pages' text-only posteriors (soft counts in
 fixed point, so their sums do not depend on the order) over *all* pages. A page's
@@ -18,8 +18,8 @@ pages is summed map-side and joined back by salted keys; the tables that reach t
 driver have one row per language or language pair.
 
 Edge cases: a page without any evidence (null url and html) gets the prior of the
-collection. Null or empty html has no text, unknown languages and malformed markup
-count as 'none' or 'other'. Without labelled documents there are no languages and
+collection. Labelled documents count whatever their id, null or repeated. Null or
+empty html has no text, unknown languages and malformed markup count as 'none' or 'other'. Without labelled documents there are no languages and
 ``lang`` is null. Ties go to the alphabetically first language. Repeated rows are
 each returned. An empty table gives an empty result. Other columns are not read.
 """
@@ -52,6 +52,11 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
+#: Fixed: labels under which country domains register names, as in example.co.uk.
+SECOND_LEVEL = frozenset(
+    "ac co com edu firm gen go gob gouv gov govt gv id ind info int ltd mil mod ne net nhs nic nom or org plc police re res sch school web".split())
+
+
 def trigrams(text: str) -> np.ndarray:
     """The bucket of each byte trigram of a text, A-Z folded, runs of white space as one space."""
     data = _FOLD[np.frombuffer(" ".join(text.split()).encode("utf-8"), np.uint8)].astype(np.uint32)
@@ -61,6 +66,15 @@ def trigrams(text: str) -> np.ndarray:
     return ((packed * np.uint32(0x9E3779B1)) >> np.uint32(19)).astype(np.int64)
 
 
+def registered_domain(host: str) -> str:
+    """The name that an owner registers: one label before a public suffix, which has two labels in many countries."""
+    labels = host.split(".")
+    if host.replace(".", "").isdigit():
+        return host                          # a network address has no domain above it
+    two = len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVEL
+    return ".".join(labels[-3 if two else -2:])
+
+
 def visible_text(source: str) -> str:
     """What a reader sees of a page: no scripts, styles, comments, navigation, footer or tags."""
     return markup.unescape(_HIDDEN.sub(" ", source))
@@ -72,7 +86,7 @@ def training_texts(docs: DataFrame, most: int = TRAIN_EACH) -> DataFrame:
     The languages and their counts come from all documents; a hash of id and text decides.
     """
     known = (docs.select("doc_id", "text", F.lower("lang").alias("language"))
-             .where("doc_id is not null and language is not null and language <> ''"))
+             .where("language is not null and language <> ''"))
     sizes = known.groupBy("language").agg(F.count("*").alias("n"))          # one row per language
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     return known.join(F.broadcast(sizes), "language").where(share < F.lit(float(most)) / F.col("n")).select("text", "language")
@@ -122,7 +136,7 @@ def evidence(pages: DataFrame, languages: list[str], table: np.ndarray) -> DataF
                     source = source or ""
                     hit = _URL.match(url or "")
                     host = hit.group(1).lower().rstrip(".") if hit else None
-                    domain = ".".join(host.split(".")[-2:]) if host else None
+                    domain = registered_domain(host) if host else None
                     path = (hit.group(2) or "").lower() if hit else ""
                     suffix = host.rsplit(".", 1)[-1] if host else ""
                     address = path if path in known else suffix if suffix in known else "none"

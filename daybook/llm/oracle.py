@@ -48,7 +48,7 @@ b AS (SELECT item_id, {words.format(_FOLD.format('text'))} AS ws FROM benchmark)
 bw AS (
   SELECT item_id, least(len(ws), {window}) AS n, unnest(list_transform(range(1, len(ws) - least(len(ws), {window}) + 2),
          lambda i: ws[i:i + least(len(ws), {window}) - 1])) AS win
-  FROM b WHERE len(ws) >= {least}),
+  FROM b WHERE len(ws) > 0),
 sizes AS (SELECT DISTINCT n FROM bw),
 dw AS (
   SELECT doc_id, n, p, ws[p:p + n - 1] AS win
@@ -61,19 +61,21 @@ dm AS (
   SELECT doc_id, n, p, win, id, list_transform(places, lambda i: win[i]) AS k FROM dw, mask WHERE n = {window}
   UNION ALL SELECT doc_id, n, p, win, -1, win FROM dw WHERE n < {window}),
 hit AS (
-  SELECT DISTINCT dm.doc_id, dm.p, bm.item_id
+  SELECT DISTINCT dm.doc_id, dm.n, dm.p, bm.item_id
   FROM dm JOIN bm ON dm.n = bm.n AND dm.id = bm.id AND dm.k = bm.k
   WHERE len(list_filter(range(1, dm.n + 1), lambda i: dm.win[i] <> bm.win[i])) <= {most}),
 found AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, count(DISTINCT p) AS n_windows, min(p) - 1 AS first_word
-  FROM hit GROUP BY doc_id),
+  FROM hit WHERE n >= {least} GROUP BY doc_id),
 listed AS (
-  SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+  SELECT doc_id, strong, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
+  FROM (SELECT DISTINCT doc_id, n >= {least} AS strong, item_id FROM hit) GROUP BY doc_id, strong)
 SELECT d.doc_id, found.doc_id IS NOT NULL AS contaminated, found.doc_id IS NULL AS kept,
-       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(item_ids, '') AS item_ids,
-       CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, CAST(first_word AS BIGINT) AS first_word
-FROM d LEFT JOIN found USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(s.item_ids, '') AS item_ids,
+       CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, CAST(first_word AS BIGINT) AS first_word,
+       coalesce(w.item_ids, '') AS weak_item_ids
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN listed s ON s.doc_id = d.doc_id AND s.strong
+     LEFT JOIN listed w ON w.doc_id = d.doc_id AND NOT w.strong"""
 
 
 def op11_filter_audit() -> str:

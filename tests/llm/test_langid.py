@@ -54,6 +54,29 @@ def test_more_than_64_languages_and_a_rare_one(spark):
         assert r["lang"] == r["declared"] == r["address"] == r["text_lang"] == code(r["page_id"])
 
 
+def test_registered_domains():
+    names = {"www.example.com": "example.com", "a.b.example.co.uk": "example.co.uk", "example.co.uk": "example.co.uk", "co.uk": "co.uk",
+             "x.example.com.au": "example.com.au", "news.example.de": "example.de", "localhost": "localhost", "10.0.0.1": "10.0.0.1",
+             "blog.net.example.org": "example.org", "a.gov.br": "a.gov.br", "x.y.co.jp": "y.co.jp", "co.example.io": "example.io"}
+    assert {h: op.registered_domain(h) for h in names} == names
+
+
+def test_hosts_under_one_public_suffix_are_unrelated(spark):
+    """A page without evidence follows its own domain, not the many pages of another one under the same suffix."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {r["lang"]: r["text"][:600] for r in docs.where("lang in ('de', 'fr')").collect()}
+    rows = [(k, f"http://h{k}.deutsch.co.uk/x", text["de"]) for k in range(40)]
+    rows += [(100 + k, f"http://h{k}.francais.co.uk/x", text["fr"]) for k in range(12)] + [(200, "http://new.francais.co.uk/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["lang"] for r in op.page_languages(pages, docs).collect()}[200] == "fr"
+
+
+def test_documents_without_an_id_are_training_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    nameless = docs.selectExpr("CAST(NULL AS LONG) AS doc_id", "text", "lang")
+    assert op.training_texts(nameless).count() == docs.count()
+
+
 def test_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     pages = spark.read.parquet(f"{SF}/pages.parquet")
