@@ -1,13 +1,13 @@
 """DuckDB SQL for the operators that SQL can express, written as plain definitions.
 
 The others (hashed n-gram model, BPE, evidence fusion, surrogates, rule signatures,
-byte suffixes, hash-ordered template seeds) are tested against brute force in
-``tests/llm`` instead.
+hash-ordered template seeds) are tested against brute force in ``tests/llm`` instead; of
+operators 2 and 9 the base columns have SQL, as queries of their own.
 """
 
 from __future__ import annotations
 
-from daybook.llm import covertree, decontaminate, filteraudit, hyperminhash, projections
+from daybook.llm import bwtdedup, covertree, decontaminate, filteraudit, hyperminhash, licenses, projections, quality
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -78,6 +78,62 @@ FROM d LEFT JOIN found USING (doc_id) LEFT JOIN listed s ON s.doc_id = d.doc_id
      LEFT JOIN listed w ON w.doc_id = d.doc_id AND NOT w.strong"""
 
 
+def op10_repeated_strings() -> str:
+    """Every window of every text by a 128-bit digest; runs of those that stand twice are cut out."""
+    n = bwtdedup.LENGTH
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, p, md5_number(b[p:p + {n - 1}]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - {n - 2})) AS p FROM d)),
+hit AS (SELECT r, p FROM w SEMI JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+island AS (
+  SELECT r, p, sum(CASE WHEN p <= before + {n} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS k
+  FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM hit)),
+span AS (SELECT r, k, min(p) AS a, max(p) + {n} AS z FROM island GROUP BY r, k),
+part AS (
+  SELECT r, a AS k, b[coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1):a - 1] AS part FROM span JOIN d USING (r)
+  UNION ALL SELECT r, octet_length(any_value(b)) + 1, any_value(b)[max(z):] FROM span JOIN d USING (r) GROUP BY r),
+rest AS (SELECT r, unhex(string_agg(hex(part), '' ORDER BY k)) AS kept FROM part GROUP BY r),
+sums AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept, b)) AS kept_sha256, decode(coalesce(kept, b)) AS text
+FROM d LEFT JOIN sums USING (r) LEFT JOIN rest USING (r)"""
+
+
+def quality_base_counts() -> str:
+    """The counts of the base rules of operator 2, word by word and line by line."""
+    word = "[^\\x20\\x09-\\x0D]"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '{word}+') AS ws FROM d),
+win AS (
+  SELECT r, unnest(range(1, len(ws) - 1)) AS p,
+         unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS g FROM w),
+twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
+marked AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest([p, p + 1, p + 2]) AS q FROM twice) GROUP BY r),
+line AS (SELECT r, l, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
+         WHERE regexp_matches(l, '{word}') GROUP BY r, l),
+dup AS (SELECT r, sum(n - 1) AS n FROM line GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+       len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+       coalesce(marked.n, 0) AS n_repeat_words,
+       len(ws) < {quality.MIN_WORDS} OR 100 * coalesce(marked.n, 0) > {quality.MAX_REPEAT_PERCENT} * len(ws) AS base_failed
+FROM d JOIN w USING (r) LEFT JOIN marked USING (r) LEFT JOIN dup USING (r)"""
+
+
+def license_base_places() -> str:
+    """The places of the base phrases of operator 9, phrase by phrase."""
+    phrases = " UNION ALL ".join(
+        f"""SELECT r, '{label}' AS label, unnest(list_filter(range(1, len(ws) - {len(words) - 2}),
+         lambda i: ws[i:i + {len(words) - 1}] = [{', '.join(f"'{x}'" for x in words)}])) - 1 AS place FROM w"""
+        for phrase, label in licenses.BASE_PHRASES.items() for words in [phrase.split()])
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLD.format('text')} AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM d),
+place AS ({phrases}),
+found AS (SELECT r, count(*) AS n, min(place) AS low, max(place) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM place GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, CAST(low AS BIGINT) AS first_word, CAST(high AS BIGINT) AS last_word,
+       coalesce(labels, '') AS base_labels
+FROM d JOIN w USING (r) LEFT JOIN found USING (r)"""
+
+
 def op11_filter_audit() -> str:
     """Every document walks through every order; a filter's first place in the order decides."""
     return f"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
@@ -167,4 +223,5 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 
 def all_sql() -> dict[str, str]:
     return {f.__name__: f() for f in (
-        op1_near_duplicates, op7_decontaminate, op11_filter_audit, op12_near_vectors, op13_hard_negatives)}
+        op1_near_duplicates, op7_decontaminate, op10_repeated_strings, op11_filter_audit, op12_near_vectors, op13_hard_negatives,
+        quality_base_counts, license_base_places)}

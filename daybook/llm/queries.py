@@ -86,7 +86,18 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.hard_negatives(rows, vec_id % 100 == 0)
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op2_quality`` that its base rules define."""
+    return op2_quality(spark, sf_dir).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def license_base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op9_license_scan`` that its base phrases define."""
+    return op9_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_quality, op3_line_templates, op4_bpe, op5_token_counts,
     op6_page_languages, op7_decontaminate, op8_pii_surrogates, op9_license_scan, op10_repeated_strings,
-    op11_filter_audit, op12_near_vectors, op13_hard_negatives)}
+    op11_filter_audit, op12_near_vectors, op13_hard_negatives, quality_base_counts, license_base_places)}
