@@ -18,13 +18,11 @@ Copies with the same words are one *class*, represented by its smallest id, so
 that groups of copies of any size cost one node. In a bucket of classes no pair
 list is made. Each bucket compares all its members with one hub, the member with
 the most bucket neighbours; what the hub confirms is one component. Then
-members of one bucket that are in different components meet again: in
-``STAR_ROUNDS`` further rounds around the hub of the rest, and then against a sharper
-sketch; pairs that stay near the threshold are verified. A bucket that still mixes more
-than ``BLOCK`` members (documents around one common passage, alike by far less than the
-threshold) is split by the other bands first: a pair at the threshold shares one of
-those 31 with probability 1 - 8e-6, unrelated members hardly ever do, so the work
-follows the members and not their square.
+``STAR_ROUNDS`` further rounds compare the rest of each bucket with a hub of theirs. The
+members of all buckets that still hold different components, of any size, are joined
+exactly on their full shingle sets: two sets at the threshold share one of the rarest
+shingles of each (``alike_by_rare_shingles``). A common passage is not rare, so the work
+follows the members and not their square, and no cap or sketch drops a pair.
 
 Edge cases: null or empty text, or one without words, has an empty set and is
 linked with nothing. Fewer words than a shingle: the whole sequence is the one
@@ -40,7 +38,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
@@ -55,9 +53,9 @@ ROWS_PER_BAND = 4
 BANDS = REGISTERS // ROWS_PER_BAND
 ESTIMATE_SLACK = 0.20                # over five standard deviations of the estimate at the threshold
 STAR_ROUNDS = 1
-FINE = 1024                          # registers of the sharper sketch of rows that stars left over
-BLOCK = 1024                         # members of a bucket compared at a time
-SPLITS = 3                           # times a larger bucket is split by further bands
+BLOCK = 1024                         # members of a group compared at a time
+FINE = 1024                          # registers of the sharper sketch of ``fine_sketches``
+SPLITS = 3                           # times ``across_components`` splits a larger bucket by further bands
 
 _TABLE = tb.byte_table(1, fold_case=True)
 
@@ -252,11 +250,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = (salted_join(rest, hub, ["band", "key"], "node").where("label <> hub_label")
                  .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
         label = merged_labels(label, confirmed(pairs.join(stars, ["a", "b"], "left_anti")))
-    rest = _rest(weighted, label)
-    nodes = rest.select("node").distinct()
-    fine = fine_sketches(texts_in.join(nodes, texts_in["doc_id"] == nodes["node"], "left_semi"), shingle)
-    both = sketches.select(F.col("doc_id").alias("node"), "registers").join(fine, "node")
-    leftover = cut(across_components(rest, both, percent / 100).distinct())
+    members = _rest(weighted, label).select("node", "label").distinct()
+    leftover = cut(alike_by_rare_shingles(members, texts_in, percent, shingle))
     label = merged_labels(label, cut(verified(leftover, texts_in, percent, shingle)))
 
     # classes that share a representative id (rows of one id with two texts) are linked as well
@@ -289,9 +284,80 @@ def fine_sketches(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "node long, fine binary")
 
 
+def shingle_rows(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, copy, size, gram): every shingle of every text; ``copy`` hashes the words, as rows of one id may differ."""
+    names = ["node", "copy", "size", "gram"]
+
+    def run(batches):
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for block in tb.blocks(batch.column(1)):
+                for k, (hashes, sequence) in enumerate(shingle_sets(block, shingle)):
+                    n = len(hashes)
+                    yield pa.record_batch([
+                        pa.array(np.full(n, ids[block.first + k], np.int64)),
+                        pa.array(np.full(n, np.uint64(sequence).astype(np.int64))),
+                        pa.array(np.full(n, n, np.int64)), pa.array(hashes.view(np.int64))], names=names)
+    return texts.select("doc_id", "text").mapInArrow(run, "node long, copy long, size long, gram long")
+
+
+def alike_by_rare_shingles(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Pairs (a, b) of members (node, label) with two labels, with all that reach the threshold among them.
+
+    All sets are put in one order, rare shingles first. Sets of n and m shingles at the
+    threshold have percent * (n + m) / (100 + percent) in common, which is at least
+    ``percent`` of either. So their first common shingle has a place in the first part of each
+    set, and behind that place both still hold as many shingles as must be common; the
+    smaller set, its *lead*, has it in a shorter part yet. Pairs that meet this in a common
+    shingle are returned. The members of a large group, those with one shingle in that
+    part, are dealt to blocks, and its leads to blocks of their own: each pair of
+    blocks is compared as arrays.
+    """
+    mine = cut(texts.join(members, texts["doc_id"] == members["node"], "left_semi").select("doc_id", "text"))
+    grams = shingle_rows(mine, shingle)
+    common = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")   # others are first, and nobody's common one
+    own = Window.partitionBy("node", "copy")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "gram")) - 1
+    held = salted_join(grams, common, ["gram"], "node").select("node", "size", "gram", place.alias("place"))
+    held = held.where(100 * F.col("place") <= (100 - percent) * F.col("size")).withColumn(
+        "lead", (100 + percent) * (F.col("size") - F.col("place")) >= 2 * percent * F.col("size"))
+    held = cut(held.join(members, "node"))
+    groups = held.groupBy("gram").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("lead") / BLOCK).cast("int").alias("of_leads"),
+        F.min("label").alias("low"), F.max("label").alias("high"))
+    groups = groups.where("low <> high and of_leads > 0").drop("low", "high")
+    block, of_leads = (F.pmod(F.xxhash64("node"), F.col(k)).cast("int") for k in ("blocks", "of_leads"))
+    to_leads = F.transform(F.sequence(F.lit(0), F.col("of_leads") - 1), lambda i: F.struct(
+        i.alias("i"), block.alias("j"), F.lit(False).alias("leads")))
+    as_lead = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
+        of_leads.alias("i"), j.alias("j"), F.lit(True).alias("leads")))
+    dealt = salted_join(held, groups, ["gram"], "node").select(
+        "gram", "node", "label", "size", "place", "lead",
+        F.explode(F.when(F.col("lead"), F.concat(to_leads, as_lead)).otherwise(to_leads)).alias("at"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, label, size, place, lead, leads = (
+            np.asarray(table.column(k)) for k in ("node", "label", "size", "place", "lead", "leads"))
+        behind = (100 + percent) * (size - place)
+        left, right = np.flatnonzero(leads), np.flatnonzero(~leads)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x in left:
+            ok = (label[right] != label[x]) & (np.minimum(behind[right], behind[x]) >= percent * (size[right] + size[x]))
+            found = node[right[ok & ~(lead[right] & (node[right] < node[x]))]]   # of two leads each looks at the larger id
+            a.append(np.minimum(found, node[x]))
+            b.append(np.maximum(found, node[x]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+    return (dealt.select("gram", "node", "label", "size", "place", "lead", "at.*").groupBy("gram", "i", "j")
+            .applyInArrow(compare, "a long, b long").distinct())
+
+
 def across_components(rest: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one bucket but two components that both sketches leave near the threshold.
 
+    An estimate for callers that keep sketches and no texts; a pair that shares one large
+    bucket alone is not among them. ``near_duplicates`` doesn't use it, it has the exact
+    ``alike_by_rare_shingles``.
+
     A bucket of up to ``BLOCK`` members is one group. A larger one is split ``SPLITS`` times at
     most: its members meet again where another band agrees too. What is larger
     even then, members that agree in ``SPLITS + 1`` bands and yet are in several components, is

@@ -78,6 +78,57 @@ def test_mixed_buckets_are_split_and_lose_no_link(spark, monkeypatch, splits):
     assert result(frame(spark, rows)) == brute_force(rows)
 
 
+def registers_of(text):
+    return next(op.registers(h) for h, _ in op.shingle_sets(next(tb.blocks(pa.array([text])))))
+
+
+def test_a_link_that_shares_one_large_bucket_alone_is_kept(spark, monkeypatch):
+    """Two documents at the threshold agree in one band of 32, whose bucket mixes more than BLOCK members."""
+    monkeypatch.setattr(op, "BLOCK", 20)
+    rng = random.Random(3714)
+
+    def words(n):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    common = words(52)
+    a, b = f"{common} {words(8)}", f"{common} {words(8)}"
+    bands = [registers_of(t).reshape(op.BANDS, op.ROWS_PER_BAND) for t in (a, b)]
+    shared = np.flatnonzero((bands[0] == bands[1]).all(axis=1))
+    assert len(shared) == 1 and 100 * len(shingles(a) & shingles(b)) == 75 * len(shingles(a) | shingles(b))
+    passage, around = words(20), []
+    while len(around) < 40:                  # alike among each other, so that one of them is the bucket's hub
+        text = f"{common} {passage} {words(20)}"
+        if (registers_of(text).reshape(op.BANDS, -1)[shared] == bands[0][shared]).all():
+            around.append(text)
+    rows = [*enumerate(around), (100, a), (101, b)]
+    got = result(frame(spark, rows))
+    assert got == brute_force(rows) and (101, 56, 100, False) in got
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_pairs_by_rare_shingles_hold_every_link(spark, monkeypatch, block):
+    """Dealt to blocks or not, all pairs at the threshold with two labels are there; two texts of one id both count."""
+    monkeypatch.setattr(op, "BLOCK", block)
+    rows = chains(0) + around_a_passage(40, 5)[:44]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)] + [(3, rows[-1][1]), (3, rows[-1][1]), (4, "few words"), (999, None)]
+    members = spark.createDataFrame([(k, k // 2) for k in range(len(rows) - 4)], "node long, label long")
+    found = op.alike_by_rare_shingles(members, frame(spark, rows), 75, 5)
+    got = [(r.a, r.b) for r in found.collect()]
+    sets = [(i, shingles(t)) for i, t in rows if i < len(rows) - 4]
+    links = {(a, b) for a, s in sets for b, t in sets if a < b and a // 2 != b // 2 and 100 * len(s & t) >= 75 * len(s | t) > 0}
+    assert links <= set(got) and len(links) > 20 and len(got) == len(set(got)) and all(a < b and a // 2 != b // 2 for a, b in got)
+
+
+def test_a_passage_in_all_members_makes_no_pairs_of_them(spark):
+    """3,000 documents whose sets are half a common passage: no pair of them is looked at, only the near copies."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{k}" for k in range(64))
+    rows = [(k, f"{passage} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))) for k in range(3000)]
+    rows += [(5000, rows[7][1] + " end"), (5001, rows[8][1] + " end")]
+    members = spark.createDataFrame([(k, k) for k, _ in rows], "node long, label long")
+    got = {(r.a, r.b) for r in op.alike_by_rare_shingles(members, frame(spark, rows), 75, 5).collect()}
+    assert got == {(7, 5000), (8, 5001)}
+
+
 def test_a_mixed_bucket_of_many_members_stays_linear(spark, monkeypatch):
     """50,000 members of one bucket, in as many components: what is compared follows the members, not their square."""
     n, rng = 50_000, np.random.default_rng(3)
