@@ -190,3 +190,19 @@ def test_components_of_random_graphs(spark):
         parent[max(x, y)] = min(x, y)
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_components_of_a_small_graph_take_one_partition(spark, monkeypatch, few):
+    """The same labels with exchanges and without; a small graph stays in one partition."""
+    from daybook.llm import common
+    monkeypatch.setattr(common, "FEW", few)
+    edges = [(k, k + 1) for k in range(0, 30) if k % 10 != 9] + [(5, 5), (7, 2), (None, 3)]
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"      # else Spark joins small partitions afterwards
+    spark.conf.set(merging, False)
+    try:
+        found = components(spark.createDataFrame(edges, "a long, b long"))
+        assert {r["node"]: r["label"] for r in found.collect()} == {k: k // 10 * 10 for k in range(30)}
+        assert (found.rdd.getNumPartitions() == 1) == bool(few)
+    finally:
+        spark.conf.unset(merging)
