@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
-from daybook.llm.common import cut, id_and_text, merged_labels, salted_join
+from daybook.llm.common import cut, id_and_text, merged_labels, salted_join, tasks
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -215,6 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = cut(signatures(docs, id_col, text_col, shingle))
     linkable = sig.where("doc_id is not null and n_shingles > 0")
     classes = cut(linkable.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("rep")))
+    classes = classes.coalesce(tasks(classes.count()))
     sketches = (classes.join(linkable, (classes["rep"] == linkable["doc_id"])
                              & (classes["class_a"] == linkable["class_a"])
                              & (classes["class_b"] == linkable["class_b"]))
@@ -225,37 +226,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full = (rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least"))
             .where("n > 1"))
     buckets = cut(salted_join(rows, full, ["band", "key"], "node").select("band", "key", "node", "n"))
-    members = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
-    sketches = cut(sketches.join(members, sketches["doc_id"] == members["node"], "left_semi"))
-    texts_in = cut(texts.join(members, texts["doc_id"] == members["node"], "left_semi"))
+    places = tasks(buckets.count())                  # partitions of what has a row for each place of a member in a bucket
+    buckets = buckets.coalesce(places)
+    members = cut(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
+    nodes = tasks(members.count())                   # partitions of what has a row for each member
+    members = members.coalesce(nodes)
+
+    def known(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if nodes == 1 else df
+    sketches = cut(sketches.join(known(members), sketches["doc_id"] == members["node"], "left_semi")).coalesce(nodes)
+    texts_in = cut(texts.join(known(members), texts["doc_id"] == members["node"], "left_semi"))
     least = percent / 100 - ESTIMATE_SLACK
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return cut(verified(estimated(pairs, sketches, least), texts_in, percent, shingle))
 
     # the hub of a bucket: its member with the most bucket neighbours overall, then the smallest id
-    weighted = cut(buckets.join(members, "node").select("band", "key", "node", "weight"))
+    weighted = cut(buckets.join(known(members), "node").select("band", "key", "node", "weight")).coalesce(places)
     hub = weighted.groupBy("band", "key").agg(
         F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("h"))
     hub = hub.select("band", "key", (-F.col("h.minus")).alias("hub"))
     stars = (salted_join(weighted, hub, ["band", "key"], "node").where("node <> hub")
              .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    label = merged_labels(members.select("node", F.col("node").alias("label")), confirmed(stars))
+    label = merged_labels(members.select("node", F.col("node").alias("label")), confirmed(stars), nodes)
     for _ in range(STAR_ROUNDS):
         # once more, around the heaviest member outside the bucket's largest component
-        rest = _rest(weighted, label)
+        rest = _rest(weighted, known(label)).coalesce(places)
         hub = (rest.where("not main").groupBy("band", "key")
                .agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), "label")).alias("h"))
                .select("band", "key", (-F.col("h.minus")).alias("hub"), F.col("h.label").alias("hub_label")))
         pairs = (salted_join(rest, hub, ["band", "key"], "node").where("label <> hub_label")
                  .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-        label = merged_labels(label, confirmed(pairs.join(stars, ["a", "b"], "left_anti")))
-    members = _rest(weighted, label).select("node", "label").distinct()
-    leftover = cut(alike_by_rare_shingles(members, texts_in, percent, shingle))
-    label = merged_labels(label, cut(verified(leftover, texts_in, percent, shingle)))
+        label = merged_labels(label, confirmed(pairs.join(stars, ["a", "b"], "left_anti")), nodes)
+    mixed = cut(_rest(weighted, known(label)).coalesce(places).select("node", "label").distinct()).coalesce(nodes)
+    leftover = cut(alike_by_rare_shingles(known(mixed), texts_in, percent, shingle))
+    label = merged_labels(label, cut(verified(leftover, texts_in, percent, shingle)), nodes)
 
     # classes that share a representative id (rows of one id with two texts) are linked as well
-    by_class = (classes.join(label, classes["rep"] == label["node"], "left")
+    by_class = (classes.join(known(label), classes["rep"] == label["node"], "left")
                 .select("class_a", "class_b", F.coalesce("label", "rep").alias("component_id")))
     plain = sig.select("doc_id", "n_shingles", "class_a", "class_b")
     salted = plain.withColumn("s", F.when(F.col("n_shingles") > 0, F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int")))

@@ -41,3 +41,23 @@ def table(spark, name: str):
 
 def texts_of(docs) -> list[tuple]:
     return [tuple(r) for r in docs.select("doc_id", "text").collect()]
+
+
+def stage_tasks(spark, run, partitions: int = 64) -> list[int]:
+    """The tasks of each stage that ``run`` starts while every shuffle has that many partitions and Spark joins none of them."""
+    sc, conf = spark.sparkContext, {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    group = f"stage-tasks-{random.random()}"
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(group, group)
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = {s: tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds}
+    return [s.numCompletedTasks for s in stages.values() if s and s.numCompletedTasks]

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers_llm import FOLD, WORDS, edge_rows, frame, prose, table, texts_of
+from helpers_llm import FOLD, WORDS, edge_rows, frame, prose, stage_tasks, table, texts_of
 
 from pyspark.sql import functions as F
 
@@ -206,3 +206,14 @@ def test_components_of_a_small_graph_take_one_partition(spark, monkeypatch, few)
         assert (found.rdd.getNumPartitions() == 1) == bool(few)
     finally:
         spark.conf.unset(merging)
+
+
+def test_small_tables_do_not_take_a_task_for_each_shuffle_partition(spark):
+    """Steps on what a checkpoint wrote take as many tasks as its rows are worth, and members that fit one are broadcast."""
+    rng = random.Random(3)
+    base = [prose(rng, 60).split(" ") for _ in range(12)]
+    rows = [(100 * k + n, " ".join(w[:30] + [f"x{n}"] + w[31:])) for k, w in enumerate(base) for n in range(4)]
+    out = []
+    took = stage_tasks(spark, lambda: out.extend(op.near_duplicates(frame(spark, rows)).collect()))
+    assert {r.doc_id: r.component_id for r in out} == {i: i // 100 * 100 for i, _ in rows}
+    assert 0 < sum(n >= 64 for n in took) <= 40
