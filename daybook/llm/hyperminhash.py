@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm import textbytes as tb
-from daybook.llm.common import cut, id_and_text, merged_labels, salted_join, tasks
+from daybook.llm.common import cut, id_and_text, merged_labels, salted_join, sieved, tasks
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -214,28 +214,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = id_and_text(docs, id_col, text_col)
     sig = cut(signatures(docs, id_col, text_col, shingle))
     linkable = sig.where("doc_id is not null and n_shingles > 0")
-    classes = cut(linkable.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("rep")))
+    classes = cut(linkable.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")))
     classes = classes.coalesce(tasks(classes.count()))
-    sketches = (classes.join(linkable, (classes["rep"] == linkable["doc_id"])
-                             & (classes["class_a"] == linkable["class_a"])
-                             & (classes["class_b"] == linkable["class_b"]))
-                .select("doc_id", "registers"))
+
+    def sketched(sets: DataFrame) -> DataFrame:
+        return (classes.join(sets, (classes["rep"] == sets["doc_id"]) & (classes["class_a"] == sets["class_a"])
+                             & (classes["class_b"] == sets["class_b"])).select("doc_id", "registers"))
 
     # buckets with at least two members; the others can link nothing
-    rows = band_rows(sketches)
+    rows = band_rows(sketched(linkable))
     full = (rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least"))
             .where("n > 1"))
     buckets = cut(salted_join(rows, full, ["band", "key"], "node").select("band", "key", "node", "n"))
     places = tasks(buckets.count())                  # partitions of what has a row for each place of a member in a bucket
     buckets = buckets.coalesce(places)
     members = cut(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
-    nodes = tasks(members.count())                   # partitions of what has a row for each member
+    n_members = members.count()
+    nodes = tasks(n_members)                         # partitions of what has a row for each member
     members = members.coalesce(nodes)
 
     def known(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if nodes == 1 else df
-    sketches = cut(sketches.join(known(members), sketches["doc_id"] == members["node"], "left_semi")).coalesce(nodes)
-    texts_in = cut(texts.join(known(members), texts["doc_id"] == members["node"], "left_semi"))
+    # the few others that pass the sieve are in no pair
+    sketches = cut(sketched(sieved(linkable, "doc_id", members, "node", n_members))).coalesce(nodes)
+    texts_in = cut(sieved(texts, "doc_id", members, "node", n_members))
     least = percent / 100 - ESTIMATE_SLACK
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -262,8 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leftover = cut(alike_by_rare_shingles(known(mixed), texts_in, percent, shingle))
     label = merged_labels(label, cut(verified(leftover, texts_in, percent, shingle)), nodes)
 
-    # classes that share a representative id (rows of one id with two texts) are linked as well
+    # classes that share a representative id (rows of one id with two texts) are linked as well; the only row of a
+    # class that is its own component needs no join
     by_class = (classes.join(known(label), classes["rep"] == label["node"], "left")
+                .where("rows > 1 or label <> rep")
                 .select("class_a", "class_b", F.coalesce("label", "rep").alias("component_id")))
     plain = sig.select("doc_id", "n_shingles", "class_a", "class_b")
     salted = plain.withColumn("s", F.when(F.col("n_shingles") > 0, F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int")))
@@ -321,7 +325,8 @@ def alike_by_rare_shingles(members: DataFrame, texts: DataFrame, percent: int, s
     part, are dealt to blocks, and its leads to blocks of their own: each pair of
     blocks is compared as arrays.
     """
-    mine = cut(texts.join(members, texts["doc_id"] == members["node"], "left_semi").select("doc_id", "text"))
+    # the few others that pass the sieve only count in the order of the shingles
+    mine = cut(sieved(texts, "doc_id", members, "node", members.count()).select("doc_id", "text"))
     grams = shingle_rows(mine, shingle)
     common = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")   # others are first, and nobody's common one
     own = Window.partitionBy("node", "copy")

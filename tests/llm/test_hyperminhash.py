@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import hyperminhash as op
 from daybook.llm import textbytes as tb
-from daybook.llm.common import components
+from daybook.llm.common import components, sieved
 
 
 def shingles(text):
@@ -217,3 +217,30 @@ def test_small_tables_do_not_take_a_task_for_each_shuffle_partition(spark):
     took = stage_tasks(spark, lambda: out.extend(op.near_duplicates(frame(spark, rows)).collect()))
     assert {r.doc_id: r.component_id for r in out} == {i: i // 100 * 100 for i, _ in rows}
     assert 0 < sum(n >= 64 for n in took) <= 40
+
+
+def test_a_sieve_keeps_every_row_with_one_of_the_ids_and_few_others(spark):
+    ids = spark.range(4000).select((F.col("id") * 5 - 900).alias("node"))
+    rows = spark.range(20_000).select((F.col("id") - 1000).alias("doc_id"), F.lit("x").alias("text"))
+    rows = rows.union(rows.where("doc_id = 0")).union(spark.createDataFrame([(None, None)], "doc_id long, text string"))
+    kept = [r.doc_id for r in sieved(rows, "doc_id", ids, "node", 4000).collect()]
+    wanted = {r.node for r in ids.collect()} & set(range(-1000, 19_000))
+    assert wanted <= set(kept) and kept.count(0) == 2 and len(kept) == len(set(kept)) + 1
+    assert len(kept) - len(wanted) < 0.06 * 20_000
+    assert sieved(rows, "doc_id", ids.limit(0), "node", 0).isEmpty()
+
+
+def test_texts_are_not_shuffled_to_find_the_members(spark, monkeypatch):
+    """Whatever the number of members: of tables with texts only those of pairs to verify are dealt out."""
+    from daybook.llm import common
+    monkeypatch.setattr(common, "ROWS", 1)
+    plans, whole = [], op.cut
+
+    def watched(df):
+        if "text" in df.columns:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df)
+    monkeypatch.setattr(op, "cut", watched)
+    rows = chains(0)
+    assert result(frame(spark, rows)) == brute_force(rows)
+    assert len(plans) == 2 and not any("LeftSemi" in p for p in plans) and all("rightHint=(strategy=broadcast)" in p for p in plans)
