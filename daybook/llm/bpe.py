@@ -249,43 +249,63 @@ def texts_in_blocks(column: pa.Array) -> Iterable[tuple[int, list[str]]]:
         yield first, out
 
 
+def _encoded(batches: Iterable[pa.RecordBatch], vocabulary: str) -> Iterable[pa.RecordBatch]:
+    """(doc_id, ids) of batches of (doc_id, text), block by block."""
+    bpe, known = codec(vocabulary), _cache.setdefault(vocabulary, {})
+    for batch in batches:
+        for first, texts in texts_in_blocks(batch.column(1)):
+            if len(known) > CACHE_WORDS:
+                known.clear()
+            pre = [bpe.pre_tokens(t) for t in texts]
+            new = [w for w in set().union(*pre) if w not in known and not isinstance(w, int)]
+            known.update(zip(new, bpe.encode_words(new), strict=True))
+            known.update((i, [i]) for i in bpe.special.values())
+            ids, ends = [], [0]
+            for words in pre:
+                ids.extend(chain.from_iterable(map(known.__getitem__, words)))
+                ends.append(len(ids))
+            for w in new:
+                if len(w) > CACHED_WORD_CHARS:
+                    del known[w]
+            lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(ids, pa.int32()))
+            yield pa.record_batch([batch.column(0).slice(first, len(texts)), lists], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], vocabulary: str) -> Iterable[pa.RecordBatch]:
+    """(doc_id, ids, decoded) of batches of (doc_id, ids)."""
+    bpe = codec(vocabulary)
+    for batch in batches:
+        column = batch.column(1)
+        for at in range(0, len(column), 256):
+            part = column.slice(at, 256)
+            decoded = [bpe.decode(ids.tolist()) if ids is not None else ""
+                       for ids in (x.values.to_numpy() if x.is_valid else None for x in part)]
+            yield pa.record_batch([batch.column(0).slice(at, 256), part, pa.array(decoded, pa.string())],
+                                  names=["doc_id", "ids", "decoded"])
+
+
+ENCODED = "doc_id long, ids array<int>"
+DECODED = ENCODED + ", decoded string"
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every row."""
-    def run(batches):
-        bpe, known = codec(vocabulary), _cache.setdefault(vocabulary, {})
-        for batch in batches:
-            for first, texts in texts_in_blocks(batch.column(1)):
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                pre = [bpe.pre_tokens(t) for t in texts]
-                new = [w for w in set().union(*pre) if w not in known and not isinstance(w, int)]
-                known.update(zip(new, bpe.encode_words(new), strict=True))
-                known.update((i, [i]) for i in bpe.special.values())
-                ids, ends = [], [0]
-                for words in pre:
-                    ids.extend(chain.from_iterable(map(known.__getitem__, words)))
-                    ends.append(len(ids))
-                for w in new:
-                    if len(w) > CACHED_WORD_CHARS:
-                        del known[w]
-                lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(ids, pa.int32()))
-                yield pa.record_batch([batch.column(0).slice(first, len(texts)), lists], names=["doc_id", "ids"])
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: _encoded(batches, vocabulary), ENCODED)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, ids, decoded): the text of every list of ids, special tokens included."""
-    def run(batches):
-        bpe = codec(vocabulary)
-        for batch in batches:
-            column = batch.column(1)
-            for at in range(0, len(column), 256):
-                part = column.slice(at, 256)
-                decoded = [bpe.decode(ids.tolist()) if ids is not None else ""
-                           for ids in (x.values.to_numpy() if x.is_valid else None for x in part)]
-                yield pa.record_batch([batch.column(0).slice(at, 256), part, pa.array(decoded, pa.string())],
-                                      names=["doc_id", "ids", "decoded"])
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(batches, vocabulary), DECODED)
+
+
+def encode_and_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``decode(encode(docs))``, every block decoded by the worker that encoded it.
+
+    Two chained frames keep two Python workers alive for each task, both with the vocabulary, and hand all ids from
+    one to the other through the JVM; here a task has one worker and its ids leave it once.
+    """
+    return id_and_text(docs, id_col, text_col).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, vocabulary), vocabulary), DECODED)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

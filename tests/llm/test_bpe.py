@@ -49,6 +49,16 @@ def test_edge_rows_round_trip(spark):
     assert bpe.decode(bpe.encode(frame(spark, []), path), path).collect() == []
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_one_pass_equals_encode_then_decode(spark, name):
+    path = public_tokenizers.path(name)
+    for rows in ([*edge_rows(), (20, "<|endoftext|> x <|endoftext|>"), (21, "é\x00  \n\n tail ")], []):
+        docs = frame(spark, rows)
+        one, two = bpe.encode_and_decode(docs, path), bpe.decode(bpe.encode(docs, path), path)
+        assert one.schema == two.schema
+        assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+
 def test_token_counts_equal_the_library(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)

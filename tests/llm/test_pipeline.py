@@ -40,6 +40,12 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, docs, SF).dtypes == docs.dtypes
 
 
+def test_bpe_encoding_takes_one_python_worker_a_task(spark):
+    """Each Python step of a plan keeps a worker and a vocabulary of its own in memory for every task."""
+    plan = corpus_pipeline.bpe_encoding(spark, table(spark, "documents"), SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_registered_queries():
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
     assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 14))
