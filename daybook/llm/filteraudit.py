@@ -91,7 +91,8 @@ def cells(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
              .where("doc_id is not null").groupBy("doc_id")
              .agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("is_good"),
                   F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("is_toxic")))
-    rows = salted_left_join(salted_left_join(masks, first, ["digest"], SALTS), known, ["doc_id"], SALTS)
+    # Spark's estimate of the salted labels is the size of their file, not of SALTS rows a label: never broadcast
+    rows = salted_left_join(salted_left_join(masks, first, ["digest"], SALTS), known.hint("merge"), ["doc_id"], SALTS)
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return (rows.groupBy("part", (F.col("mask") + F.when(copy, 1 << 4).otherwise(0)).alias("mask"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_good").alias("good"),

@@ -91,3 +91,14 @@ def test_empty_tables(spark):
 def test_steps_are_folded_in_sql(spark):
     plan = op.audit(table(spark, "documents"), table(spark, "labels"))._jdf.queryExecution().toString()
     assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_salted_labels_are_never_broadcast(spark, tmp_path):
+    """A label file under Spark's broadcast limit is salted to many times its rows, which the driver would have to hold."""
+    docs = frame(spark, [(k, f"text {k}") for k in range(40)])
+    docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("quality"), (docs.doc_id % 3).cast("int").alias("toxic")) \
+        .write.parquet(f"{tmp_path}/labels")
+    found = op.cells(docs, spark.read.parquet(f"{tmp_path}/labels"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "doc_id" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sum(r["good"] for r in found.collect()) == 20 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
